@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.functions.text import ngrams, term_counts, words
-from evenkeel.functions.vectors import l2_normalise
 from evenkeel.session import SMALL_ROWS, small_side
 
 
@@ -208,7 +207,8 @@ def embed(
         hashed = HashingTF(numFeatures=dim, inputCol="_words", outputCol="_tf").transform(
             df.withColumn("_words", words(F.col(text)))
         )
-        return hashed.withColumn(out, l2_normalise(vector_to_array("_tf"))).drop("_words", "_tf")
+        unit = Normalizer(p=2.0, inputCol="_tf", outputCol="_unit").transform(hashed)
+        return unit.withColumn(out, vector_to_array("_unit")).drop("_words", "_tf", "_unit")
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -216,4 +216,5 @@ def embed(
         for batch in batches:
             yield pd.Series(list(np.asarray(run(batch.fillna("").tolist()), dtype=np.float64)))
 
-    return df.withColumn(out, encode(F.col(text)))
+    # not to be computed a second time by a filter on the vector
+    return df.withColumn(out, encode.asNondeterministic()(F.col(text)))

@@ -245,4 +245,4 @@ def running_mean(
     result = running_by_chunk(
         df, [group], order, chunk, {"_sum": ("sum", F.col(loss)), "_n": ("count", F.col(loss))}
     )
-    return result.withColumn(out, F.col("_sum") / F.col("_n")).drop("_sum", "_n")
+    return result.withColumn(out, F.col("_sum").cast("double") / F.col("_n")).drop("_sum", "_n")

@@ -169,8 +169,8 @@ def boosted(
             learner = GBTClassifier(
                 featuresCol=features, labelCol="_target", weightCol="_weight", maxIter=rounds, stepSize=rate,
                 maxDepth=depth, subsamplingRate=rows, featureSubsetStrategy=str(columns), seed=seed,
-                rawPredictionCol=f"_raw{c}", probabilityCol=f"_prob{c}", predictionCol=f"_pred{c}",
             )
+            learner = learner.setRawPredictionCol(f"_raw{c}").setProbabilityCol(f"_prob{c}").setPredictionCol(f"_pred{c}")
             if valid is not None:
                 learner = learner.setParams(validationIndicatorCol="_valid", validationTol=tolerance)
             return c, learner.fit(data.withColumn("_target", (F.col(label) == c).cast("double")))

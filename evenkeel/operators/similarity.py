@@ -147,7 +147,8 @@ def max_cosine(
                     top = np.maximum(top, (m @ refs[start : start + BLOCK_ROWS].T).max(axis=1))
                 yield pd.Series(top)
 
-        return df.withColumn(out, best(F.col(vec).cast("array<double>")))
+        # not to be computed a second time by a filter on the score
+        return df.withColumn(out, best.asNondeterministic()(F.col(vec).cast("array<double>")))
     ref_key = ref_key or key
     closest = nearest(df, ref, key, ref_key, vec, 1, metric="cosine")
     return df.join(closest.select(key, (1.0 - F.col("neighbors")[0]["dist"]).alias(out)), key, "left")

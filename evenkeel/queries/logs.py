@@ -35,22 +35,21 @@ def _(spark, d):
     return early_stopping(Tables(spark, d).events, "user_id", "event_id", "value", patience=5)
 
 
+# exact decimals, so that the order of the additions does not matter
 @query(
     "running_mean",
-    """SELECT event_id, event_type, round(avg(value) OVER (PARTITION BY event_type ORDER BY event_id
-         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS running_mean FROM events""",
+    """SELECT event_id, event_type, (sum(value::DECIMAL(18, 2)) OVER w)::DOUBLE / count(*) OVER w AS running_mean FROM events
+       WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
 )
 def _(spark, d):
-    df = running_mean(
-        Tables(spark, d).events.select("event_id", "event_type", "value"), "event_type", "event_id", "value"
-    )
-    return df.select("event_id", "event_type", r6("running_mean").alias("running_mean"))
+    rows = Tables(spark, d).events.select("event_id", "event_type", F.col("value").cast("decimal(18,2)").alias("value"))
+    return running_mean(rows, "event_type", "event_id", "value").select("event_id", "event_type", "running_mean")
 
 
 @query(
     "running_accuracy",
-    """SELECT ts::VARCHAR AS at, event_id, round(avg((event_type = 'click')::INTEGER) OVER (PARTITION BY user_id % 3 ORDER BY ts
-         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS share FROM events""".replace("ts::VARCHAR AS at, ", ""),
+    """SELECT event_id, round(avg((event_type = 'click')::INTEGER) OVER (PARTITION BY user_id % 3 ORDER BY ts
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS share FROM events""",
 )
 def _(spark, d):
     df = Tables(spark, d).events.select(

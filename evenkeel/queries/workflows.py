@@ -31,11 +31,15 @@ from evenkeel.queries.base import (
     sql_normalize,
     sql_rank,
 )
-from evenkeel.queries.rebalancing import _BALANCED_SQL, _MIX_SQL
+from evenkeel.queries.rebalancing import _BALANCED_SQL, _CHAT_SQL, _MIX_SQL
 from evenkeel.session import shared_dir
 from evenkeel.sources.tables import load_labeled, write_text_label
 
 
+# roles without a label are dropped by the mapping
+_MIX_MAPPED_SQL = _MIX_SQL.replace(_CHAT_SQL, _CHAT_SQL + " WHERE role IN ('user', 'assistant')")
+
+
 def _labelled(t: Tables):
     return join_labels(t.texts(), t.classes())
 
@@ -56,7 +60,7 @@ def _saved(spark, df):
 @query(
     "mixed_augmentation",
     f"""SELECT (row_number() OVER (ORDER BY source, md5('42|' || k), k) - 1)::VARCHAR AS index, label, md5(message) AS text_md5
-        FROM (SELECT *, index || ':' || coalesce(draw::VARCHAR, '-') AS k FROM ({_MIX_SQL}))""",
+        FROM (SELECT *, index || ':' || coalesce(draw::VARCHAR, '-') AS k FROM ({_MIX_MAPPED_SQL}))""",
 )
 def _(spark, d):
     t = Tables(spark, d)
