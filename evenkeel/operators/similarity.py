@@ -14,6 +14,8 @@ from evenkeel.operators.ranking import top_n_per_class
 from evenkeel.session import SMALL_BYTES, SMALL_ROWS, small_side
 
 BLOCK_ROWS = 2048
+# Similarities are rounded, so that copies of a text tie wherever they are scored.
+COSINE_DIGITS = 12
 
 
 def _matrix(vectors, unit: bool) -> np.ndarray:
@@ -90,7 +92,7 @@ def nearest(
         else:
             d = (xm * xm).sum(1)[:, None] + (ym * ym).sum(1)[None, :] - 2.0 * (xm @ ym.T)
         # equal vectors must tie whatever the order of the sums was
-        d = np.round(np.maximum(d, 0.0), 9)
+        d = np.round(np.maximum(d, 0.0), COSINE_DIGITS if metric == "cosine" else 9)
         if skip_self:
             d[xid[:, None] == yid[None, :]] = np.inf
         best = np.argsort(d, axis=1, kind="stable")[:, :k]
@@ -145,13 +147,13 @@ def max_cosine(
                 top = np.full(len(m), -np.inf)
                 for start in range(0, len(refs), BLOCK_ROWS):
                     top = np.maximum(top, (m @ refs[start : start + BLOCK_ROWS].T).max(axis=1))
-                yield pd.Series(top)
+                yield pd.Series(np.round(top, COSINE_DIGITS))
 
         # not to be computed a second time by a filter on the score
         return df.withColumn(out, best.asNondeterministic()(F.col(vec).cast("array<double>")))
     ref_key = ref_key or key
     closest = nearest(df, ref, key, ref_key, vec, 1, metric="cosine")
-    return df.join(closest.select(key, (1.0 - F.col("neighbors")[0]["dist"]).alias(out)), key, "left")
+    return df.join(closest.select(key, F.round(1.0 - F.col("neighbors")[0]["dist"], COSINE_DIGITS).alias(out)), key, "left")
 
 
 def select_similar(

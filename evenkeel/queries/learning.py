@@ -20,14 +20,19 @@ from evenkeel.operators.models import (
 )
 from evenkeel.operators.sampling import stratified_split
 from evenkeel.queries.base import Tables, query, r6
+from evenkeel.queries.rebalancing import sql_folds, sql_split
 from evenkeel.session import cut_lineage
 
 
+def embeddings_as_features(t: Tables):
+    wide = F.col("embedding").cast("array<double>")
+    return t.embeddings.select("vec_id", "label", array_to_vector(wide).alias("features"))
+
+
 def vectors(t: Tables):
     """Embeddings as features, split into a training and a held-out part."""
-    rows = t.embeddings.select("vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    split = cut_lineage(stratified_split(rows.drop("features"), "vec_id", "label", 0.2))
-    split = rows.join(split.select("vec_id", "is_test"), "vec_id")
+    rows = embeddings_as_features(t)
+    split = cut_lineage(stratified_split(rows, "vec_id", "label", 0.2))
     return split.where(~F.col("is_test")).drop("is_test"), split.where("is_test").drop("is_test")
 
 
@@ -107,8 +112,25 @@ def _(spark, d):
     return out.select(*[r6(c).alias(c) for c in out.columns if c != "rows"], "rows")
 
 
-@query("model_probabilities")
+_SPLIT_SQL = sql_split("SELECT vec_id, label FROM embeddings", "vec_id", "label", "0.2")
+
+
+@query(
+    "model_probabilities",
+    f"SELECT vec_id, true AS agrees, 10 AS classes, 1.0::DOUBLE AS p_total FROM ({_SPLIT_SQL}) WHERE is_test",
+)
 def _(spark, d):
     train, held = vectors(Tables(spark, d))
     out = linear(iterations=10)(train)(held)
-    return out.select("vec_id", (argmax(F.col("probs")) == F.col("prediction")).alias("agrees"), F.size("probs").alias("classes"))
+    return out.select(
+        "vec_id",
+        (argmax(F.col("probs")) == F.col("prediction")).alias("agrees"),
+        F.size("probs").alias("classes"),
+        r6(F.aggregate("probs", F.lit(0.0), lambda a, x: a + x)).alias("p_total"),
+    )
+
+
+@query("oof_coverage", sql_folds("SELECT vec_id, label FROM embeddings", "vec_id", "label", 3))
+def _(spark, d):
+    out = oof_predict(embeddings_as_features(Tables(spark, d)), "vec_id", "label", 3, forest(trees=3, depth=3))
+    return out.where(F.size("probs") == 10).select("vec_id", "label", "fold")

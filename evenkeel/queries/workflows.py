@@ -32,6 +32,7 @@ from evenkeel.queries.base import (
     sql_rank,
 )
 from evenkeel.queries.rebalancing import _BALANCED_SQL, _CHAT_SQL, _MIX_SQL
+from evenkeel.queries.vectorising import SQL_SIMILAR_TEXTS, letter_encoder
 from evenkeel.session import shared_dir
 from evenkeel.sources.tables import load_labeled, write_text_label
 
@@ -114,15 +115,34 @@ def _(spark, d):
     return _saved(spark, out).select("index", "label", F.md5("message").alias("text_md5"))
 
 
-@query("semantic_augmentation")
-def _(spark, d):
-    t = Tables(spark, d)
-    out, _chosen = semantic_augmentation(
-        _labelled(t), t.documents, _test(t), "doc_id", "near_", RULES, text="text", category=None
+_NEAR = {3: 40, 4: 10, 5: 5}
+
+
+def _near(t: Tables):
+    return semantic_augmentation(
+        _labelled(t), t.documents, _test(t), "doc_id", "near_", RULES, _NEAR, text="text", category=None, encoder=letter_encoder
     )
+
+
+@query(
+    "semantic_augmentation",
+    f"""SELECT index, label, md5(message) AS text_md5 FROM ({SQL_LABELED}) UNION ALL
+        SELECT 'near_' || doc_id, label, md5(message) FROM ({SQL_SIMILAR_TEXTS})""",
+)
+def _(spark, d):
+    out, _chosen = _near(Tables(spark, d))
     return out.select("index", "label", F.md5("message").alias("text_md5"))
 
 
+@query(
+    "semantic_augmentation_scores",
+    f"SELECT 'near_' || doc_id AS index, label, round(sim, 6) AS sim_score FROM ({SQL_SIMILAR_TEXTS})",
+)
+def _(spark, d):
+    _all, chosen = _near(Tables(spark, d))
+    return chosen.select("index", "label", r6("sim_score").alias("sim_score"))
+
+
 @query(
     "prepare",
     f"""WITH b AS (SELECT label, {sql_normalize('message')} AS m FROM ({_BALANCED_SQL}))
