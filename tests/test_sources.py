@@ -23,16 +23,16 @@ def labelled(spark):
 def test_texts_survive_files(spark, labelled, tmp_path, sep):
     path = str(tmp_path / "t")
     write_table(labelled.select("index", "message"), path, sep=sep)
-    got = {r.index: r.message for r in read_table(spark, path, TEXT, sep=sep).collect()}
+    got = {r["index"]: r.message for r in read_table(spark, path, TEXT, sep=sep).collect()}
     assert got == {i: m for i, m, _ in ROWS}
 
 
 def test_single_file_with_line_breaks(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text('index,message\n1,"a\nb ""c"", d"\nid_2,\n3,null\n', encoding="utf-8")
-    got = {r.index: r.message for r in read_table(spark, str(path), TEXT).collect()}
+    got = {r["index"]: r.message for r in read_table(spark, str(path), TEXT).collect()}
     assert got == {"1": 'a\nb "c", d', "id_2": None, "3": "null"}
-    got = {r.index: r.message for r in read_table(spark, str(path), TEXT, na_values=["null"]).collect()}
+    got = {r["index"]: r.message for r in read_table(spark, str(path), TEXT, na_values=["null"]).collect()}
     assert got["3"] is None
 
 
