@@ -35,7 +35,7 @@ def nearest(
     k: int,
     by: str | None = None,
     metric: str = "l2",
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
     skip_self: bool = False,
 ) -> DataFrame:
     """The ``k`` closest rows of ``right`` for each row of ``left``, exactly.
@@ -48,6 +48,7 @@ def nearest(
     by the class. Result: left key, ``neighbors`` as an array of ``(dist, id)``
     ascending, ties by id.
     """
+    block_rows = block_rows or BLOCK_ROWS
     groups = ["g"] if by else []
     group_of = [F.col(by).alias("g")] if by else []
 
@@ -66,9 +67,14 @@ def nearest(
             slim = slim.join(blocks, "g")
         else:
             slim = slim.withColumn("_lb", F.lit(n_left)).withColumn("_rb", F.lit(n_right))
-        return slim.withColumn(own_id, F.pmod(F.xxhash64("id"), F.col(own))).withColumn(
-            other_id, F.explode(F.sequence(F.lit(0), F.col(other) - 1))
-        ).drop("_lb", "_rb")
+        # both sides need the same type here: an int and a bigint hash differently
+        return slim.select(
+            *groups,
+            "id",
+            "vec",
+            F.pmod(F.xxhash64("id"), F.col(own)).cast("int").alias(own_id),
+            F.explode(F.sequence(F.lit(0), (F.col(other) - 1).cast("int"))).alias(other_id),
+        )
 
     a = cut(left, left_key, "_lb", "_rb", "l", "r")
     b = cut(right, right_key, "_rb", "_lb", "r", "l")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.operators.sampling import HEX_DIGITS, SEED, hash_number, hash_of, hash_rank, undersample
 from evenkeel.operators.sampling import _draws
-from evenkeel.operators.similarity import BLOCK_ROWS, nearest
+from evenkeel.operators.similarity import nearest
 from evenkeel.session import count_by_label
 
 
@@ -27,7 +27,7 @@ def smote(
     k: int = 5,
     seed: int = SEED,
     hex_digits: int = HEX_DIGITS,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Bring every class present to exactly ``target`` rows.
 

@@ -38,6 +38,16 @@ def points(spark):
     return spark.createDataFrame(rows, "id int, label int, vec array<double>")
 
 
+@pytest.fixture(params=["true", "false"])
+def coalescing(spark, request):
+    """With and without merging of small shuffle partitions."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield
+    spark.conf.set(name, before)
+
+
 def brute_cosine(a, b):
     a, b = np.array(a), np.array(b)
     na, nb = np.linalg.norm(a, axis=1, keepdims=True), np.linalg.norm(b, axis=1, keepdims=True)
@@ -45,7 +55,8 @@ def brute_cosine(a, b):
 
 
 @pytest.mark.parametrize("bounds", [{}, {"max_ref_rows": 0}, {"max_ref_bytes": 10}])
-def test_max_cosine(points, bounds):
+def test_max_cosine(points, bounds, coalescing, monkeypatch):
+    monkeypatch.setattr("evenkeel.operators.similarity.BLOCK_ROWS", 11)
     ref = points.where("id % 2 = 0")
     got = {r.id: r.sim_score for r in max_cosine(points, ref, "vec", "id", **bounds).collect()}
     rows = points.collect()
@@ -61,7 +72,7 @@ def test_max_cosine_with_empty_reference(points):
 
 
 @pytest.mark.parametrize("block_rows", [7, 50, 5000])
-def test_nearest_equals_brute_force(points, block_rows):
+def test_nearest_equals_brute_force(points, block_rows, coalescing):
     got = {r.id: [n.id for n in r.neighbors] for r in nearest(
         points, points, "id", "id", "vec", 3, by="label", skip_self=True, block_rows=block_rows
     ).collect()}
