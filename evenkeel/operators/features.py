@@ -87,7 +87,7 @@ def tfidf_fit(df: DataFrame, text: str, out: str = "features", **vocabulary) ->
                 scalingVec=Vectors.dense([r["idf"] for r in terms]), inputCol="_tf", outputCol="_tfidf"
             ),
             Normalizer(p=2.0, inputCol="_tfidf", outputCol=out),
-            SQLTransformer(statement=f"SELECT * EXCEPT (_words, _grams, _tf, _tfidf) FROM __THIS__"),
+            SQLTransformer(statement="SELECT * EXCEPT (_grams, _tf, _tfidf) FROM __THIS__"),
         ]
     )
 
@@ -96,18 +96,16 @@ def _gram_stages(text: str, lo: int, hi: int) -> list[SQLTransformer]:
     from evenkeel.functions.text import WORD
 
     pattern = WORD.replace("\\", "\\\\")
-    parts, gram = [], "_words"
+    parts, gram = [], "w"
     for n in range(1, hi + 1):
         if n > 1:
-            gram = f"zip_with({gram}, slice(_words, {n}, size(_words)), (a, b) -> concat(a, ' ', b))"
+            gram = f"zip_with({gram}, slice(w, {n}, size(w)), (a, b) -> concat(a, ' ', b))"
         if n >= lo:
             parts.append(f"array_compact({gram})")
-    return [
-        SQLTransformer(
-            statement=f"SELECT *, regexp_extract_all(lower(coalesce(`{text}`, '')), '{pattern}', 0) AS _words FROM __THIS__"
-        ),
-        SQLTransformer(statement=f"SELECT *, concat({', '.join(parts)}) AS _grams FROM __THIS__"),
-    ]
+    found = f"regexp_extract_all(lower(coalesce(`{text}`, '')), '{pattern}', 0)"
+    # the words are bound to w once per row
+    grams = f"get(transform(array({found}), w -> concat({', '.join(parts)})), 0)"
+    return [SQLTransformer(statement=f"SELECT *, {grams} AS _grams FROM __THIS__")]
 
 
 def tfidf_transform(df: DataFrame, model: PipelineModel) -> DataFrame:

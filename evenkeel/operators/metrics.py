@@ -205,16 +205,17 @@ def similarity_summary(df: DataFrame, label: str = "label", sim: str = "sim_scor
     )
 
 
-def soft_vote(df: DataFrame, key: str, probs: str = "probs") -> DataFrame:
-    """Mean probability vector over the folds that scored a key."""
-    return (
-        df.select(key, F.posexplode(probs).alias("class", "p"))
-        .groupBy(key, "class")
-        .agg(F.avg("p").alias("p"))
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list(F.struct("class", "p"))).alias("entries"))
-        .select(key, F.transform("entries", lambda e: e.p).alias(probs))
-    )
+def soft_vote(df: DataFrame, key: str, probs: str = "probs", n_classes: int | None = None) -> DataFrame:
+    """Mean probability vector over the folds that scored a key.
+
+    One average per class, so that rows are reduced before the one shuffle.
+    """
+    if n_classes is None:
+        first = df.select(F.size(probs)).head()
+        n_classes = first[0] if first else 0
+    means = [F.avg(F.get(probs, F.lit(i))).alias(f"_p{i}") for i in range(n_classes)]
+    voted = df.groupBy(key).agg(F.count("*").alias("_n"), *means)
+    return voted.select(key, F.array(*[F.col(f"_p{i}") for i in range(n_classes)]).alias(probs))
 
 
 def accuracy(df: DataFrame, y_true: str = "label", y_pred: str = "prediction") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.functions.text import normalize_text
@@ -184,9 +184,18 @@ def boosted(
     return fit
 
 
+def training_history(spark: SparkSession, model: Fitted) -> DataFrame:
+    """Epoch and training loss of a linear head, as a log for early stopping."""
+    losses = model.model.summary.objectiveHistory
+    return spark.createDataFrame([(i, float(loss)) for i, loss in enumerate(losses)], "epoch int, train_loss double")
+
+
 def with_folds(df: DataFrame, key: str, label: str, k: int, seed: int = SEED) -> DataFrame:
-    """Assign folds and keep the result in the shared folder, as every fold reads it."""
-    return cut_lineage(stratified_folds(df, key, label, k, seed))
+    """Assign folds and keep them in the shared folder, one part per fold.
+
+    Every model reads the parts it trains on or scores, and no others.
+    """
+    return cut_lineage(stratified_folds(df, key, label, k, seed), partition_by="fold")
 
 
 def fit_folds(

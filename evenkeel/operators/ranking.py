@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenkeel.functions.labels import lookup
-from evenkeel.operators.running import running_by_chunk
+from evenkeel.operators.running import default_chunk
 
 
 def early_stopping(
@@ -18,35 +18,56 @@ def early_stopping(
     metric: str,
     patience: int,
     chunk: Column | None = None,
-    numbered: bool = False,
 ) -> DataFrame:
     """Best epoch of each run, and the epoch at which training would have ended.
 
     An epoch is better only if it beats both zero and the best one so far. A run
     ends with the first epoch that lies ``patience`` epochs after its best one;
-    ``stop_epoch`` is null for a run that never does. ``numbered`` says that
-    ``epoch`` counts 1, 2, 3, …, so that the rows need not be counted.
+    ``stop_epoch`` is null for a run that never does.
+
+    A run is walked in chunks (see :func:`running_by_chunk`), so a very long one
+    is spread over tasks. The rows are shuffled once: the chunk totals are taken
+    from the walked chunks.
     """
-    log = df.select(run, epoch, metric)
-    if numbered:
-        log = log.withColumn("_pos", F.col(epoch).cast("bigint"))
-    else:
-        log = running_by_chunk(log, [run], epoch, chunk, {"_pos": ("count", F.lit(1))})
-    candidate = F.when(
-        F.col(metric) > 0,
-        F.struct(F.col(metric).alias("metric"), (-F.col("_pos")).alias("neg_pos"), F.col(epoch).alias("epoch")),
+    work = df.select(run, epoch, metric, (default_chunk(df, epoch) if chunk is None else chunk).alias("_chunk"))
+    # said here, so that both readers of the walked rows share one shuffle
+    work = work.where(F.col(run).isNotNull() & F.col("_chunk").isNotNull())
+    inside = Window.partitionBy(run, "_chunk").orderBy(epoch)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    # of equal metrics the earliest place is the greatest struct
+    better = F.when(
+        F.col(metric) > 0, F.struct(F.col(metric).alias("m"), (-F.col("_at")).alias("neg"), F.col(epoch).alias("e"))
+    )
+    walked = work.withColumn("_at", F.row_number().over(inside).cast("bigint")).withColumn(
+        "_top", F.max(better).over(so_far)
+    )
+
+    def placed(top: str) -> Column:
+        top = F.col(top)
+        return F.when(top.isNotNull(), F.struct(top["m"].alias("m"), (top["neg"] - F.col("_before")).alias("neg"), top["e"].alias("e")))
+
+    earlier = Window.partitionBy(run).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        walked.groupBy(run, "_chunk")
+        .agg(F.count("*").alias("_n"), F.max("_top").alias("_chunk_top"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .withColumn("_carried", F.max(placed("_chunk_top")).over(earlier))
+        .select(run, "_chunk", "_before", "_carried")
     )
-    log = running_by_chunk(log, [run], epoch, chunk, {"_best": ("max", candidate)})
-    since = F.col("_pos") - F.coalesce(-F.col("_best.neg_pos"), F.lit(0))
-    row = F.struct(F.col("_pos").alias("pos"), F.col(epoch).alias("epoch"), F.col("_best").alias("best"))
-    ends = log.groupBy(run).agg(
-        F.min(F.when(since >= patience, row)).alias("stop"), F.max(row).alias("last")
+    rows = walked.join(totals, [run, "_chunk"]).select(
+        run,
+        (F.col("_before") + F.col("_at")).alias("pos"),
+        F.col(epoch).alias("epoch"),
+        F.greatest("_carried", placed("_top")).alias("best"),
     )
+    since = F.col("pos") - F.coalesce(-F.col("best.neg"), F.lit(0))
+    row = F.struct("pos", "epoch", "best")
+    ends = rows.groupBy(run).agg(F.min(F.when(since >= patience, row)).alias("stop"), F.max(row).alias("last"))
     end = F.coalesce("stop", "last")
     return ends.select(
         run,
-        end["best"]["epoch"].alias("best_epoch"),
-        end["best"]["metric"].alias("best_metric"),
+        end["best"]["e"].alias("best_epoch"),
+        end["best"]["m"].alias("best_metric"),
         F.col("stop.epoch").alias("stop_epoch"),
         end["pos"].alias("epochs_run"),
     )

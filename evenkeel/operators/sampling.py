@@ -62,7 +62,10 @@ def hash_rank(
     rank: str = "rank",
     hex_digits: int = HEX_DIGITS,
 ) -> DataFrame:
-    """Number the rows 1, 2, 3, … in hash order, within each class if ``by`` is given."""
+    """Number the rows 1, 2, 3, … in hash order, within each class if ``by`` is given.
+
+    Rows without a class are left out.
+    """
     groups = [by] if by else []
     work = _hashed(df, key, seed, hex_digits)
     place = Window.partitionBy(*groups, "_b").orderBy("_h", key)
@@ -87,6 +90,8 @@ def _take_first(
     row taken.
     """
     groups = [by] if by else []
+    if by:
+        df = df.where(F.col(by).isNotNull())
     if isinstance(quotas, Mapping):
         quota = F.lit(0)
         for label, n in quotas.items():
@@ -134,7 +139,8 @@ def undersample(
 ) -> DataFrame:
     """Exactly ``min(rows, n)`` rows without replacement, per class if ``by`` is given.
 
-    With a mapping, classes that it does not name are kept whole.
+    With a mapping, classes that it does not name are kept whole. Rows without a
+    class are left out.
     """
     if isinstance(n, Mapping):
         flagged = _take_first(df, key, n, seed, by, hex_digits)

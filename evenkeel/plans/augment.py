@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evenkeel.functions.binding import with_costly
 from evenkeel.functions.labels import INTENT_LABELS, map_labels, prefix_ids
 from evenkeel.functions.text import as_text, clean_text, flag_class, keyword_class
 from evenkeel.operators.features import embed
@@ -53,8 +54,8 @@ def keyword_candidates(
     corpus: DataFrame, id_col: str, prefix: str, rules: Sequence[tuple[int, str]], text: str = "full_text"
 ) -> DataFrame:
     """Rows that a keyword rule hits, cleaned, with marked ids."""
-    labelled = corpus.select(id_col, as_text(F.col(text)).alias("_text")).withColumn(
-        "label", keyword_class(F.col("_text"), rules)
+    labelled = with_costly(
+        corpus.select(id_col, as_text(F.col(text)).alias("_text")), label=keyword_class(F.col("_text"), rules)
     )
     hits = labelled.where(F.col("label").isNotNull())
     return prefix_ids(hits, prefix, id_col).select("index", clean_text(F.col("_text")).alias("message"), "label")
@@ -91,7 +92,7 @@ def flag_augmentation(
 ) -> DataFrame:
     """Add the rows of a flag corpus as threats, hate, or keyword hits among hate."""
     flagged = corpus.where((F.col(threat) == 1) | ((F.col(hate) == 1) & (F.col(threat) == 0)))
-    cleaned = flagged.select(id_col, threat, hate, clean_text(F.col(text)).alias("message"))
+    cleaned = with_costly(flagged.select(id_col, threat, hate, text), message=clean_text(F.col(text)))
     rows = cleaned.where(F.length("message") > SHORTEST).select(
         id_col,
         "message",

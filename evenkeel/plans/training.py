@@ -99,7 +99,7 @@ def tfidf_forest(
     The vocabulary of the scored model comes from the training part only.
     """
     train, test = clean_messages(train, lower), clean_messages(test, lower)
-    split = cut_lineage(stratified_split(train, "index", "label", test_size, seed))
+    split = cut_lineage(stratified_split(train, "index", "label", test_size, seed), partition_by="is_test")
     part, held = split.where(~F.col("is_test")), split.where("is_test")
     fit = forest(trees=trees, depth=depth, seed=seed)
     features = tfidf_fit(part, "message", max_features=max_features)
@@ -134,6 +134,7 @@ def embedding_forest(
 
 
 def _folds_run(name: str, rows: DataFrame, unseen: DataFrame, k: int, estimator: Estimator, seed: int, tune: bool, prepare=None) -> Run:
+    rows = rows.select(*[c for c in ("index", "label", "features", "vec") if c in rows.columns])
     done = kfold_ensemble(rows, unseen, "index", "label", k, estimator, seed, prepare)
     oof = cut_lineage(done.oof.select("index", "label", "fold", "probs", "prediction"))
     scores = score(oof, by=("fold",))
@@ -197,7 +198,7 @@ def merged_linear(train: DataFrame, test: DataFrame, max_features: int = 10_000,
     """A class-weighted linear head on all labelled rows, without validation."""
     train, test = clean_messages(train), clean_messages(test)
     features = tfidf_fit(train, "message", max_features=max_features)
-    rows = features.transform(train)
+    rows = cut_lineage(features.transform(train).select("index", "label", "features"))
     model = linear(**params)(rows)
     acc = model(rows).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).head()[0]
     return Run(
@@ -223,8 +224,14 @@ def compare(
     """
     train, val = clean_messages(train), clean_messages(val)
     features = tfidf_fit(train, "message", max_features=max_features)
-    seen = None if test is None else features.transform(clean_messages(test))
-    result = run_models(features.transform(train), features.transform(val), estimators, test=seen)
+
+    def kept(df: DataFrame) -> DataFrame:
+        # read by every model
+        names = [c for c in ("index", "label", "features") if c in (*df.columns, "features")]
+        return cut_lineage(features.transform(df).select(*names))
+
+    seen = None if test is None else kept(clean_messages(test))
+    result = run_models(kept(train), kept(val), estimators, test=seen)
     if directory:
         ok = result.table.where(F.col("error").isNull())
         table = ok.select(

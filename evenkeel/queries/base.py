@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evenkeel.session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -38,6 +40,11 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
 
+    @property
+    def documents(self) -> DataFrame:
+        """Long texts: costly per row, so spread over all cores."""
+        return spread(self._spark.read.parquet(f"{self._dir}/documents.parquet"), "doc_id")
+
     def texts(self) -> DataFrame:
         """documents as (index, message)."""
         return self.documents.select(F.col("doc_id").cast("string").alias("index"), F.col("text").alias("message"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from evenkeel.functions.binding import with_costly
 from evenkeel.functions.labels import map_labels, prefix_ids, strict_label
 from evenkeel.functions.text import (
     clean_text,
@@ -91,7 +92,7 @@ def _(spark, d):
     f"SELECT doc_id, length(t) AS n FROM (SELECT doc_id, {sql_clean('text')} AS t FROM documents) WHERE length(t) > 5",
 )
 def _(spark, d):
-    df = Tables(spark, d).documents.select("doc_id", clean_text(F.col("text")).alias("t"))
+    df = with_costly(Tables(spark, d).documents, t=clean_text(F.col("text")))
     return df.where(F.length("t") > 5).select("doc_id", F.length("t").cast("bigint").alias("n"))
 
 
@@ -100,8 +101,8 @@ def _(spark, d):
     f"SELECT doc_id, label FROM (SELECT doc_id, {sql_keyword('text')} AS label FROM documents) WHERE label IS NOT NULL",
 )
 def _(spark, d):
-    df = Tables(spark, d).documents.select("doc_id", keyword_class(F.col("text"), RULES).alias("label"))
-    return df.where(F.col("label").isNotNull())
+    df = with_costly(Tables(spark, d).documents, label=keyword_class(F.col("text"), RULES))
+    return df.where(F.col("label").isNotNull()).select("doc_id", "label")
 
 
 _FLAG_SQL = f"""SELECT doc_id, CASE WHEN toxic = 1 THEN 4
@@ -113,11 +114,10 @@ _FLAG_SQL = f"""SELECT doc_id, CASE WHEN toxic = 1 THEN 4
 @query("flag_class", f"SELECT doc_id, label FROM ({_FLAG_SQL}) WHERE label IS NOT NULL AND length(t) > 5")
 def _(spark, d):
     t = Tables(spark, d)
-    df = join_labels(t.documents, t.labels, "doc_id").withColumn("t", clean_text(F.col("text")))
+    df = with_costly(join_labels(t.documents, t.labels, "doc_id"), t=clean_text(F.col("text")))
     hate = F.when(F.col("quality") == 0, 1).otherwise(0)
-    return df.select("doc_id", "t", flag_class(F.col("t"), F.col("toxic"), hate, "die|ung").alias("label")).where(
-        F.col("label").isNotNull() & (F.length("t") > 5)
-    ).drop("t")
+    found = with_costly(df, label=flag_class(F.col("t"), F.col("toxic"), hate, "die|ung"))
+    return found.where(F.col("label").isNotNull() & (F.length("t") > 5)).select("doc_id", "label")
 
 
 @query(
@@ -177,7 +177,7 @@ def _(spark, d):
               GROUP BY doc_id, term) GROUP BY doc_id""",
 )
 def _(spark, d):
-    df = Tables(spark, d).documents.select("doc_id", term_counts(ngrams(words(F.col("text")))).alias("terms"))
+    df = with_costly(Tables(spark, d).documents.select("doc_id", "text"), terms=term_counts(ngrams(words(F.col("text")))))
     joined = F.array_join(F.transform("terms", lambda t: F.concat(t.term, F.lit(":"), t.tf.cast("string"))), "|")
     return df.where(F.size("terms") > 0).select(
         "doc_id",

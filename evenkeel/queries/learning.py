@@ -32,7 +32,7 @@ def embeddings_as_features(t: Tables):
 def vectors(t: Tables):
     """Embeddings as features, split into a training and a held-out part."""
     rows = embeddings_as_features(t)
-    split = cut_lineage(stratified_split(rows, "vec_id", "label", 0.2))
+    split = cut_lineage(stratified_split(rows, "vec_id", "label", 0.2), partition_by="is_test")
     return split.where(~F.col("is_test")).drop("is_test"), split.where("is_test").drop("is_test")
 
 

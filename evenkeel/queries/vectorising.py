@@ -6,8 +6,10 @@ import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from evenkeel.functions.binding import with_costly
 from evenkeel.functions.text import clean_text, keyword_class
 from evenkeel.functions.vectors import l2_normalise
+from evenkeel.operators.batches import map_batches, map_column
 from evenkeel.operators.features import embed, tfidf_fit, tfidf_terms, tfidf_transform, tfidf_vocabulary
 from evenkeel.operators.metrics import similarity_summary
 from evenkeel.operators.sampling import stratified_split
@@ -51,9 +53,8 @@ def _(spark, d):
 def _(spark, d):
     docs = Tables(spark, d).documents
     vectors = tfidf_transform(docs.select("doc_id", "text"), tfidf_fit(docs, "text", max_features=2000))
-    x = F.filter(vector_to_array("features"), lambda v: v != 0)
-    dense = vectors.select("doc_id", x.alias("x")).where(F.size("x") > 0)
-    return dense.select(
+    rows = with_costly(vectors, x=F.filter(vector_to_array("features"), lambda v: v != 0))
+    return rows.where(F.size("x") > 0).select(
         "doc_id",
         F.size("x").cast("bigint").alias("terms"),
         F.round(F.aggregate("x", F.lit(0.0), lambda a, v: a + v), 4).alias("total"),
@@ -168,6 +169,18 @@ def _(spark, d):
     )
 
 
+@query(
+    "map_batches",
+    """SELECT doc_id, length(text) - length(replace(text, ' ', '')) AS blanks, length(text) > 1000 AS is_long FROM documents""",
+)
+def _(spark, d):
+    docs = Tables(spark, d).documents.select("doc_id", "text")
+    counted = map_column(docs, "text", lambda t: t.str.count(" "), "bigint", "blanks")
+    return map_batches(
+        counted, lambda b: b["text"].str.len().gt(1000).to_frame("is_long"), "is_long boolean", remove_columns=["text"]
+    )
+
+
 # letter counts of a text as a list, the SQL form of the encoder above
 def sql_letters(text: str) -> str:
     return (
@@ -188,7 +201,7 @@ SQL_SIMILAR_TEXTS = f"""SELECT doc_id, label, message, sim FROM
 @query("select_similar_texts")
 def _(spark, d):
     t = Tables(spark, d)
-    found = t.documents.select("doc_id", "text", keyword_class(F.col("text"), RULES).alias("label")).where(
+    found = with_costly(t.documents.select("doc_id", "text"), label=keyword_class(F.col("text"), RULES)).where(
         F.col("label").isNotNull()
     )
     cands = embed(found.withColumn("message", clean_text(F.col("text"))), "message")

@@ -50,15 +50,28 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/evenkeel/{purpose}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to reliable storage and read it from there afterwards.
 
-    Survives the loss of executors, unlike a local checkpoint or cache.
+    Survives the loss of executors, unlike a local checkpoint or cache. With
+    ``partition_by``, a filter on that column reads only its own files.
     """
     spark = df.sparkSession
     path = shared_dir(spark, "stage")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal a scan out over all cores if its files give fewer tasks than that.
+
+    A file written as one row group is read by one task, however costly the work
+    on its rows is. A scan that fills the cluster comes back as it was, without
+    a shuffle. Meant for a plain scan: other plans would be run to be counted.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:

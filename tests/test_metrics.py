@@ -118,15 +118,14 @@ def test_running_mean_over_chunks(spark):
 CURVE = [0.57, 0.56, 0.60, 0.68, 0.67, 0.59, 0.62, 0.62, 0.676, 0.99]
 
 
-@pytest.mark.parametrize("numbered", [True, False])
 @pytest.mark.parametrize("width", [1, 3, 100])
-def test_early_stopping(spark, numbered, width):
+def test_early_stopping(spark, width):
     rows = [("a", i + 1, f) for i, f in enumerate(CURVE)]
     rows += [("zero", i + 1, 0.0) for i in range(7)]
     rows += [("tie", i + 1, 0.5) for i in range(4)]
     df = spark.createDataFrame(rows, "run string, epoch int, f1 double")
     chunk = F.floor(F.col("epoch") / width)
-    got = {r.run: r for r in early_stopping(df, "run", "epoch", "f1", 5, chunk=chunk, numbered=numbered).collect()}
+    got = {r.run: r for r in early_stopping(df, "run", "epoch", "f1", 5, chunk=chunk).collect()}
     assert (got["a"].best_epoch, got["a"].best_metric, got["a"].stop_epoch) == (4, 0.68, 9)
     assert (got["zero"].best_epoch, got["zero"].stop_epoch) == (None, 5)
     assert (got["tie"].best_epoch, got["tie"].stop_epoch, got["tie"].epochs_run) == (1, None, 4)
