@@ -14,12 +14,12 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.functions.text import normalize_text
+from evenkeel.functions.text import normalize_text, timestamp_text
 from evenkeel.functions.vectors import apply_multipliers, argmax
 from evenkeel.operators.joins import fold_parts
 from evenkeel.operators.metrics import class_distribution, cv_summary, score, score_counts
@@ -184,10 +184,16 @@ def boosted(
     return fit
 
 
-def training_history(spark: SparkSession, model: Fitted) -> DataFrame:
-    """Epoch and training loss of a linear head, as a log for early stopping."""
-    losses = model.model.summary.objectiveHistory
-    return spark.createDataFrame([(i, float(loss)) for i, loss in enumerate(losses)], "epoch int, train_loss double")
+def epoch_log(spark: SparkSession, fitted: Mapping[str, Fitted], **settings) -> DataFrame:
+    """Training loss per epoch of every model that reports one, with the settings of the run."""
+    rows = [
+        (name, epoch, float(loss))
+        for name, model in fitted.items()
+        if isinstance(model.model, LogisticRegressionModel) and model.model.hasSummary
+        for epoch, loss in enumerate(model.model.summary.objectiveHistory)
+    ]
+    log = spark.createDataFrame(rows, "model_name string, epoch int, train_loss double")
+    return log.withColumns({"timestamp": timestamp_text(), **{name: F.lit(v) for name, v in settings.items()}})
 
 
 def with_folds(df: DataFrame, key: str, label: str, k: int, seed: int = SEED) -> DataFrame:
@@ -318,12 +324,13 @@ def tune_multipliers(
             tries = [best] + [
                 [m * f if c == i else m for i, m in enumerate(best)] for c in range(n_classes) for f in factors
             ]
-            # one row per candidate
-            found = {r["candidate"]: r["f1_macro"] for r in multiplier_scores(slim, tries, label, probs).collect()}
+            # one row per candidate; rounded, so that equal scores tie however they were added up
+            scores = multiplier_scores(slim, tries, label, probs).collect()
+            found = {r["candidate"]: round(r["f1_macro"], 12) for r in scores}
             if best_f1 is None:
                 best_f1 = base_f1 = found[0]
             top = min(found, key=lambda c: (-found[c], c))
-            if found[top] <= best_f1 + 1e-12:
+            if found[top] <= best_f1:
                 break
             best, best_f1 = tries[top], found[top]
         return best, best_f1, base_f1

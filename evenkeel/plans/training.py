@@ -23,6 +23,7 @@ from evenkeel.operators.models import (
     Estimator,
     Fitted,
     boosted,
+    epoch_log,
     forest,
     kfold_ensemble,
     linear,
@@ -220,7 +221,8 @@ def compare(
     """Fit every model, score on validation (and labelled test) rows, rank them.
 
     Gives back the comparison and a function that predicts with the best model.
-    With ``directory``, the comparison table and the run summary are written.
+    With ``directory``, the comparison table, the run summary and the epoch log are
+    written.
     """
     train, val = clean_messages(train), clean_messages(val)
     features = tfidf_fit(train, "message", max_features=max_features)
@@ -238,7 +240,9 @@ def compare(
             F.col("model").alias("Model"), F.col("val_f1_macro").alias("F1 (Macro)"), F.col("val_f1_weighted").alias("F1 (Weighted)")
         )
         overwrite_log(table, f"{directory}/model_comparison")
-        write_summary(summary_table(table, config or {"max_features": max_features}), f"{directory}/training_summary")
+        settings = dict(config or {"max_features": max_features})
+        write_summary(summary_table(table, settings), f"{directory}/training_summary")
+        overwrite_log(epoch_log(train.sparkSession, result.fitted, **settings), f"{directory}/training_log")
 
     def predict_best(df: DataFrame) -> DataFrame:
         if result.best is None:

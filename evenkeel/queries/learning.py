@@ -134,3 +134,15 @@ def _(spark, d):
 def _(spark, d):
     out = oof_predict(embeddings_as_features(Tables(spark, d)), "vec_id", "label", 3, forest(trees=3, depth=3))
     return out.where(F.size("probs") == 10).select("vec_id", "label", "fold")
+
+
+@query(
+    "ensemble_coverage",
+    f"SELECT vec_id, 10 AS classes, 1.0::DOUBLE AS p_total FROM ({_SPLIT_SQL}) WHERE is_test",
+)
+def _(spark, d):
+    train, held = vectors(Tables(spark, d))
+    done = kfold_ensemble(train, held, "vec_id", "label", 2, forest(trees=3, depth=3))
+    return done.predictions.where(F.col("prediction").between(0, 9)).select(
+        "vec_id", F.size("probs").alias("classes"), r6(F.aggregate("probs", F.lit(0.0), lambda a, x: a + x)).alias("p_total")
+    )

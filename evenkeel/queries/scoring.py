@@ -254,10 +254,39 @@ def _(spark, d):
     return multiplier_scores(df, _CANDIDATES).select("candidate", r6("f1_macro").alias("f1_macro"))
 
 
-@query("tune_multipliers")
+_FACTORS = (0.5, 0.7, 0.85, 0.95, 1.05, 1.2, 1.5, 2.0)
+_TRIES_SQL = f"""SELECT 0 AS id, -1 AS c, 1.0::DOUBLE AS f UNION ALL
+    SELECT 1 + c * {len(_FACTORS)} + i, c, ({list(_FACTORS)}::DOUBLE[])[i + 1] FROM range(10) a(c), range({len(_FACTORS)}) b(i)"""
+
+
+# the best single step of the search
+@query(
+    "tune_multipliers",
+    f"""WITH q AS (SELECT id, c, f, label, list_transform(probs, lambda x, i: CASE WHEN i - 1 = c THEN x * f ELSE x END) AS q
+                  FROM ({SQL_PROBS}) CROSS JOIN ({_TRIES_SQL})),
+        p AS (SELECT id, c, f, label, list_position(q, list_max(q)) - 1 AS prediction FROM q),
+        side AS (SELECT id, label AS k, (label = prediction)::INTEGER AS tp, (label <> prediction)::INTEGER AS miss FROM p
+                 UNION ALL SELECT id, prediction, 0, 1 FROM p WHERE label <> prediction),
+        s AS (SELECT id, round(avg(f1), 12) AS f1 FROM
+               (SELECT id, k, 2.0::DOUBLE * sum(tp) / (2 * sum(tp) + sum(miss)) AS f1 FROM side GROUP BY id, k) GROUP BY id),
+        best AS (SELECT t.c, t.f, s.f1, (SELECT f1 FROM s WHERE id = 0) AS base FROM s JOIN ({_TRIES_SQL}) t ON s.id = t.id
+                 ORDER BY s.f1 DESC, s.id LIMIT 1)
+        SELECT k::INTEGER AS class, CASE WHEN k = c THEN f ELSE 1.0::DOUBLE END AS multiplier, round(f1, 6) AS f1_macro,
+          round(base, 6) AS argmax_f1_macro FROM best, range(10) r(k)""",
+)
+def _(spark, d):
+    df = Tables(spark, d).logits().select("label", softmax(F.col("logits")).alias("probs"))
+    best, f1, base = tune_multipliers(df, 10, factors=_FACTORS, rounds=1)
+    return spark.createDataFrame(
+        [(i, float(m), round(f1, 6), round(base, 6)) for i, m in enumerate(best)],
+        "class int, multiplier double, f1_macro double, argmax_f1_macro double",
+    )
+
+
+@query("tune_multipliers_fully")
 def _(spark, d):
     df = Tables(spark, d).logits().select("label", softmax(F.col("logits")).alias("probs"))
-    best, f1, base = tune_multipliers(df, 10, rounds=4)
+    best, f1, base = tune_multipliers(df, 10, rounds=6)
     return spark.createDataFrame(
         [(i, float(m), float(f1), float(base)) for i, m in enumerate(best)],
         "class int, multiplier double, f1_macro double, argmax_f1_macro double",

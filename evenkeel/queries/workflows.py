@@ -259,3 +259,12 @@ def _(spark, d):
     path = shared_dir(spark, "model")
     fit_text_model(_labelled(t), path, max_features=500)
     return batch_inference(_test(t), path, shared_dir(spark, "scored"))
+
+
+@query("inference_coverage", "SELECT item_id::VARCHAR AS index, true AS valid FROM benchmark")
+def _(spark, d):
+    t = Tables(spark, d)
+    path = shared_dir(spark, "model")
+    fit_text_model(_labelled(t), path, max_features=300)
+    out = batch_inference(_test(t), path)
+    return out.select("index", F.col("label").between(0, 3).alias("valid"))

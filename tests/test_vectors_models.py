@@ -26,7 +26,7 @@ from evenkeel.operators.models import (
 )
 from evenkeel.operators.similarity import max_cosine, nearest, select_similar
 from evenkeel.operators.smote import smote
-from evenkeel.plans.training import batch_inference, fit_text_model, tfidf_folds
+from evenkeel.plans.training import batch_inference, compare, fit_text_model, tfidf_folds
 
 RNG = np.random.default_rng(7)
 
@@ -203,6 +203,12 @@ def test_text_jobs(spark, tmp_path):
     assert run.scores.count() == 2 and len(run.multipliers) == 3
     run.save(str(tmp_path / "p"), str(tmp_path / "log"))
     assert spark.read.parquet(str(tmp_path / "log")).head().val_f1_macro == 1.0
+    strong = {"weak": linear(iterations=5, l2=5.0), "good": linear(iterations=20)}
+    result, predict_best = compare(train, train, strong, directory=str(tmp_path / "run"), config={"batch_size": 32})
+    assert {(r["index"], r.label) for r in predict_best(test).collect()} == {("9", 0), ("10", 2)}
+    epochs = spark.read.option("header", True).csv(str(tmp_path / "run" / "training_log"))
+    assert {r.model_name for r in epochs.collect()} == {"weak", "good"} and epochs.head().batch_size == "32"
+    assert spark.read.json(str(tmp_path / "run" / "training_summary")).head().models_trained == ["good", "weak"]
     path = str(tmp_path / "model")
     fit_text_model(train, path)
     out = batch_inference(test, path, str(tmp_path / "scored"))
