@@ -13,7 +13,9 @@ from pyspark.sql import types as T
 from evenkeel.operators.ranking import top_n_per_class
 from evenkeel.session import SMALL_BYTES, SMALL_ROWS, small_side
 
-BLOCK_ROWS = 2048
+# Rows per block, and rows of the left block that are compared at a time.
+BLOCK_ROWS = 8192
+STRIP_ROWS = 1024
 # Similarities are rounded, so that copies of a text tie wherever they are scored.
 COSINE_DIGITS = 12
 
@@ -26,6 +28,28 @@ def _matrix(vectors, unit: bool) -> np.ndarray:
     return m
 
 
+def _distances(xm: np.ndarray, ym: np.ndarray, unit: bool) -> np.ndarray:
+    """Squared distances, or one minus the cosine for unit vectors.
+
+    Rounded, so that equal vectors tie whatever the order of the sums was.
+    """
+    if unit:
+        return np.round(np.maximum(1.0 - xm @ ym.T, 0.0), COSINE_DIGITS)
+    d = (xm * xm).sum(1)[:, None] + (ym * ym).sum(1)[None, :] - 2.0 * (xm @ ym.T)
+    return np.round(np.maximum(d, 0.0), 9)
+
+
+def _smallest(d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the ``k`` smallest finite entries per row, ties by column."""
+    k = min(k, d.shape[1])
+    limit = np.partition(d, k - 1, axis=1)[:, k - 1 : k]
+    rows, cols = np.nonzero((d <= limit) & np.isfinite(d))
+    order = np.lexsort((cols, d[rows, cols], rows))
+    rows, cols = rows[order], cols[order]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    return rows[place < k], cols[place < k]
+
+
 def nearest(
     left: DataFrame,
     right: DataFrame,
@@ -87,29 +111,26 @@ def nearest(
         ]
     )
 
+    unit = metric == "cosine"
+
     def pair(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if x.empty or y.empty:
             return pd.DataFrame({f.name: [] for f in out_type.fields})
         y = y.sort_values("id", kind="stable")
-        xm, ym = _matrix(x["vec"], metric == "cosine"), _matrix(y["vec"], metric == "cosine")
+        xm, ym = _matrix(x["vec"], unit), _matrix(y["vec"], unit)
         xid, yid = x["id"].to_numpy(), y["id"].to_numpy()
-        if metric == "cosine":
-            d = 1.0 - xm @ ym.T
-        else:
-            d = (xm * xm).sum(1)[:, None] + (ym * ym).sum(1)[None, :] - 2.0 * (xm @ ym.T)
-        # equal vectors must tie whatever the order of the sums was
-        d = np.round(np.maximum(d, 0.0), COSINE_DIGITS if metric == "cosine" else 9)
-        if skip_self:
-            d[xid[:, None] == yid[None, :]] = np.inf
-        best = np.argsort(d, axis=1, kind="stable")[:, :k]
-        rows = np.repeat(np.arange(len(xid)), best.shape[1])
-        cols = best.ravel()
-        dist = d[rows, cols]
-        keep = np.isfinite(dist)
-        out = {"id": xid[rows][keep], "neighbor": yid[cols][keep], "dist": dist[keep]}
+        parts = []
+        for start in range(0, len(xid), STRIP_ROWS):
+            ids = xid[start : start + STRIP_ROWS]
+            d = _distances(xm[start : start + STRIP_ROWS], ym, unit)
+            if skip_self:
+                d[ids[:, None] == yid[None, :]] = np.inf
+            rows, cols = _smallest(d, k)
+            parts.append(pd.DataFrame({"id": ids[rows], "neighbor": yid[cols], "dist": d[rows, cols]}))
+        out = pd.concat(parts)
         if by:
-            out["g"] = np.repeat(x["g"].to_numpy()[:1], keep.sum())
-        return pd.DataFrame(out)[[f.name for f in out_type.fields]]
+            out["g"] = x["g"].iloc[0]
+        return out[[f.name for f in out_type.fields]]
 
     keys = [*groups, "l", "r"]
     found = a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(pair, out_type)
@@ -151,8 +172,11 @@ def max_cosine(
             for batch in batches:
                 m = _matrix(batch, unit=True)
                 top = np.full(len(m), -np.inf)
-                for start in range(0, len(refs), BLOCK_ROWS):
-                    top = np.maximum(top, (m @ refs[start : start + BLOCK_ROWS].T).max(axis=1))
+                for at in range(0, len(m), STRIP_ROWS):
+                    rows = slice(at, at + STRIP_ROWS)
+                    for start in range(0, len(refs), BLOCK_ROWS):
+                        found = (m[rows] @ refs[start : start + BLOCK_ROWS].T).max(axis=1)
+                        top[rows] = np.maximum(top[rows], found)
                 yield pd.Series(np.round(top, COSINE_DIGITS))
 
         # not to be computed a second time by a filter on the score

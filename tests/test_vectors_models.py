@@ -24,7 +24,7 @@ from evenkeel.operators.models import (
     vote,
     with_folds,
 )
-from evenkeel.operators.similarity import max_cosine, nearest, select_similar
+from evenkeel.operators.similarity import _smallest, max_cosine, nearest, select_similar
 from evenkeel.operators.smote import smote
 from evenkeel.plans.training import batch_inference, compare, fit_text_model, tfidf_folds
 
@@ -84,6 +84,12 @@ def test_nearest_equals_brute_force(points, block_rows, coalescing):
         assert got[a.id] == [i for _, i in mates[:3]]
 
 
+def test_smallest_entries_with_ties():
+    d = np.array([[0.0, 0.0, 0.0, 1.0], [np.inf, 2.0, 1.0, 1.0], [np.inf] * 4, [3.0, 2.0, 1.0, 0.0]])
+    rows, cols = _smallest(d, 2)
+    assert list(zip(rows, cols)) == [(0, 0), (0, 1), (1, 2), (1, 3), (3, 3), (3, 2)]
+
+
 def test_select_similar(points):
     ref = points.where("label = 2")
     got = select_similar(points.where("label < 2"), ref, {0: 4, 1: 2}, "id")
