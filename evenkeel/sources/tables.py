@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.operators.joins import join_labels
+from evenkeel.session import cut_lineage
 
 TEXT = T.StructType([T.StructField("index", T.StringType()), T.StructField("message", T.StringType())])
 LABEL = T.StructType([T.StructField("index", T.StringType()), T.StructField("label", T.IntegerType())])
@@ -25,32 +26,32 @@ def read_table(
 ) -> DataFrame:
     """Read delimited files with a header line.
 
+    ``schema`` names the wanted columns with their types; they are found by name,
+    and other columns of the file are not parsed. A value that does not fit its
+    type fails the job. ``na_values`` lists texts that stand for null.
+
     Quoted messages may hold line breaks, so a file is read whole by one task.
     Pass ``multi_line=False`` where messages are known to be single lines, and
-    large files are then split. ``na_values`` lists texts that stand for null.
+    large files are then split.
     """
+    wanted = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     df = (
-        spark.read.schema(schema)
-        .option("header", True)
+        spark.read.option("header", True)
         .option("sep", sep)
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "FAILFAST")
-        .option("enforceSchema", False)
         .csv(path if isinstance(path, str) else list(path))
     )
-    if na_values:
-        missing = list(na_values)
-        df = df.select(
-            *[
-                F.when(F.col(f.name).isin(missing), F.lit(None)).otherwise(F.col(f.name)).alias(f.name)
-                if isinstance(f.dataType, T.StringType)
-                else F.col(f.name)
-                for f in df.schema.fields
-            ]
-        )
-    return df
+
+    def value(field: T.StructField):
+        text = F.col(f"`{field.name}`")
+        if na_values:
+            text = F.when(~text.isin(list(na_values)), text)
+        return text.cast(field.dataType).alias(field.name)
+
+    return df.select(*[value(f) for f in wanted.fields])
 
 
 def load_labeled(
@@ -91,14 +92,11 @@ def write_table(df: DataFrame, path: str, sep: str = ",", compression: str | Non
 def write_text_label(
     df: DataFrame, directory: str, names: tuple[str, str] = ("train_index_text.csv", "train_index_label.csv")
 ) -> tuple[str, str]:
-    """Write one table as a text part and a label part, both from the same rows."""
+    """Write one table as a text part and a label part, both from the same stored rows."""
     text_path, label_path = (f"{directory.rstrip('/')}/{name}" for name in names)
-    df = df.select("index", "message", "label").persist()
-    try:
-        write_table(df.select("index", "message"), text_path)
-        write_table(df.select("index", "label"), label_path)
-    finally:
-        df.unpersist()
+    rows = cut_lineage(df.select("index", "message", "label"))
+    write_table(rows.select("index", "message"), text_path)
+    write_table(rows.select("index", "label"), label_path)
     return text_path, label_path
 
 

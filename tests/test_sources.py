@@ -43,6 +43,15 @@ def test_wrong_header_fails(spark, tmp_path):
         read_table(spark, str(path), TEXT).collect()
 
 
+def test_columns_by_name_and_missing_numbers(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('extra;full_text;category_id\nz;"a; b";0\ny;c;N/A\n')
+    got = read_table(spark, str(path), "category_id int, full_text string", sep=";", na_values=["N/A"]).collect()
+    assert [tuple(r) for r in got] == [(0, "a; b"), (None, "c")]
+    with pytest.raises(Exception):
+        read_table(spark, str(path), "category_id int", sep=";").collect()
+
+
 def test_optional_labels(spark, labelled, tmp_path):
     text, label = write_text_label(labelled, str(tmp_path))
     assert "label" in load_labeled(spark, text, label).columns
