@@ -40,12 +40,17 @@ def prepare(
 ) -> Prepared:
     """Join texts with labels, clean, check labels, rebalance, weigh.
 
-    A rebalanced training set is written once to the shared folder, because
-    weights, training and counts all read it.
+    Rebalancing sees ids and labels only; the texts are joined to the rows that
+    were taken. The result is stored once, because weights, training and counts
+    all read it.
     """
-    rows = strict_label(clean_messages(join_labels(*train)))
+    text, labels = train
     if resample:
-        rows = cut_lineage(balance_classes(rows, "index", "label", majority, target, minimum, seed).drop("draw"))
+        keys = cut_lineage(strict_label(join_labels(text.select("index"), labels)).select("index", "label"))
+        taken = balance_classes(keys, "index", "label", majority, target, minimum, seed).drop("draw")
+        rows = cut_lineage(clean_messages(join_labels(text, taken)))
+    else:
+        rows = strict_label(clean_messages(join_labels(text, labels)))
     return Prepared(
         train=rows,
         val=strict_label(clean_messages(join_labels(*val))),
