@@ -19,9 +19,10 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evenkeel.functions.labels import lookup
 from evenkeel.operators.joins import union_sources
 from evenkeel.session import count_by_label, small_side
 
@@ -148,29 +149,52 @@ def undersample(
     return _take_first(df, key, n, seed, by, hex_digits).where("_first").drop("_first")
 
 
-def _draws(spark: SparkSession, label: str, sizes: Mapping, wanted: Mapping, seed: int, label_type) -> DataFrame:
-    """One row per draw: its class, its number, and the rank of the row it picks.
+def draw_rows(
+    ranked: DataFrame,
+    label: str,
+    sizes: Mapping,
+    wanted: Mapping,
+    seed: int = SEED,
+    rank: str = "_rank",
+    draw: str = "draw",
+) -> DataFrame:
+    """``wanted[label]`` draws with replacement from rows numbered 1 to ``sizes[label]``.
 
-    Draw numbers are made in two steps of at most 10,000 rows per input row, so
-    that a large sample is spread over tasks.
+    Each draw picks a rank by its hash. Draw numbers are made in two steps of at
+    most 10,000 per input row, so that a large sample is spread over tasks. Where
+    a row is expected to be drawn more often than that, it is copied under
+    several salts and its draws are dealt out over them, so that a class of a few
+    rows drawn many times is no hot key.
     """
+    spark = ranked.sparkSession
+    salts = {lab: -(-n // (sizes[lab] * _CHUNK)) for lab, n in wanted.items()}
     plan = spark.createDataFrame(
-        [(str(lab), int(sizes[lab]), int(n)) for lab, n in wanted.items()],
-        "_label string, _size bigint, _n bigint",
+        [(str(lab), int(sizes[lab]), int(n), int(salts[lab])) for lab, n in wanted.items()],
+        "_label string, _size bigint, _n bigint, _salts bigint",
     )
     start = F.col("_start")
     chunks = plan.select(
         "*", F.explode(F.sequence(F.lit(0), F.col("_n") - 1, F.lit(_CHUNK))).alias("_start")
     ).repartition(F.col("_label"), start)
-    return chunks.select(
-        F.col("_label").cast(label_type).alias(label),
+    draws = chunks.select(
+        F.col("_label").cast(ranked.schema[label].dataType).alias(label),
         "_size",
-        F.explode(F.sequence(start, F.least(start + _CHUNK, F.col("_n")) - 1)).alias("draw"),
+        "_salts",
+        F.explode(F.sequence(start, F.least(start + _CHUNK, F.col("_n")) - 1)).alias(draw),
     ).select(
         label,
-        "draw",
-        (F.pmod(hash_number(hash_of(seed, F.col(label), F.col("draw"))), F.col("_size")) + 1).alias("_rank"),
+        draw,
+        (F.pmod(hash_number(hash_of(seed, F.col(label), F.col(draw))), F.col("_size")) + 1).alias(rank),
+        F.pmod(F.col(draw), F.col("_salts")).alias("_salt"),
     )
+    keys = [label, rank]
+    if max(salts.values()) > 1:
+        keys.append("_salt")
+        copies = lookup(F.col(label), salts).cast("bigint")
+        ranked = ranked.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), copies - 1)))
+    else:
+        draws = draws.drop("_salt")
+    return draws.join(ranked, keys).drop("_salt")
 
 
 def oversample(
@@ -184,18 +208,17 @@ def oversample(
 ) -> DataFrame:
     """Exactly ``n`` rows per class drawn with replacement, with the draw's number.
 
-    Draws pick ranks evenly, so the join has no hot key. Classes without rows
-    stay empty; with a mapping only the classes it names are drawn.
+    Classes without rows stay empty; with a mapping only the classes it names are
+    drawn.
     """
     sizes = count_by_label(df, label) if sizes is None else sizes
-    wanted = {lab: (n[lab] if isinstance(n, Mapping) else n) for lab in sizes if not isinstance(n, Mapping) or lab in n}
-    wanted = {lab: int(k) for lab, k in wanted.items() if k > 0 and sizes[lab] > 0}
+    wanted = {lab: int(n[lab] if isinstance(n, Mapping) else n) for lab in sizes if not isinstance(n, Mapping) or lab in n}
+    wanted = {lab: k for lab, k in wanted.items() if k > 0 and sizes[lab] > 0}
     if not wanted:
         return df.limit(0).withColumn("draw", F.lit(None).cast("bigint"))
     rows = df.where(F.col(label).isin(*wanted))
     ranked = hash_rank(rows, key, seed, by=label, rank="_rank", hex_digits=hex_digits)
-    draws = _draws(df.sparkSession, label, sizes, wanted, seed, df.schema[label].dataType)
-    return draws.join(ranked, [label, "_rank"]).select(*df.columns, "draw")
+    return draw_rows(ranked, label, sizes, wanted, seed).select(*df.columns, "draw")
 
 
 def balance_classes(

@@ -7,8 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.operators.sampling import HEX_DIGITS, SEED, hash_number, hash_of, hash_rank, undersample
-from evenkeel.operators.sampling import _draws
+from evenkeel.operators.sampling import HEX_DIGITS, SEED, draw_rows, hash_number, hash_of, hash_rank, undersample
 from evenkeel.operators.similarity import nearest
 from evenkeel.session import count_by_label
 
@@ -53,11 +52,10 @@ def smote(
     ranked = hash_rank(base, key, seed, by=label, rank="_rank", hex_digits=hex_digits).join(
         close, [label, key], "left"
     )
-    draws = _draws(df.sparkSession, label, sizes, small, seed, df.schema[label].dataType)
     pick = hash_number(hash_of(f"{seed}n", F.col(label), F.col("draw")))
     # 52 bits, so that the fraction is an exact double
     gap = F.conv(F.substring(hash_of(f"{seed}g", F.col(label), F.col("draw")), 1, 13), 16, 10).cast("double") / float(16**13)
-    chosen = draws.join(ranked, [label, "_rank"]).select(
+    chosen = draw_rows(ranked, label, sizes, small, seed).select(
         label,
         "draw",
         F.col(vec).alias("_x"),
