@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,9 +14,12 @@ from pyspark.sql import types as T
 from evenkeel.operators.ranking import top_n_per_class
 from evenkeel.session import SMALL_BYTES, SMALL_ROWS, small_side
 
-# Rows per block, and rows of the left block that are compared at a time.
-BLOCK_ROWS = 8192
-STRIP_ROWS = 1024
+# Bytes of the vectors of a block, and entries of the distance matrix that are
+# held at a time (of 8 bytes each).
+BLOCK_BYTES = 32 * 1024 * 1024
+STRIP_CELLS = 8 * 1024 * 1024
+# Blocks smaller than this are not worth a task.
+LEAST_BLOCK_ROWS = 1024
 # Similarities are rounded, so that copies of a text tie wherever they are scored.
 COSINE_DIGITS = 12
 
@@ -65,19 +69,28 @@ def nearest(
     """The ``k`` closest rows of ``right`` for each row of ``left``, exactly.
 
     ``metric`` is ``l2`` (squared distance) or ``cosine`` (one minus the
-    cosine). Both sides are cut into blocks of about ``block_rows`` rows, per
-    class if ``by`` is given, and each pair of blocks is one matrix product in
-    one task. A block pair gives back ``k`` rows per left row and no more; these
-    are merged afterwards. Memory per task is bounded by the block size and not
-    by the class. Result: left key, ``neighbors`` as an array of ``(dist, id)``
-    ascending, ties by id.
+    cosine). Both sides are cut into blocks, per class if ``by`` is given, and
+    each pair of blocks is compared in one task, strip by strip. A block pair
+    gives back ``k`` rows per left row and no more; these are merged afterwards.
+    Each side is sent once per block of the other, so blocks are as large as
+    ``BLOCK_BYTES`` allows, but small enough to keep all cores busy. Memory per
+    task is bounded by the block and not by the class. Result: left key,
+    ``neighbors`` as an array of ``(dist, id)`` ascending, ties by id.
     """
-    block_rows = block_rows or BLOCK_ROWS
     groups = ["g"] if by else []
     group_of = [F.col(by).alias("g")] if by else []
 
+    n = F.count("*")
+    if block_rows:
+        n_blocks = F.ceil(n / block_rows)
+    else:
+        first = right.select(F.size(vec)).head()
+        most_rows = max(1, BLOCK_BYTES // (8 * max(1, first[0] if first else 1)))
+        busy = math.ceil(math.sqrt(2 * left.sparkSession.sparkContext.defaultParallelism))
+        n_blocks = F.greatest(F.ceil(n / most_rows), F.least(F.lit(busy), F.ceil(n / LEAST_BLOCK_ROWS)))
+
     def sizes(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*group_of).agg(F.ceil(F.count("*") / block_rows).cast("int").alias(name))
+        return df.groupBy(*group_of).agg(n_blocks.cast("int").alias(name))
 
     if by:
         blocks = small_side(sizes(left, "_lb").join(sizes(right, "_rb"), "g"))
@@ -120,9 +133,10 @@ def nearest(
         xm, ym = _matrix(x["vec"], unit), _matrix(y["vec"], unit)
         xid, yid = x["id"].to_numpy(), y["id"].to_numpy()
         parts = []
-        for start in range(0, len(xid), STRIP_ROWS):
-            ids = xid[start : start + STRIP_ROWS]
-            d = _distances(xm[start : start + STRIP_ROWS], ym, unit)
+        strip = max(1, STRIP_CELLS // len(yid))
+        for start in range(0, len(xid), strip):
+            ids = xid[start : start + strip]
+            d = _distances(xm[start : start + strip], ym, unit)
             if skip_self:
                 d[ids[:, None] == yid[None, :]] = np.inf
             rows, cols = _smallest(d, k)
@@ -171,12 +185,10 @@ def max_cosine(
             refs = matrix.value
             for batch in batches:
                 m = _matrix(batch, unit=True)
-                top = np.full(len(m), -np.inf)
-                for at in range(0, len(m), STRIP_ROWS):
-                    rows = slice(at, at + STRIP_ROWS)
-                    for start in range(0, len(refs), BLOCK_ROWS):
-                        found = (m[rows] @ refs[start : start + BLOCK_ROWS].T).max(axis=1)
-                        top[rows] = np.maximum(top[rows], found)
+                top = np.empty(len(m))
+                strip = max(1, STRIP_CELLS // len(refs))
+                for at in range(0, len(m), strip):
+                    top[at : at + strip] = (m[at : at + strip] @ refs.T).max(axis=1)
                 yield pd.Series(np.round(top, COSINE_DIGITS))
 
         # not to be computed a second time by a filter on the score

@@ -1,7 +1,9 @@
 """Cleaning and rules against plain Python on awkward strings."""
 
 import re
+import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +62,20 @@ def test_clean_equals_python(texts):
     assert collect(texts, clean_text(F.col("t"))) == [plain(t) for t in TEXTS]
 
 
+def test_every_settled_character(spark):
+    """All characters of Unicode 3.2, which Python and every JVM agree on."""
+    known = [c for c in range(1, 0x110000) if unicodedata.ucd_3_2_0.category(chr(c)) not in ("Cn", "Cs")]
+    raw = [f"Aa{chr(c)}bB {chr(c)}" for c in known]
+    df = spark.createDataFrame(pa.table({"id": known, "t": raw})).repartition(8)
+    rows = df.select(
+        "t", clean_text(F.col("t")).alias("c"), normalize_text(F.col("t"), True).alias("n"), words(F.col("t")).alias("w")
+    )
+    for t, cleaned, normal, found in rows.toArrow().to_pandas().itertuples(index=False):
+        assert cleaned == " ".join(re.sub(r"[^\w\s\?!\']", " ", t).lower().split())
+        assert normal == " ".join(t.lower().split())
+        assert list(found) == re.findall(r"(?u)\b\w\w+\b", t.lower())
+
+
 def test_words_and_grams_equal_python(texts):
     def grams(t):
         w = re.findall(r"(?u)\b\w\w+\b", (t or "").lower())
