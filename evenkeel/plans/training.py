@@ -85,6 +85,12 @@ def with_embeddings(df: DataFrame, encoder: Callable | None = None, dim: int = 2
     return cut_lineage(embed(df, text, encoder, dim)).withColumn("features", array_to_vector("vec"))
 
 
+def _stored(features: PipelineModel, df: DataFrame) -> DataFrame:
+    """Features of a table, made once: a learner passes over them several times."""
+    names = [c for c in ("index", "label") if c in df.columns]
+    return cut_lineage(features.transform(df).select(*names, "features"))
+
+
 def tfidf_forest(
     train: DataFrame,
     test: DataFrame,
@@ -104,10 +110,10 @@ def tfidf_forest(
     part, held = split.where(~F.col("is_test")), split.where("is_test")
     fit = forest(trees=trees, depth=depth, seed=seed)
     features = tfidf_fit(part, "message", max_features=max_features)
-    checked = cut_lineage(fit(features.transform(part))(features.transform(held)).select("index", "label", "prediction"))
+    checked = cut_lineage(fit(_stored(features, part))(features.transform(held)).select("index", "label", "prediction"))
     scores = score(checked)
     features = tfidf_fit(train, "message", max_features=max_features)
-    model = fit(features.transform(train))
+    model = fit(_stored(features, train))
     got = scores.head()
     return Run(
         predictions=_labels(model(features.transform(test))),
@@ -199,7 +205,7 @@ def merged_linear(train: DataFrame, test: DataFrame, max_features: int = 10_000,
     """A class-weighted linear head on all labelled rows, without validation."""
     train, test = clean_messages(train), clean_messages(test)
     features = tfidf_fit(train, "message", max_features=max_features)
-    rows = cut_lineage(features.transform(train).select("index", "label", "features"))
+    rows = _stored(features, train)
     model = linear(**params)(rows)
     acc = model(rows).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).head()[0]
     return Run(
@@ -226,14 +232,8 @@ def compare(
     """
     train, val = clean_messages(train), clean_messages(val)
     features = tfidf_fit(train, "message", max_features=max_features)
-
-    def kept(df: DataFrame) -> DataFrame:
-        # read by every model
-        names = [c for c in ("index", "label", "features") if c in (*df.columns, "features")]
-        return cut_lineage(features.transform(df).select(*names))
-
-    seen = None if test is None else kept(clean_messages(test))
-    result = run_models(kept(train), kept(val), estimators, test=seen)
+    seen = None if test is None else _stored(features, clean_messages(test))
+    result = run_models(_stored(features, train), _stored(features, val), estimators, test=seen)
     if directory:
         ok = result.table.where(F.col("error").isNull())
         table = ok.select(
@@ -253,11 +253,11 @@ def compare(
     return result, predict_best
 
 
-def fit_text_model(train: DataFrame, path: str, max_features: int = 10_000, l2: float = 0.01) -> PipelineModel:
+def fit_text_model(train: DataFrame, path: str, max_features: int = 10_000, **params) -> PipelineModel:
     """Fit TF-IDF and the linear head and save them as one model."""
     train = clean_messages(train)
     features = tfidf_fit(train, "message", max_features=max_features)
-    head = linear(l2=l2)(features.transform(train)).model
+    head = linear(**params)(_stored(features, train)).model
     model = PipelineModel([*features.stages, head])
     model.write().overwrite().save(path)
     return model

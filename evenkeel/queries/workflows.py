@@ -257,7 +257,7 @@ def _(spark, d):
 def _(spark, d):
     t = Tables(spark, d)
     path = shared_dir(spark, "model")
-    fit_text_model(_labelled(t), path, max_features=500)
+    fit_text_model(_labelled(t), path, max_features=500, iterations=20)
     return batch_inference(_test(t), path, shared_dir(spark, "scored"))
 
 
@@ -265,6 +265,6 @@ def _(spark, d):
 def _(spark, d):
     t = Tables(spark, d)
     path = shared_dir(spark, "model")
-    fit_text_model(_labelled(t), path, max_features=300)
+    fit_text_model(_labelled(t), path, max_features=300, iterations=20)
     out = batch_inference(_test(t), path)
     return out.select("index", F.col("label").between(0, 3).alias("valid"))
