@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     CountVectorizerModel,
     ElementwiseProduct,
@@ -16,11 +16,11 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.functions.text import ngrams, term_counts, words
+from evenkeel.functions.text import WORD, ngrams, term_counts, words
 from evenkeel.session import SMALL_ROWS, small_side
 
 
@@ -93,8 +93,6 @@ def tfidf_fit(df: DataFrame, text: str, out: str = "features", **vocabulary) ->
 
 
 def _gram_stages(text: str, lo: int, hi: int) -> list[SQLTransformer]:
-    from evenkeel.functions.text import WORD
-
     pattern = WORD.replace("\\", "\\\\")
     parts, gram = [], "w"
     for n in range(1, hi + 1):
@@ -138,8 +136,6 @@ _FIRST_ID = 4
 
 def word_vocabulary(df: DataFrame, text: str, size: int = 30_000) -> DataFrame:
     """The most frequent words with ids from 4 upwards, ties by word."""
-    from pyspark.sql import Window
-
     tokens = df.select(F.explode_outer(words(F.col(text))).alias("word")).where(F.col("word").isNotNull())
     counts = tokens.groupBy("word").agg(F.count("*").alias("n"))
     top = counts.orderBy(F.col("n").desc(), F.col("word").asc()).limit(size)

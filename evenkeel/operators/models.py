@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.functions.text import normalize_text, timestamp_text
-from evenkeel.functions.vectors import apply_multipliers, argmax
+from evenkeel.functions.vectors import apply_multipliers, argmax, label_weight
 from evenkeel.operators.joins import fold_parts
-from evenkeel.operators.metrics import class_distribution, cv_summary, score, score_counts
+from evenkeel.operators.metrics import class_distribution, cv_summary, score, score_counts, with_sample_weights
 from evenkeel.operators.sampling import SEED, stratified_folds
 from evenkeel.session import count_by_label, cut_lineage
 
@@ -81,8 +81,6 @@ Estimator = Callable[[DataFrame, "DataFrame | None"], Fitted]
 
 
 def _weighted(train: DataFrame, label: str, balanced: bool) -> DataFrame:
-    from evenkeel.operators.metrics import with_sample_weights
-
     return with_sample_weights(train, label, "_weight") if balanced else train.withColumn("_weight", F.lit(1.0))
 
 
@@ -117,8 +115,6 @@ def linear(
     **params,
 ) -> Estimator:
     """A linear class head with class-weighted loss and L2 penalty."""
-    from evenkeel.functions.vectors import label_weight
-
     def fit(train: DataFrame, valid: DataFrame | None = None) -> Fitted:
         if weights:
             train = train.withColumn("_weight", label_weight(F.col(label), weights))

@@ -25,6 +25,7 @@ from evenkeel.queries.base import (
     SQL_PROBS,
     SQL_WEIGHTS,
     Tables,
+    fold_every,
     query,
     r6,
     sql_fold_every,
@@ -156,8 +157,6 @@ _VOTE_PROBS = (
         GROUP BY vec_id, class""",
 )
 def _(spark, d):
-    from evenkeel.queries.base import fold_every
-
     t = Tables(spark, d)
     one = t.logits().select("vec_id", softmax(F.col("logits")).alias("probs"))
     other = t.embeddings.select("vec_id", fold_every(F.reverse("embedding"), 10).alias("l")).select(
