@@ -8,6 +8,7 @@ of the sequence length, so a sequence may begin in one partition and end in the
 from __future__ import annotations
 
 import base64
+import re
 import uuid
 from array import array
 from collections.abc import Iterator
@@ -29,6 +30,7 @@ KNOWN = 500_000
 #: Chunks of more characters are not kept in it.
 LONG = 64
 BYTES_AT_ONCE = 1 << 24
+ODD_SPACE = re.compile(r" (?!\S)")
 
 
 def _tokenizer(path: str) -> tiktoken.Encoding:
@@ -53,21 +55,21 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """The ids as unsigned 32-bit numbers in the byte order of the machine (little-endian on all that run here)."""
-        parts = text.split(" ")
-        plain = not any(not p or p[0].isspace() for p in parts[1:])
-        chunks = [parts[0], *[" " + p for p in parts[1:]]] if plain else [text]
-        try:
-            return b"".join([self.known[c] for c in chunks])
-        except KeyError:
+        if ODD_SPACE.search(text):
+            return array("I", self.made.encode_ordinary(text)).tobytes()
+        first, *rest = text.split(" ")
+        get = self.known.get
+        out = [get(c) for c in rest]
+        if None in out:
             if len(self.known) > KNOWN:
                 self.known.clear()
-        fresh = [c for c in dict.fromkeys(chunks) if c not in self.known]
-        self.known.update({c: array("I", self.made.encode_ordinary(c)).tobytes() for c in fresh})
-        out = b"".join([self.known[c] for c in chunks])
-        for c in fresh:
-            if len(c) > LONG:
-                del self.known[c]
-        return out
+            for i, ids in enumerate(out):
+                if ids is None:
+                    chunk = rest[i]
+                    out[i] = ids = array("I", self.made.encode_ordinary(" " + chunk)).tobytes()
+                    if len(chunk) <= LONG:
+                        self.known[chunk] = ids
+        return array("I", self.made.encode_ordinary(first)).tobytes() + b"".join(out)
 
 
 def _encoded(docs: DataFrame, id_col: str, text_col: str, path: str, end: int) -> DataFrame:
