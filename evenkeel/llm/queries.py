@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import packing, quality, sharding, simhash
+from evenkeel.llm import packing, pii, quality, sharding, simhash
 from evenkeel.llm.sql import SQL_QUALITY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,16 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op5_pii")
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(_table(spark, sf_dir, "documents"))
+
+    def count(rank: int):
+        return F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("bigint")
+
+    return found.select(
+        "doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)],
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"),
+    )
