@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import packing, pii, quality, sharding, simhash
-from evenkeel.llm.sql import SQL_QUALITY
+from evenkeel.llm import mixing, packing, pii, quality, sharding, simhash
+from evenkeel.llm.sql import SQL_MIXING, SQL_QUALITY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -69,3 +69,9 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)],
         F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"),
     )
+
+
+@query("op4_mixing", SQL_MIXING)
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.withColumns({c: F.round(c, 9) for c in ("probability", "weight")})

@@ -34,3 +34,48 @@ SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, sh
   NOT (short OR repetitive) AND NOT (symbols OR marks OR lines) AND rate <= 0.5 AS kept
 FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
 """
+
+
+def _sql_mixing(rounds: int = 12, power: float = 0.7) -> str:
+    """Tokens per cell, raked round by round, one named step for each dimension of each round."""
+    steps, last = [], "s0"
+    for k in range(rounds):
+        for d in ("source", "lang", "topic"):
+            steps.append(
+                f"{last}_{d[0]} AS MATERIALIZED (SELECT * REPLACE (w * goal_{d} / sum(w) OVER (PARTITION BY {d}) AS w) FROM {last})"
+            )
+            last = f"{last}_{d[0]}"
+        steps.append(f"s{k + 1} AS MATERIALIZED (FROM {last})")
+        last = f"s{k + 1}"
+    goals = ", ".join(
+        f"""g_{d} AS (SELECT {d}, pow(sum(tokens), {power}) / sum(pow(sum(tokens), {power})) OVER () * any_value(total) AS goal_{d}
+        FROM c GROUP BY {d})"""
+        for d in ("source", "lang", "topic")
+    )
+    return rf"""
+WITH t AS (
+  SELECT doc_id, source, lang,
+    CASE WHEN regexp_matches(coalesce(text, ''), '(?i)licen[cs]ed?|rights reserved') THEN 'licence'
+      WHEN regexp_matches(coalesce(text, ''), '@[A-Za-z0-9-]+\.|\+[0-9] ') THEN 'contact'
+      WHEN regexp_matches(coalesce(text, ''), '[|]') THEN 'table' ELSE 'prose' END AS topic,
+    len({SQL_WORDS.format('text')})::BIGINT AS n_tokens FROM documents),
+c AS MATERIALIZED (
+  SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens, sum(sum(n_tokens)) OVER ()::DOUBLE AS total FROM t
+  GROUP BY ALL HAVING sum(n_tokens) > 0),
+{goals},
+s0 AS MATERIALIZED (
+  SELECT c.source, c.lang, c.topic, tokens, goal_source, goal_lang, goal_topic, tokens AS w FROM c
+  JOIN g_source ON c.source IS NOT DISTINCT FROM g_source.source JOIN g_lang ON c.lang IS NOT DISTINCT FROM g_lang.lang
+  JOIN g_topic ON c.topic = g_topic.topic),
+{", ".join(steps)},
+j AS (
+  SELECT t.*, CASE WHEN n_tokens > 0 THEN coalesce(w / tokens, 1) ELSE 1.0 END AS wanted,
+    ('0x' || substr(md5('mix|' || coalesce(t.doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0 AS draw
+  FROM t LEFT JOIN {last} s ON t.source IS NOT DISTINCT FROM s.source AND t.lang IS NOT DISTINCT FROM s.lang
+    AND t.topic = s.topic)
+SELECT doc_id, source, lang, topic, n_tokens, round(least(wanted, 1), 9) AS probability,
+  round(greatest(wanted, 1), 9) AS weight, draw < wanted AS kept FROM j
+"""
+
+
+SQL_MIXING = _sql_mixing()
