@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import mixing, packing, pii, quality, sharding, simhash, toxicity
+from evenkeel.llm import html, mixing, packing, pii, quality, sharding, simhash, toxicity
 from evenkeel.llm.sql import SQL_MIXING, SQL_QUALITY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,9 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_toxicity")
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query("op6_html")
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.main_text(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
