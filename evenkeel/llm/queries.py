@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import html, mixing, packing, pii, quality, sharding, simhash, toxicity
+from evenkeel.llm import html, mixing, neighbours, packing, pii, quality, sharding, simhash, toxicity
 from evenkeel.llm.sql import SQL_MIXING, SQL_QUALITY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html.main_text(_table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@query("op2_neighbours")
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 50 = 0"))
