@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import uuid
 from types import SimpleNamespace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Ids that are sent to every executor at most when documents are left out (some 16 bytes each); more go by a shuffle.
+FEW_IDS = 2_000_000
 #: ASCII white space; a word is a longest run of anything else.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -40,6 +43,23 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: compressed, read column by column, and safe from lost executors."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    place = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(place)
+    return spark.read.schema(df.schema).parquet(place)
+
+
+def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is not in the one column of ``gone``, with their own columns; null ids stay."""
+    ids = settle(gone.toDF("__gone").where("__gone IS NOT NULL").distinct())
+    if ids.count() <= FEW_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, F.col(id_col) == F.col("__gone"), "left_anti")
+
+
 def uniform(key: Column, seed: str) -> Column:
     """A draw in [0, 1) that depends on the key and the seed alone: the first 52 bits of an md5."""
     digest = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(key.cast("string"), F.lit(""))))

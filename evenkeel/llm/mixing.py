@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import WORD, settle, uniform
+from evenkeel.llm.common import WORD, settle, uniform, without
 
 DIMENSIONS = ("source", "lang", "topic")
 #: First pattern that is found names the topic; ``prose`` otherwise.
@@ -106,7 +106,9 @@ def mix(
     )
 
 
-def keep_mixed(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id the mix keeps, with their own columns."""
-    kept = mix(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+def keep_mixed(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
+    """``docs`` with their own columns, without the ids that the mix leaves out; rows without an id stay.
+
+    Rows of one id draw alike but may lie in different cells; they go together if one of them is left out.
+    """
+    return without(docs, id_col, mix(docs, id_col, **settings).where("NOT kept").select("doc_id"))

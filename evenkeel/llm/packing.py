@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import base64
 import re
-import uuid
 from array import array
 from collections.abc import Iterator
 
@@ -19,7 +18,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import ensure_checkpoint_dir, worker_cache
+from evenkeel.llm.common import worker_cache, written
 
 LENGTH = 1024
 END = 0
@@ -144,12 +143,8 @@ def pack(
     of byte-level ranks, by default the public one of 50,257 ids; the tokenizer file of the same vocabulary gives the
     same ids, which the tests check.
     """
-    spark = docs.sparkSession
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ensure_checkpoint_dir(spark)
-    place = f"{spark.sparkContext.getCheckpointDir()}/packed-{uuid.uuid4().hex}"
-    _encoded(docs, id_col, text_col, path, end).write.option("compression", "zstd").parquet(place)
-    runs = spark.read.parquet(place)
+    runs = written(_encoded(docs, id_col, text_col, path, end), "packed")
     totals = runs.groupBy("part").agg(F.sum(F.octet_length("ids") / 4).cast("bigint").alias("n"))
     # one row of two numbers per partition of the first pass: bounded by the number of its tasks
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import html, mixing, neighbours, packing, pii, quality, sharding, simhash, toxicity
+from evenkeel.llm import html, linededup, mixing, neighbours, packing, pii, quality, sharding, simhash, toxicity
 from evenkeel.llm.sql import SQL_MIXING, SQL_QUALITY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,10 @@ def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query("op3_line_dedup")
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = linededup.repeated_lines(docs)
+    return found.select("doc_id", "compared", F.size("removed").cast("bigint").alias("n_removed"), F.array_join("removed", ",").alias("removed"))

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import settle
+from evenkeel.llm.common import settle, without
 from evenkeel.llm.components import components
 
 SEED = 42
@@ -219,6 +219,16 @@ def near_duplicates(
     return prints.join(known, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """``docs`` with their own columns, of each group of near duplicates the document with the smallest id.
+
+    Rows of one id stay or go together; they stay if one of them is the first of its group. Rows without an id stay.
+    """
+    found = near_duplicates(docs, id_col, text_col, **settings)
+    later = found.groupBy("doc_id").agg(F.min((F.col("doc_id") > F.col("component_id")).cast("int")).alias("later"))
+    return without(docs, id_col, later.where("later = 1").select("doc_id"))
+
+
 def as_hex(fp: Column) -> Column:
     """A fingerprint as 16 lowercase hexadecimal digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

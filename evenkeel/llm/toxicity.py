@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import settle, worker_cache
+from evenkeel.llm.common import settle, without, worker_cache
 
 #: Labelled rows that the model is learned from at most, those whose ids hash lowest.
 LABELLED_ROWS = 200_000
@@ -354,7 +354,7 @@ def toxicity(
     )
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id has no row that is predicted toxic, with their own columns."""
-    bad = toxicity(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """``docs`` with their own columns, without the ids that have a row predicted toxic; rows without an id stay."""
+    bad = toxicity(docs, labels, id_col, text_col, **settings).where("predicted = 1")
+    return without(docs, id_col, bad.select("doc_id"))
