@@ -52,12 +52,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(place)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is not in the one column of ``gone``, with their own columns; null ids stay."""
-    ids = settle(gone.toDF("__gone").where("__gone IS NOT NULL").distinct())
+    name = fresh(docs, "gone")
+    ids = settle(gone.toDF(name).where(F.col(name).isNotNull()).distinct())
     if ids.count() <= FEW_IDS:
         ids = F.broadcast(ids)
-    return docs.join(ids, F.col(id_col) == F.col("__gone"), "left_anti")
+    return docs.join(ids, F.col(id_col) == F.col(name), "left_anti")
 
 
 def uniform(key: Column, seed: str) -> Column:

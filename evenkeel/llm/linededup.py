@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions.binding import let, with_costly
-from evenkeel.llm.common import settle, words, written
+from evenkeel.llm.common import fresh, settle, words, written
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Entries of the table of token counts by hash, and the steps of rarity it is cut into.
@@ -164,13 +164,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keeps none but blank ones, goes.
     """
     found = settle(repeated_lines(docs, id_col, text_col, similarity).where(F.size("removed") > 0))
-    gone = found.select(F.col("doc_id").alias("__of"), F.col("removed").alias("__removed"))
+    of, removed, kept = (fresh(docs, name) for name in ("of_id", "removed", "kept_text"))
+    gone = found.select(F.col("doc_id").alias(of), F.col("removed").alias(removed))
     held = found.agg(F.coalesce(F.sum(F.size("removed") + 4), F.lit(0))).first()[0]
     if held <= FETCH_AT_ONCE:
         gone = F.broadcast(gone)
-    joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col("__of")), "left")
-    lines = F.split(text_col, "\n")
-    left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("__removed", i)), "\n")
-    out = joined.withColumn("__left", F.when(F.col("__removed").isNotNull(), left).otherwise(F.col(text_col)))
-    stays = F.col("__removed").isNull() | F.col("__left").rlike(r"[^\x20\x09-\x0D]")
-    return out.where(stays).select(*[F.col("__left").alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col(of)), "left")
+    left = F.array_join(F.filter(F.split(text_col, "\n"), lambda _, i: ~F.array_contains(removed, i)), "\n")
+    out = joined.withColumn(kept, F.when(F.col(removed).isNotNull(), left).otherwise(F.col(text_col)))
+    stays = F.col(removed).isNull() | F.col(kept).rlike(r"[^\x20\x09-\x0D]")
+    return out.where(stays).select(*[F.col(kept).alias(c) if c == text_col else F.col(c) for c in docs.columns])
