@@ -32,8 +32,9 @@ STRICT = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 # Wider patterns, for what the labelers vote on: spelled-out addresses, other separators, no country code.
+_NAME, _DOT = r"[A-Za-z0-9-]++", r"(?:[ ]?(?:\(dot\)|\[dot\])[ ]?|[ ]dot[ ])"
 WIDE = {
-    "email": _LOCAL + r"[ ]?+(?:\(at\)|\[at\]| at )[ ]?+[A-Za-z0-9-]++(?:[ ]?+(?:\.|\(dot\)|\[dot\]| dot )[ ]?+[A-Za-z0-9-]++)++",
+    "email": _LOCAL + rf"(?:[ ]?(?:\(at\)|\[at\])[ ]?{_NAME}(?:(?:{_DOT}|\.){_NAME})++|[ ]at[ ]{_NAME}(?:{_DOT}{_NAME})++)",
     "ip": _DIGIT + r"[0-9]{1,3}+(?:(?:\[\.\]|\(\.\)|,)[0-9]{1,3}+){3}(?![0-9])",
     "card": _DIGIT + r"[0-9]{4}+(?:[./_][0-9]{4}+){3}(?![0-9])",
     "phone": r"(?<![0-9+().-])(?:00[1-9]|\(?0?[0-9]{3}\)?)[ .-][0-9][ ().0-9-]{5,14}[0-9](?![0-9])",
@@ -212,9 +213,11 @@ def _inputs(row: dict) -> dict[str, float]:
     return {"bias": 1.0, **{c: float(row[c]) for c in LABELERS}, "digits": (row["shape"] // 2) / 15, "separated": float(row["shape"] % 2)}
 
 
-def fit(table: list[dict]) -> SpanModel:
+def fit(table: list[dict], anchored: bool = True) -> SpanModel:
     """Expectation-maximisation over vote patterns, then a logistic fit to its posteriors; both per kind.
 
+    Spans of the strict pattern are kept in any case, so if ``anchored`` they count as true throughout.
+
     The table is bounded by the number of vote patterns, so this runs on the driver. A kind without candidates
     has no weights, and no span of it is added.
     """
@@ -227,6 +230,8 @@ def fit(table: list[dict]) -> SpanModel:
         post = [sum(r[c] for c in LABELERS) / len(LABELERS) for r in rows]
         rates: dict[str, tuple[float, float]] = {}
         for _ in range(EM_ROUNDS):
+            if anchored:
+                post = [1.0 if r["strict"] else p for r, p in zip(rows, post)]
             true = sum(p * r["n"] for p, r in zip(post, rows))
             false = sum((1 - p) * r["n"] for p, r in zip(post, rows))
             prior = (true + 1) / (true + false + 2)

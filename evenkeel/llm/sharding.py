@@ -2,8 +2,8 @@
 
 Documents with equal texts are linked. Members of a group are alike and of one size, so the state of the propagation is
 a count per group and shard, never a link table: a group of any size is at most one row per shard. In each round a
-group's members propose to move to the shard that holds most of the group; a shard takes proposals, largest gain first,
-up to its quota. Documents without links are dealt out last, by prefix sums, to make the shards even.
+group's members propose to move to the shard that holds most of the group, of those that are not full; a shard takes
+proposals, largest gain first, up to its quota. Documents without links are dealt out last, by prefix sums, to make the shards even.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from evenkeel.llm.common import settle, uniform
 
 SHARDS = 8
-ROUNDS = 4
+ROUNDS = 6
 #: Rows that one task orders at a time when places or prefix sums are computed.
 BUCKET_ROWS = 20_000
 
@@ -31,12 +31,14 @@ def _loads(counts: DataFrame, shards: int) -> dict[int, int]:
 
 def _round(counts: DataFrame, quota: int, shards: int, seed: int) -> DataFrame:
     """One round over ``(grp, size, shard, n)``: the moves that the quotas allow, applied."""
+    loads = _loads(counts, shards)
+    room = [s for s in range(shards) if loads[s] < quota]
     at_most = F.max(F.struct("n", F.pmod(F.xxhash64("grp", "shard", F.lit(seed)), F.lit(1 << 20)).alias("tie"), "shard"))
-    best = counts.groupBy("grp").agg(at_most.alias("top")).select("grp", F.col("top.shard").alias("aim"), F.col("top.n").alias("most"))
-    asked = counts.join(best, "grp").withColumn("gain", F.when(
-        F.col("shard") != F.col("aim"), F.floor(F.log2(F.col("most") + 1)).cast("int")))
-    asked = settle(asked)
-    loads = _loads(asked, shards)
+    best = counts.where(F.col("shard").isin(room)).groupBy("grp").agg(at_most.alias("top")).select(
+        "grp", F.col("top.shard").alias("aim"), F.col("top.n").alias("most"))
+    better = (F.col("shard") != F.col("aim")) & (F.col("n") <= F.col("most"))
+    gain = F.when(better, F.floor(F.log2(F.col("most") + 1)).cast("int"))
+    asked = settle(counts.join(best, "grp", "left").withColumn("gain", gain))
     # what is asked of each shard by gain: at most 64 gains for each shard, whatever the number of groups
     wishes = (
         asked.where("gain IS NOT NULL").groupBy("aim", "gain").agg(F.sum(F.col("n") * F.col("size")).alias("b")).collect()
@@ -124,13 +126,15 @@ def balanced_shards(
         counts = _round(counts, quota, shards, seed)
     loads = _loads(counts, shards)
 
-    # members take shards in proportion to their group's counts, by their draw; exact for a group in one shard
+    # members take the places of their group's counts, in the order of their draws
     spans = counts.groupBy("grp").agg(F.sort_array(F.collect_list(F.struct("shard", "n"))).alias("places"), F.sum("n").alias("all"))
     ends = F.transform("places", lambda p, i: F.struct(p["shard"].alias("shard"), F.aggregate(
         F.slice("places", F.lit(1), i + 1), F.lit(0).cast("bigint"), lambda a, x: a + x["n"]).alias("end")))
     spans = spans.select("grp", "all", ends.alias("ends"))
-    chosen = F.get(F.filter("ends", lambda e: F.col("draw") * F.col("all") < e["end"]), F.lit(0))["shard"]
-    linked = settle(known.where("linked").join(spans, "grp").withColumn("shard", chosen).select(
+    chosen = F.get(F.filter("ends", lambda e: F.col("place") < e["end"]), F.lit(0))["shard"]
+    bucket = F.floor(F.col("draw") * F.ceil(F.col("all") / BUCKET_ROWS)).cast("bigint")
+    members = settle(known.where("linked").join(spans.select("grp", "all"), "grp").withColumn("bucket", bucket))
+    linked = settle(_places(members, "grp").join(spans.drop("all"), "grp").withColumn("shard", chosen).select(
         "doc_id", "size", "text_crc32", "draw", "shard"))
     loads = _loads(linked.withColumn("n", F.lit(1)), shards)
 
@@ -164,17 +168,22 @@ def _room(loads: dict[int, int], more: int) -> dict[int, int]:
 
 
 def _slots(rows: DataFrame, n: int) -> DataFrame:
-    """Number the rows of each shard from 0: counts of bounded buckets, then places inside them."""
+    """Number the rows of each shard from 0."""
     rows = settle(rows.withColumn("bucket", F.floor(F.col("draw") * _buckets(n)).cast("bigint")))
-    sizes = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("c"))
-    back = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("shard", "bucket", F.coalesce(F.sum("c").over(back), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("shard", "bucket").orderBy("draw", "doc_id")
-    return (
-        rows.withColumn("place", F.row_number().over(inside) - 1)
-        .join(starts, ["shard", "bucket"])
-        .select("doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("place")).cast("bigint").alias("slot"))
-    )
+    return _places(rows, "shard").select("doc_id", "size", "text_crc32", "shard", F.col("place").alias("slot"))
+
+
+def _places(rows: DataFrame, by: str) -> DataFrame:
+    """``rows`` with ``place``, their number from 0 within ``by`` in the order of their draws, in two passes.
+
+    ``bucket`` cuts the draws so that no bucket of a group has many more than ``BUCKET_ROWS`` rows.
+    """
+    sizes = rows.groupBy(by, "bucket").agg(F.count(F.lit(1)).alias("c"))
+    back = Window.partitionBy(by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(by, "bucket", F.coalesce(F.sum("c").over(back), F.lit(0)).alias("start"))
+    inside = Window.partitionBy(by, "bucket").orderBy("draw", "doc_id")
+    numbered = rows.withColumn("inside", F.row_number().over(inside) - 1).join(starts, [by, "bucket"])
+    return numbered.withColumn("place", (F.col("start") + F.col("inside")).cast("bigint")).drop("start", "inside", "bucket")
 
 
 def cut_links(sharded: DataFrame) -> DataFrame:

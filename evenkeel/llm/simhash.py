@@ -87,7 +87,7 @@ class _Forest:
 
 
 def _quarters(fps: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(fps.view("<u2").reshape(-1, 4)).astype(np.int16)
+    return np.bitwise_count(np.ascontiguousarray(fps).view("<u2").reshape(-1, 4)).astype(np.int16)
 
 
 def _ordered(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
