@@ -37,25 +37,22 @@ def _round(counts: DataFrame, quota: int, shards: int, seed: int) -> DataFrame:
     best = counts.where(F.col("shard").isin(room)).groupBy("grp").agg(at_most.alias("top")).select(
         "grp", F.col("top.shard").alias("aim"), F.col("top.n").alias("most"))
     better = (F.col("shard") != F.col("aim")) & (F.col("n") <= F.col("most"))
-    gain = F.when(better, F.floor(F.log2(F.col("most") + 1)).cast("int"))
+    gain = F.when(better, F.floor(4 * F.log2(F.col("most") - F.col("n") + 1)).cast("int"))
     asked = settle(counts.join(best, "grp", "left").withColumn("gain", gain))
-    # what is asked of each shard by gain: at most 64 gains for each shard, whatever the number of groups
-    wishes = (
-        asked.where("gain IS NOT NULL").groupBy("aim", "gain").agg(F.sum(F.col("n") * F.col("size")).alias("b")).collect()
-    )
-    share: dict[tuple[int, int], float] = {}
-    for aim in range(shards):
-        free = max(0, quota - loads[aim])
+    # what is asked of each shard by gain, in quarter doublings: some 250 rows for each shard, whatever the number of groups
+    wishes = asked.where("gain IS NOT NULL").groupBy("aim", "gain").agg(F.sum(F.col("n") * F.col("size")).alias("b")).collect()
+    share = []
+    for aim in room:
+        free = quota - loads[aim]
         for row in sorted((w for w in wishes if w["aim"] == aim), key=lambda w: -w["gain"]):
             taken = min(free, int(row["b"]))
-            share[aim, row["gain"]] = taken / int(row["b"])
+            share.append((aim, row["gain"], taken / int(row["b"])))
             free -= taken
-    allowed = F.lit(0.0)
-    for (aim, gain), part in share.items():
-        allowed = F.when((F.col("aim") == aim) & (F.col("gain") == gain), F.lit(part)).otherwise(allowed)
+    table = counts.sparkSession.createDataFrame(share, "aim int, gain int, allowed double")
+    asked = asked.join(F.broadcast(table), ["aim", "gain"], "left")
     # a share of the members goes; of single members, those whose draw is below it
     draw = uniform(F.concat_ws("|", F.col("grp"), F.col("shard")), f"move{seed}")
-    moving = F.when(F.col("gain").isNotNull(), F.floor(F.col("n") * allowed + draw)).otherwise(F.lit(0)).cast("bigint")
+    moving = F.when(F.col("allowed").isNotNull(), F.floor(F.col("n") * F.col("allowed") + draw)).otherwise(F.lit(0)).cast("bigint")
     moved = asked.withColumn("go", F.least(moving, F.col("n")))
     stay = moved.select("grp", "size", "shard", (F.col("n") - F.col("go")).alias("n"))
     gone = moved.where("go > 0").select("grp", "size", F.col("aim").alias("shard"), F.col("go").alias("n"))
