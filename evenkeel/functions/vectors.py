@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -61,8 +62,10 @@ def cross_entropy(logits: Column, label: Column, weights: Mapping[int, float] |
 
 
 def weighted_ce(probs: Column, label: Column, weights: Mapping[int, float] | None = None) -> Column:
-    """Weighted cross-entropy per row, from probabilities."""
-    return label_weight(label, weights) * -F.log(F.get(probs, label))
+    """Weighted cross-entropy per row, from probabilities; one of zero counts as the least positive double."""
+    own = F.get(probs, label)
+    least = sys.float_info.min
+    return label_weight(label, weights) * -F.log(F.when(own < least, F.lit(least)).otherwise(own))
 
 
 def focal_loss(ce: Column, gamma: float = 2.0) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from evenkeel.functions.text import normalize_text, timestamp_text
 from evenkeel.functions.vectors import apply_multipliers, argmax, label_weight
 from evenkeel.operators.joins import fold_parts
-from evenkeel.operators.metrics import class_distribution, cv_summary, score, score_counts, with_sample_weights
+from evenkeel.operators.metrics import cv_summary, score, score_counts, with_sample_weights
 from evenkeel.operators.sampling import SEED, stratified_folds
 from evenkeel.session import count_by_label, cut_lineage
 
@@ -390,7 +390,3 @@ def run_models(
     done = [r for r in rows if r[0] in fitted and r[1] is not None]
     best = min(done, key=lambda r: (-r[1], r[0]))[0] if done else None
     return Comparison(table, fitted, best)
-
-
-def prediction_distribution(df: DataFrame, prediction: str = "prediction") -> DataFrame:
-    return class_distribution(df, prediction)

@@ -35,10 +35,11 @@ def running_by_chunk(
     chunks are carried forward over that small table, and the rows are walked
     within their chunk only. A group that holds a third of all rows is thus
     spread over as many tasks as it has chunks. Ties in ``order`` must have been
-    removed by the caller.
+    removed by the caller. A null group is a group of its own; rows without an
+    order value come back with null results and count for no other row.
     """
     chunk = default_chunk(df, order) if chunk is None else chunk
-    work = df.withColumn("_chunk", chunk)
+    work = df.where(F.col(order).isNotNull()).withColumn("_chunk", chunk)
     for name, (_, value) in values.items():
         work = work.withColumn(f"_v{name}", value)
 
@@ -59,9 +60,14 @@ def running_by_chunk(
     inside = (
         Window.partitionBy(*group, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     )
-    joined = work.join(carried, [*group, "_chunk"])
-    out = joined
+    carried = carried.withColumnsRenamed({g: f"_g{g}" for g in group}).withColumnRenamed("_chunk", "_of_chunk")
+    same = F.col("_chunk").eqNullSafe(F.col("_of_chunk"))
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{g}"))
+    out = work.join(carried, same)
     for name, (kind, _) in values.items():
         agg, combine = _COMBINE[kind]
         out = out.withColumn(name, combine(F.col(f"_c{name}"), agg(f"_v{name}").over(inside)))
-    return out.select(*df.columns, *values)
+    ordered = out.select(*df.columns, *values)
+    unordered = df.where(F.col(order).isNull())
+    return ordered.unionByName(unordered.select("*", *[F.lit(None).cast(ordered.schema[n].dataType).alias(n) for n in values]))

@@ -21,6 +21,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evenkeel.functions.labels import lookup
 from evenkeel.operators.joins import union_sources
@@ -77,30 +78,46 @@ def hash_rank(
     )
 
 
+def _label_counts(df: DataFrame, label: str) -> DataFrame:
+    """``label, _n, _start``: rows per label, and the rows of the labels before it."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("_n"))
+    # one row per label
+    before = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
+    return small_side(counts.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))))
+
+
+def _quota_table(df: DataFrame, by: str, quotas: Mapping) -> DataFrame:
+    fields = T.StructType([T.StructField(by, df.schema[by].dataType), T.StructField("_quota", T.LongType())])
+    return F.broadcast(df.sparkSession.createDataFrame([(lab, int(n)) for lab, n in quotas.items()], fields))
+
+
 def _take_first(
     df: DataFrame,
     key: str,
-    quotas: Mapping | int,
+    quotas: Mapping | DataFrame | int,
     seed: int,
     by: str | None,
     hex_digits: int,
 ) -> DataFrame:
     """Add ``_first``: is the row among the first ``quota`` of its class in hash order?
 
-    ``quotas`` is one number or one per class; classes it does not name have no
-    row taken.
+    ``quotas`` is one number or one per class, as a mapping or a table
+    ``(by, _quota)``; classes it does not name have no row taken. Rows that
+    share the key at which the quota is reached are taken in the order of a hash
+    of all their columns, as many as are still wanted.
     """
     groups = [by] if by else []
     if by:
         df = df.where(F.col(by).isNotNull())
     if isinstance(quotas, Mapping):
-        quota = F.lit(0)
-        for label, n in quotas.items():
-            quota = F.when(F.col(by) == label, F.lit(int(n))).otherwise(quota)
-    else:
-        quota = F.lit(int(quotas))
+        quotas = _quota_table(df, by, quotas)
     slim = _hashed(df.select(key, *groups), key, seed, hex_digits)
-    buckets = _offsets(slim, groups).withColumn("_left", quota - F.col("_before"))
+    buckets = _offsets(slim, groups)
+    if isinstance(quotas, DataFrame):
+        buckets = buckets.join(quotas, groups)
+    else:
+        buckets = buckets.withColumn("_quota", F.lit(int(quotas)))
+    buckets = buckets.withColumn("_left", F.col("_quota") - F.col("_before"))
     # the bucket in which the quota is reached, if it is reached at all
     edge = small_side(
         buckets.where((F.col("_left") > 0) & (F.col("_left") <= F.col("_n"))).select(*groups, "_b", "_left")
@@ -109,25 +126,45 @@ def _take_first(
     cuts = small_side(
         slim.join(edge, [*groups, "_b"])
         .withColumn("_place", F.row_number().over(place))
+        .withColumn("_first_place", F.rank().over(place))
+        .withColumn("_ties", F.count("*").over(Window.partitionBy(*groups, "_b", "_h", key)))
         .where(F.col("_place") == F.col("_left"))
-        .select(*groups, F.col("_h").alias("_cut_h"), F.col(key).alias("_cut_key"))
+        .select(
+            *groups,
+            F.col("_h").alias("_cut_h"),
+            F.col(key).alias("_cut_key"),
+            (F.col("_left") - F.col("_first_place") + 1).alias("_wanted"),
+            "_ties",
+        )
     )
     work = _hashed(df, key, seed, hex_digits)
     if groups:
+        if isinstance(quotas, DataFrame):
+            work = work.join(quotas, groups, "left").withColumn("_quota", F.coalesce("_quota", F.lit(0)))
+        else:
+            work = work.withColumn("_quota", F.lit(int(quotas)))
         work = work.join(cuts, groups, "left")
     else:
-        key_type = df.schema[key].dataType
-        cut = cuts.head() or (None, None)
-        work = work.withColumn("_cut_h", F.lit(cut[0]).cast("string")).withColumn(
-            "_cut_key", F.lit(cut[1]).cast(key_type)
+        cut = cuts.head() or (None, None, None, None)
+        work = (
+            work.withColumn("_quota", F.lit(int(quotas)))
+            .withColumn("_cut_h", F.lit(cut[0]).cast("string"))
+            .withColumn("_cut_key", F.lit(cut[1]).cast(df.schema[key].dataType))
+            .withColumn("_wanted", F.lit(cut[2]).cast("bigint"))
         )
-    within = (F.col("_h") < F.col("_cut_h")) | (
-        (F.col("_h") == F.col("_cut_h")) & (F.col(key) <= F.col("_cut_key"))
-    )
+    same_hash = F.col("_h") == F.col("_cut_h")
+    at_cut = same_hash & F.col(key).eqNullSafe(F.col("_cut_key"))
+    within = (F.col("_h") < F.col("_cut_h")) | (same_hash & (F.col(key) < F.col("_cut_key"))) | at_cut
     # without a cut the class has fewer rows than its quota, or a quota of zero
-    return work.withColumn(
-        "_first", F.when(F.col("_cut_h").isNull(), quota > 0).otherwise(within)
-    ).select(*df.columns, "_first")
+    first = F.when(F.col("_cut_h").isNull(), F.col("_quota") > 0).otherwise(F.coalesce(within, F.lit(False)))
+    flagged = work.withColumn("_first", first)
+    if not cuts.where(F.col("_ties") > F.col("_wanted")).take(1):
+        return flagged.select(*df.columns, "_first")
+    # the key at the cut is repeated: its rows, and only those, are numbered
+    tied = F.coalesce(at_cut, F.lit(False))
+    number = F.row_number().over(Window.partitionBy(*groups, "_h", key).orderBy(F.xxhash64(*df.columns)))
+    numbered = flagged.where(tied).withColumn("_first", number <= F.col("_wanted"))
+    return flagged.where(~tied).select(*df.columns, "_first").unionByName(numbered.select(*df.columns, "_first"))
 
 
 def undersample(
@@ -291,13 +328,9 @@ def reindex(
     ``key`` must be unique within a source.
     """
     ranked = hash_rank(df, key, seed, by=source, rank="_rank", hex_digits=hex_digits)
-    before, starts = 0, {}
-    for name, size in count_by_label(df, source).items():
-        starts[name], before = before, before + size
-    start = F.lit(None).cast("bigint")
-    for name, offset in starts.items():
-        start = F.when(F.col(source) == name, F.lit(offset)).otherwise(start)
-    return ranked.withColumn(out, (start + F.col("_rank") - 1).cast("string")).drop("_rank")
+    starts = _label_counts(df, source).drop("_n")
+    number = (F.col("_start") + F.col("_rank") - 1).cast("string")
+    return ranked.join(starts, source).withColumn(out, number).select(*[c for c in df.columns if c != out], out)
 
 
 def stratified_folds(
@@ -315,11 +348,9 @@ def stratified_folds(
     are dealt out one after the other.
     """
     ranked = hash_rank(df, key, seed, by=label, rank="_rank", hex_digits=hex_digits)
-    before, start = 0, F.lit(0)
-    for lab, size in count_by_label(df, label).items():
-        start = F.when(F.col(label) == lab, F.lit(before)).otherwise(start)
-        before += size
-    return ranked.withColumn(fold, F.pmod(start + F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_rank")
+    starts = _label_counts(df, label).drop("_n")
+    dealt = F.pmod(F.col("_start") + F.col("_rank") - 1, F.lit(k)).cast("int")
+    return ranked.join(starts, label).withColumn(fold, dealt).select(*[c for c in df.columns if c != fold], fold)
 
 
 def assign_batches(
@@ -360,7 +391,23 @@ def stratified_split(
 
     The rows are not shuffled.
     """
-    quotas = holdout_sizes(count_by_label(df, label), test_size)
-    return _take_first(df.where(F.col(label).isNotNull()), key, quotas, seed, label, hex_digits).withColumnRenamed(
-        "_first", out
+    rows = df.where(F.col(label).isNotNull())
+    quotas = small_side(holdout_quotas(_label_counts(rows, label), label, test_size))
+    return _take_first(rows, key, quotas, seed, label, hex_digits).withColumnRenamed("_first", out)
+
+
+def holdout_quotas(counts: DataFrame, label: str, test_size: float) -> DataFrame:
+    """``(label, _quota)``: :func:`holdout_sizes` for a table of any number of labels."""
+    everything = Window.partitionBy(F.lit(0))
+    total = F.sum("_n").over(everything)
+    wanted = F.ceil(F.round(total * F.lit(float(test_size)), 9))
+    shares = counts.select(label, "_n", total.alias("_all"), wanted.alias("_wanted")).select(
+        label,
+        "_wanted",
+        F.expr("_n * _wanted div _all").alias("_whole"),
+        F.expr("_n * _wanted % _all").alias("_rest"),
     )
+    more = F.col("_wanted") - F.sum("_whole").over(everything)
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("_rest"), label))
+    quota = F.col("_whole") + (place <= more).cast("bigint")
+    return shares.withColumn("_quota", quota).select(label, "_quota")

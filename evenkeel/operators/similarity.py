@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.operators.ranking import top_n_per_class
-from evenkeel.session import SMALL_BYTES, SMALL_ROWS, small_side
+from evenkeel.session import SMALL_BYTES, SMALL_ROWS, cut_lineage, small_side
 
 # Bytes of the vectors of a block, and entries of the distance matrix that are
 # held at a time (of 8 bytes each).
@@ -163,39 +163,53 @@ def max_cosine(
     vec: str,
     key: str,
     out: str = "sim_score",
-    ref_key: str | None = None,
     max_ref_rows: int = SMALL_ROWS,
     max_ref_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """Highest cosine similarity of each row of ``df`` to any row of ``ref``.
 
-    A reference set within the bounds is sent to the executors once and each
-    batch of rows is one matrix product, without a shuffle. A larger one goes
-    through :func:`nearest`. A zero vector has similarity 0 to everything.
+    A zero vector has similarity 0 to everything, a null vector none (null), and
+    null vectors of the reference set are passed over. Each row of ``df`` gets a
+    score, whether its key is null, repeated or neither.
+
+    The reference set is counted and measured first. Within the bounds it is sent
+    to the executors once and each batch of rows is one matrix product, without a
+    shuffle; a larger one goes block by block through :func:`nearest`. Both ways
+    give the same scores.
     """
-    vectors = ref.select(F.col(vec).cast("array<double>").alias("v"))
-    rows = vectors.limit(max_ref_rows + 1).toArrow()
-    if rows.num_rows == 0:
+    vectors = ref.select(F.col(vec).cast("array<double>").alias("v")).where(F.col("v").isNotNull())
+    size = vectors.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(8 * F.size("v")), F.lit(0)).alias("bytes")).head()
+    if size["rows"] == 0:
         return df.withColumn(out, F.lit(None).cast("double"))
-    if rows.num_rows <= max_ref_rows and rows.nbytes <= max_ref_bytes:
+    if size["rows"] <= max_ref_rows and size["bytes"] <= max_ref_bytes:
+        rows = vectors.toArrow()
         matrix = df.sparkSession.sparkContext.broadcast(_matrix(rows.column("v").to_pylist(), unit=True))
 
         @F.pandas_udf(T.DoubleType())
         def best(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             refs = matrix.value
             for batch in batches:
-                m = _matrix(batch, unit=True)
+                there = batch.notna().to_numpy()
+                if not there.any():
+                    yield pd.Series(np.full(len(batch), np.nan)).astype(object).where(there, None)
+                    continue
+                m = _matrix(batch[there], unit=True)
                 top = np.empty(len(m))
                 strip = max(1, STRIP_CELLS // len(refs))
                 for at in range(0, len(m), strip):
                     top[at : at + strip] = (m[at : at + strip] @ refs.T).max(axis=1)
-                yield pd.Series(np.round(top, COSINE_DIGITS))
+                scores = pd.Series([None] * len(batch), dtype=object)
+                scores[there] = np.round(top, COSINE_DIGITS)
+                yield scores
 
         # not to be computed a second time by a filter on the score
         return df.withColumn(out, best.asNondeterministic()(F.col(vec).cast("array<double>")))
-    ref_key = ref_key or key
-    closest = nearest(df, ref, key, ref_key, vec, 1, metric="cosine")
-    return df.join(closest.select(key, F.round(1.0 - F.col("neighbors")[0]["dist"], COSINE_DIGITS).alias(out)), key, "left")
+    # rows are known by a number of their own, given once
+    rows = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+    others = vectors.select(F.col("v").alias(vec), F.xxhash64("v").alias("_row"))
+    closest = nearest(rows.where(F.col(vec).isNotNull()), others, "_row", "_row", vec, 1, metric="cosine")
+    score = F.round(1.0 - F.col("neighbors")[0]["dist"], COSINE_DIGITS)
+    return rows.join(closest.select("_row", score.alias(out)), "_row", "left").select(*df.columns, out)
 
 
 def select_similar(

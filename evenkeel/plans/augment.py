@@ -41,20 +41,22 @@ def mixed_augmentation(
     """Relabel a chat corpus by its categories, mix it in by class, number anew.
 
     Sampling and numbering see ids and labels only; the texts are joined to the
-    rows that were taken. Ids must be unique within each of the two inputs.
+    rows that were taken. Rows that share an id are told apart by their texts.
     """
     extra = map_labels(chat, category, mapping).select(
         F.col(chat_id).cast("string").alias("index"), F.col(text).alias("message"), "label"
     )
-    keys = [cut_lineage(rows.select("index", "label")) for rows in (train, extra)]
+    train, extra = (rows.withColumn("_row", F.xxhash64("message")) for rows in (train, extra))
+    keys = [cut_lineage(rows.select("index", "_row", "label")) for rows in (train, extra)]
     mixed = source_mix(*keys, "index", pooled=pooled, drawn=drawn, seed=seed)
     # a row is known by its source, its id there, and the draw that took it
     mixed = cut_lineage(
         mixed.withColumn("_key", F.concat_ws(":", "index", F.coalesce(F.col("draw").cast("string"), F.lit("-"))))
     )
-    taken = cut_lineage(reindex(mixed, "_key", "source", out="_new", seed=seed).select("index", "label", "source", "_new"))
+    taken = cut_lineage(reindex(mixed, "_key", "source", out="_new", seed=seed).select("index", "_row", "label", "source", "_new"))
     parts = [
-        rows.select("index", "message").join(taken.where(F.col("source") == i).drop("source"), "index")
+        rows.select("index", "_row", "message").dropDuplicates(["index", "_row"])
+        .join(taken.where(F.col("source") == i).drop("source"), ["index", "_row"])
         for i, rows in enumerate((train, extra))
     ]
     return union_sources(*parts).select(F.col("_new").alias("index"), "message", "label")

@@ -46,9 +46,12 @@ def prepare(
     """
     text, labels = train
     if resample:
-        keys = cut_lineage(strict_label(join_labels(text.select("index"), labels)).select("index", "label"))
+        # ids may repeat: a row is known by its id and its text, and equal rows are joined as one
+        marked = text.withColumn("_row", F.xxhash64("message"))
+        keys = cut_lineage(strict_label(join_labels(marked.select("index", "_row"), labels)).select("index", "_row", "label"))
         taken = balance_classes(keys, "index", "label", majority, target, minimum, seed).drop("draw")
-        rows = cut_lineage(clean_messages(join_labels(text, taken)))
+        texts = marked.dropDuplicates(["index", "_row"])
+        rows = cut_lineage(clean_messages(texts.join(taken, ["index", "_row"]).drop("_row")))
     else:
         rows = strict_label(clean_messages(join_labels(text, labels)))
     return Prepared(

@@ -75,17 +75,13 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Give back ``df`` as a broadcastable local table if it is small.
+    """Compute ``df`` once, and mark it for broadcast if it turns out small.
 
-    At most ``max_rows + 1`` rows are fetched. If there are more rows, or more
-    bytes than ``SMALL_BYTES``, the frame comes back as it was, and the joins
-    that use it fall back to a shuffle. A frame that is small is computed once
-    here and not again by each of its consumers.
+    The stored rows are counted, none of them is fetched. With more of them than
+    ``max_rows`` the joins that use the frame choose by its size, as any other.
     """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows or rows.nbytes > SMALL_BYTES:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    stored = cut_lineage(df)
+    return F.broadcast(stored) if stored.count() <= max_rows else stored
 
 
 def count_by_label(df: DataFrame, label: str, max_labels: int = 10_000) -> dict:

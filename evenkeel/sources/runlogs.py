@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,7 +45,17 @@ MISSING = "N/A"
 
 
 def append_log(df: DataFrame, path: str) -> None:
-    """Append rows to a log; columns are matched by name when it is read."""
+    """Append rows to a log; columns are matched by name, and brought to the types that the log has already.
+
+    A value that does not fit the type of its column fails the job.
+    """
+    try:
+        known = {field.name: field.dataType for field in read_log(df.sparkSession, path).schema}
+    except AnalysisException as err:
+        if err.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        known = {}
+    df = df.select(*[F.col(f"`{c}`").cast(known[c]).alias(c) if c in known else F.col(f"`{c}`") for c in df.columns])
     df.write.mode("append").parquet(path)
 
 
@@ -78,7 +89,7 @@ def read_ragged_log(spark: SparkSession, path: str, layouts: Mapping[int, Sequen
         # commas outside quotes separate the fields
         (F.size(F.split(F.regexp_replace(line, '"(?:[^"]|"")*"', ""), ",", -1))).alias("width"),
     )
-    rows = cells.where(~F.col("cell.c0").isin(*header_starts))
+    rows = cells.where(~F.coalesce(F.col("cell.c0"), F.lit("")).isin(*header_starts))
 
     def field(name: str):
         known = [(width, layout.index(name)) for width, layout in layouts.items() if name in layout]

@@ -65,7 +65,7 @@ def load_labeled(
     if label_path is None:
         return text
     try:
-        labels = read_table(spark, label_path, LABEL)
+        labels = read_table(spark, label_path, LABEL, **options)
     except AnalysisException as err:
         if err.getCondition() == "PATH_NOT_FOUND":
             return text
@@ -74,7 +74,7 @@ def load_labeled(
 
 
 def write_table(df: DataFrame, path: str, sep: str = ",", compression: str | None = None) -> None:
-    """Write delimited files that :func:`read_table` gives back unchanged."""
+    """Write delimited files that :func:`read_table` gives back unchanged, but for empty texts, which come back null."""
     writer = (
         df.write.mode("overwrite")
         .option("header", True)
