@@ -189,12 +189,12 @@ def _(spark, d):
 
 _VOCAB_SQL = f"""SELECT word, 3 + row_number() OVER (ORDER BY n DESC, word) AS id FROM
       (SELECT word, count(*) AS n FROM (SELECT unnest({sql_words('text')}) AS word FROM documents) GROUP BY word)
-      QUALIFY row_number() OVER (ORDER BY n DESC, word) <= 2000"""
+      QUALIFY row_number() OVER (ORDER BY n DESC, word) <= 30000"""
 
 
 @query("word_vocabulary", f"SELECT word, id::INTEGER AS id FROM ({_VOCAB_SQL})")
 def _(spark, d):
-    return word_vocabulary(Tables(spark, d).documents, "text", 2000)
+    return word_vocabulary(Tables(spark, d).documents, "text")
 
 
 @query(
@@ -210,7 +210,7 @@ def _(spark, d):
 )
 def _(spark, d):
     t = Tables(spark, d)
-    df = encode_sequences(t.documents, "text", word_vocabulary(t.documents, "text", 2000), max_length=64)
+    df = encode_sequences(t.documents, "text", word_vocabulary(t.documents, "text"), max_length=64)
     return df.select(
         "doc_id",
         F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("bigint").alias("used"),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from evenkeel.functions.binding import with_costly
@@ -21,12 +20,12 @@ _TF_SQL = f"""tf AS (SELECT doc_id, term, count(*) AS tf FROM
       (SELECT doc_id, unnest({sql_grams('w')}) AS term FROM (SELECT doc_id, {sql_words('text')} AS w FROM documents)) GROUP BY doc_id, term),
     vocab AS (SELECT term, df, cf, ln((1 + n) / (1.0::DOUBLE + df)) + 1 AS idf FROM
       (SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM tf GROUP BY term) CROSS JOIN (SELECT count(*) AS n FROM documents)
-      WHERE df >= 2 AND df <= 0.9::DOUBLE * n QUALIFY row_number() OVER (ORDER BY cf DESC, term) <= 2000)"""
+      WHERE df >= 2 AND df <= 0.9::DOUBLE * n QUALIFY row_number() OVER (ORDER BY cf DESC, term) <= 10000)"""
 
 
 @query("tfidf_vocabulary", f"WITH {_TF_SQL} SELECT term, df, cf, round(idf, 6) AS idf FROM vocab")
 def _(spark, d):
-    return tfidf_vocabulary(Tables(spark, d).documents, "text", max_features=2000).withColumn("idf", r6("idf"))
+    return tfidf_vocabulary(Tables(spark, d).documents, "text").withColumn("idf", r6("idf"))
 
 
 def _tfidf_sql(table: str, key: str) -> str:
@@ -40,7 +39,7 @@ def _tfidf_sql(table: str, key: str) -> str:
 @query("tfidf_test_set", _tfidf_sql("benchmark", "item_id"))
 def _(spark, d):
     t = Tables(spark, d)
-    vocab = tfidf_vocabulary(t.documents, "text", max_features=2000)
+    vocab = tfidf_vocabulary(t.documents, "text")
     return tfidf_terms(t.benchmark, "item_id", "text", vocab).withColumn("tfidf", r6("tfidf"))
 
 
@@ -52,8 +51,9 @@ def _(spark, d):
 )
 def _(spark, d):
     docs = Tables(spark, d).documents
-    vectors = tfidf_transform(docs.select("doc_id", "text"), tfidf_fit(docs, "text", max_features=2000))
-    rows = with_costly(vectors, x=F.filter(vector_to_array("features"), lambda v: v != 0))
+    vectors = tfidf_transform(docs.select("doc_id", "text"), tfidf_fit(docs, "text"))
+    # the entries of the sparse vector as they are stored, not a dense copy
+    rows = with_costly(vectors, x=F.filter(F.unwrap_udt("features")["values"], lambda v: v != 0))
     return rows.where(F.size("x") > 0).select(
         "doc_id",
         F.size("x").cast("bigint").alias("terms"),
