@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenkeel.functions.labels import lookup
-from evenkeel.operators.running import default_chunk
+from evenkeel.operators.running import with_chunks
 
 
 def early_stopping(
@@ -29,7 +29,9 @@ def early_stopping(
     is spread over tasks. The rows are shuffled once: the chunk totals are taken
     from the walked chunks.
     """
-    work = df.select(run, epoch, metric, (default_chunk(df, epoch) if chunk is None else chunk).alias("_chunk"))
+    # a metric that is no number is no improvement
+    known = df.withColumn(metric, F.nanvl(F.col(metric).cast("double"), F.lit(None).cast("double")))
+    work = with_chunks(known, [run], epoch, chunk).select(run, epoch, metric, "_chunk")
     # said here, so that both readers of the walked rows share one shuffle
     work = work.where(F.col(run).isNotNull() & F.col("_chunk").isNotNull())
     inside = Window.partitionBy(run, "_chunk").orderBy(epoch)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evenkeel.session import small_side
+
 # How a running value is carried over a chunk border.
 _COMBINE = {
     "sum": (F.sum, lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))),
@@ -13,12 +15,40 @@ _COMBINE = {
 }
 
 
-def default_chunk(df: DataFrame, order: str) -> Column:
-    """Hours of a timestamp, or stretches of 10,000 of a number."""
+# Rows of a chunk, on average.
+CHUNK_ROWS = 10_000
+
+
+def with_chunks(df: DataFrame, group: list[str], order: str, chunk: Column | None = None) -> DataFrame:
+    """Add ``_chunk``, which never falls as ``order`` rises; null where ``order`` is.
+
+    Without an expression of the caller's, the range of the order values of each
+    group is cut into as many equal parts as the group has ``CHUNK_ROWS`` rows,
+    so the number of chunks follows the rows and not the values, be they epoch
+    numbers, milliseconds or timestamps. Only one row per group is gathered.
+    """
+    if chunk is not None:
+        return df.withColumn("_chunk", chunk)
     kind = df.schema[order].dataType.typeName()
-    if kind.startswith("timestamp"):
-        return F.date_trunc("hour", F.col(order))
-    return F.floor(F.col(order) / 10_000)
+    if kind == "date":
+        value = F.unix_date(order)
+    elif kind == "timestamp_ntz":
+        value = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(order))
+    else:
+        value = F.col(order)
+    place = value.cast("double")
+    spans = small_side(
+        df.where(F.col(order).isNotNull())
+        .groupBy(*[F.col(g).alias(f"_s{g}") for g in group])
+        .agg(F.min(place).alias("_low"), F.max(place).alias("_high"), F.ceil(F.count("*") / CHUNK_ROWS).alias("_parts"))
+    )
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_s{g}"))
+    share = (place - F.col("_low")) / (F.col("_high") - F.col("_low"))
+    part = F.when(F.col("_high") > F.col("_low"), F.least(F.floor(share * F.col("_parts")), F.col("_parts") - 1)).otherwise(F.lit(0))
+    cut = F.when(F.col(order).isNotNull(), part).cast("bigint")
+    return df.join(spans, same, "left").withColumn("_chunk", cut).select(*df.columns, "_chunk")
 
 
 def running_by_chunk(
@@ -31,15 +61,14 @@ def running_by_chunk(
     """Running ``sum``, ``count`` or ``max`` per group, in ascending ``order``.
 
     Each group is cut into chunks by ``chunk``, an expression that never falls
-    as ``order`` rises. Chunks are summed up first, the totals of the earlier
+    as ``order`` rises, or by :func:`with_chunks`. Chunks are summed up first, the totals of the earlier
     chunks are carried forward over that small table, and the rows are walked
     within their chunk only. A group that holds a third of all rows is thus
     spread over as many tasks as it has chunks. Ties in ``order`` must have been
     removed by the caller. A null group is a group of its own; rows without an
     order value come back with null results and count for no other row.
     """
-    chunk = default_chunk(df, order) if chunk is None else chunk
-    work = df.where(F.col(order).isNotNull()).withColumn("_chunk", chunk)
+    work = with_chunks(df.where(F.col(order).isNotNull()), group, order, chunk)
     for name, (_, value) in values.items():
         work = work.withColumn(f"_v{name}", value)
 

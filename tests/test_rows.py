@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from evenkeel.functions.vectors import weighted_ce
+from evenkeel.operators import running
+from evenkeel.operators.ranking import early_stopping
 from evenkeel.operators.running import running_by_chunk
 from evenkeel.operators.sampling import stratified_folds, stratified_split, undersample
 from evenkeel.operators.similarity import max_cosine
@@ -90,3 +92,19 @@ def test_max_cosine_ways_agree(spark):
         got = max_cosine(df, ref, "vec", "k", **bounds)
         assert got.columns == ["k", "vec", "sim_score"]
         assert sorted(((r.k, r.sim_score) for r in got.collect()), key=repr) == want
+
+
+@pytest.mark.parametrize("step", [1, 1_700_000_000_007])
+def test_chunks_follow_rows_not_values(spark, monkeypatch, step):
+    monkeypatch.setattr(running, "CHUNK_ROWS", 50)
+    df = spark.range(1000).select((F.col("id") % 2).alias("g"), (F.col("id") * step).alias("o"), F.lit(1.0).alias("v"))
+    chunks = running.with_chunks(df, ["g"], "o").groupBy("g", "_chunk").count().collect()
+    assert len(chunks) == 20 and max(r["count"] for r in chunks) <= 60
+    got = running_by_chunk(df, ["g"], "o", None, {"s": ("sum", F.col("v"))}).collect()
+    assert sorted((r.g, r.o // step, r.s) for r in got) == sorted((i % 2, i, float(i // 2 + 1)) for i in range(1000))
+
+
+def test_a_metric_that_is_no_number_is_no_improvement(spark):
+    rows = [("r", 1, 0.5), ("r", 2, float("nan")), ("r", 3, 0.6), ("r", 4, None)]
+    (got,) = early_stopping(spark.createDataFrame(rows, "run string, epoch int, f1 double"), "run", "epoch", "f1", 5).collect()
+    assert (got.best_epoch, got.best_metric, got.epochs_run) == (3, 0.6, 4)
