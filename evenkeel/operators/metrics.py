@@ -91,7 +91,9 @@ def confusion(df: DataFrame, y_true: str = "label", y_pred: str = "prediction")
 def per_class(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Precision, recall, F1 and support per class, from confusion counts.
 
-    Classes are those that occur as a true or as a predicted class.
+    Classes are those that occur as a true or as a predicted class. A row without
+    a prediction is a miss of its class and of no other; one without a true
+    class is left out.
     """
     hit = F.col("y_true") == F.col("y_pred")
     zero = F.lit(0).cast("bigint")
@@ -104,7 +106,9 @@ def per_class(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         )
     )
     sums = (
-        counts.select(*by, F.explode(shares).alias("s"))
+        counts.where(F.col("y_true").isNotNull())
+        .select(*by, F.explode(shares).alias("s"))
+        .where(F.col("s.c").isNotNull())
         .groupBy(*by, F.col("s.c").alias("class"))
         .agg(F.sum("s.tp").alias("tp"), F.sum("s.fp").alias("fp"), F.sum("s.fn").alias("fn"))
     )

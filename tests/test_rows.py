@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions.vectors import weighted_ce
 from evenkeel.operators import running
+from evenkeel.operators.metrics import classification_report
 from evenkeel.operators.ranking import early_stopping
 from evenkeel.operators.running import running_by_chunk
 from evenkeel.operators.sampling import stratified_folds, stratified_split, undersample
@@ -108,3 +109,10 @@ def test_a_metric_that_is_no_number_is_no_improvement(spark):
     rows = [("r", 1, 0.5), ("r", 2, float("nan")), ("r", 3, 0.6), ("r", 4, None)]
     (got,) = early_stopping(spark.createDataFrame(rows, "run string, epoch int, f1 double"), "run", "epoch", "f1", 5).collect()
     assert (got.best_epoch, got.best_metric, got.epochs_run) == (3, 0.6, 4)
+
+
+def test_missing_predictions_are_misses(spark):
+    rows = [(0, 0), (0, None), (1, 1), (None, 1)]
+    got = classification_report(spark.createDataFrame(rows, "label int, prediction int")).collect()
+    assert {r.row: (r.precision, r.recall, r.support) for r in got if r.row in ("0", "1")} == {"0": (1.0, 0.5, 2), "1": (1.0, 1.0, 1)}
+    assert len(got) == 5 and {r.support for r in got if "a" in r.row} == {3}
