@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from evenkeel.queries import REGISTRY
@@ -34,6 +35,8 @@ def main(names: list[str]) -> None:
         **{
             "spark.sql.shuffle.partitions": CPUS,
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="evenkeel-bench-"),
+            "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -21,6 +22,8 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="evenkeel-tests-"),
+            "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
