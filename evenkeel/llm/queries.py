@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.llm import html, linededup, mixing, neighbours, packing, pii, quality, sharding, simhash, toxicity
-from evenkeel.llm.sql import SQL_MIXING, SQL_QUALITY
+from evenkeel.llm.sql import SQL_LINES, SQL_MIXING, SQL_QUALITY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -94,7 +94,7 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.where("vec_id % 50 = 0"))
 
 
-@query("op3_line_dedup")
+@query("op3_line_dedup", SQL_LINES)
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = linededup.repeated_lines(docs)

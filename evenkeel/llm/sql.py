@@ -79,3 +79,24 @@ SELECT doc_id, source, lang, topic, n_tokens, round(least(wanted, 1), 9) AS prob
 
 
 SQL_MIXING = _sql_mixing()
+
+
+SQL_LINES = rf"""
+WITH l AS (
+  SELECT doc_id, i - 1 AS pos, ls[i] AS line, regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+') AS w
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents), unnest(range(1, len(ls) + 1)) r(i)),
+e AS (SELECT * FROM l WHERE len(w) >= 5),
+f AS (SELECT line, min(struct_pack(d := doc_id, p := pos)) AS fst, any_value(w) AS w FROM e GROUP BY line),
+s AS (
+  SELECT line, fst, unnest(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) AS g FROM f),
+n AS (SELECT line, count(*) AS n FROM s GROUP BY line),
+p AS (SELECT a.line AS x, b.line AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.fst < b.fst GROUP BY ALL),
+m AS (
+  SELECT DISTINCT y FROM p JOIN n nx ON nx.line = p.x JOIN n ny ON ny.line = p.y WHERE 5 * c >= 4 * (nx.n + ny.n - c)),
+r AS (
+  SELECT e.doc_id, e.pos, f.fst.d = e.doc_id AND f.fst.p = e.pos AND m.y IS NULL AS stays
+  FROM e JOIN f ON e.line = f.line LEFT JOIN m ON m.y = e.line)
+SELECT doc_id, count(*) AS compared, count(*) FILTER (NOT stays) AS n_removed,
+  coalesce(string_agg(pos::VARCHAR, ',' ORDER BY pos) FILTER (NOT stays), '') AS removed
+FROM r GROUP BY doc_id
+"""
