@@ -83,3 +83,16 @@ def words(text: Column) -> Column:
 def worker_cache() -> dict:
     """A dictionary that lives as long as the Python worker, for what is costly to load and the same in every task."""
     return sys.modules.setdefault("evenkeel_worker_cache", SimpleNamespace(kept={})).kept
+
+
+def oddly_spaced(text: Column) -> Column:
+    """Whether a text's lines hold white space other than single spaces between words."""
+    odd = text.startswith(" ") | text.endswith(" ")
+    for found in ("  ", " \n", "\n ", "\t", "\x0b", "\x0c", "\r"):
+        odd = odd | text.contains(found)
+    return odd
+
+
+def line_words(line: Column, odd: Column) -> Column:
+    """The words of a line; cut at single spaces, some six times as fast as by pattern, where its text is not ``odd``."""
+    return F.when(odd, words(line)).otherwise(F.split(line, " "))

@@ -3,9 +3,10 @@
 The tokens of a line are its distinct five-word shingles. Copies of a line collapse to the first one before lines are
 compared. Tokens are ordered by rarity: how often the tokens of their hash bucket occur in all lines, a table of fixed
 size, and then by hash, one order for the whole corpus. Two lines of a Jaccard similarity of 0.8 share a token among the
-rarest fifth of either (the prefix), so only prefixes are shuffled, by token. Tokens that a single line has are dropped
-there. Every other line is compared first with the earliest line of its token, which settles large groups of variants
-in a number of pairs that is linear in their size, and what is left with all earlier lines of the token.
+rarest fifth of either (the prefix), so only prefixes are shuffled, by token, and tokens that a single line has are
+dropped there. Every other line is compared first with the earliest line of its token, which settles large groups of
+variants in a number of pairs that is linear in their size, and what is left with all earlier lines of the token. Lengths,
+positions and a bit map of each line's tokens rule out most pairs before any text is read again.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions.binding import let, with_costly
-from evenkeel.llm.common import fresh, settle, words, written
+from evenkeel.llm.common import fresh, line_words, oddly_spaced, settle, written
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Entries of the table of token counts by hash, and the steps of rarity it is cut into.
@@ -40,14 +41,19 @@ def shingle_hashes(found: Column, n: Column) -> Column:
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, pos, line, tokens``: every line of five words or more, with its distinct shingles."""
+    texts = _texts(docs, id_col, text_col)
+    return _tokens(texts.select("doc_id", F.posexplode(F.split("body", "\n")).alias("pos", "line"), "odd"))
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, body, odd``, once per text: what is computed beside a generator is computed for each of its rows."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    lines = texts.select("doc_id", F.posexplode(F.split("body", "\n")).alias("pos", "line"))
-    return _tokens(lines)
+    return texts.withColumn("odd", oddly_spaced(F.col("body")))
 
 
 def _tokens(lines: DataFrame) -> DataFrame:
-    counted = with_costly(lines, found=words(F.col("line"))).where(F.size("found") >= SHINGLE)
-    return with_costly(counted, tokens=F.array_distinct(shingle_hashes(F.col("found"), F.size("found")))).drop("found")
+    counted = with_costly(lines, found=line_words(F.col("line"), F.col("odd"))).where(F.size("found") >= SHINGLE)
+    return with_costly(counted, tokens=F.array_distinct(shingle_hashes(F.col("found"), F.size("found")))).drop("found", "odd")
 
 
 def rarity(lines: DataFrame, buckets: int = BUCKETS) -> list[int]:
@@ -83,11 +89,26 @@ def _may_match(similarity: float) -> Column:
     )
 
 
+def _bits(tokens: Column) -> Column:
+    """A bit for each token by its hash: a token that only one of two lines has changes one bit at most."""
+    one = F.lit(1).cast("bigint")
+    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda a, t: a.bitwiseOR(F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))))
+
+
+def _alike(pairs: DataFrame, bits: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose bits differ no more than the tokens of lines that are similar enough can."""
+    x = bits.select(F.col("place").alias("x"), F.col("n").alias("x_n"), F.col("bits").alias("x_bits"))
+    y = bits.select(F.col("place").alias("y"), F.col("n").alias("y_n"), F.col("bits").alias("y_bits"))
+    most = (F.col("x_n") + F.col("y_n")) * ((1 - similarity) / (1 + similarity)) + 1e-9
+    both = pairs.join(x, "x").join(y, "y")
+    return both.where(F.bit_count(F.col("x_bits").bitwiseXOR(F.col("y_bits"))) <= most).select("x", "y")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The lines ``y`` of the pairs whose Jaccard similarity with ``x`` is high enough."""
     x = sets.select(F.col("place").alias("x"), F.col("tokens").alias("x_tokens"))
     y = sets.select(F.col("place").alias("y"), F.col("tokens").alias("y_tokens"))
-    both = pairs.select("x", "y").distinct().join(x, "x").join(y, "y")
+    both = pairs.join(x, "x").join(y, "y")
     shared = F.size(F.array_intersect("x_tokens", "y_tokens"))
     either = F.size("x_tokens") + F.size("y_tokens") - shared
     return both.where(shared >= F.lit(similarity) * either - 1e-9).select("y").distinct()
@@ -100,9 +121,10 @@ def _fetched(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) ->
     )
     if wanted.count() <= FETCH_AT_ONCE:
         places = F.broadcast(places)
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
+    texts = _texts(docs, id_col, text_col)
     here = texts.join(places.drop("none"), F.col("doc_id").eqNullSafe(F.col("of")))
-    lines = here.select("doc_id", F.posexplode(F.split("body", "\n")).alias("pos", "line"), "at").where(F.array_contains("at", F.col("pos")))
+    lines = here.select("doc_id", F.posexplode(F.split("body", "\n")).alias("pos", "line"), "at", "odd")
+    lines = lines.where(F.array_contains("at", F.col("pos")))
     return _tokens(lines.drop("at")).select(_place().alias("place"), "tokens").dropDuplicates(["place"])
 
 
@@ -113,37 +135,44 @@ def repeated_lines(
 
     Lines are what stands between line breaks, positions count from 0. A line takes part if it has five words; it
     goes if an earlier line, by id and then position, has a Jaccard similarity of ``similarity`` or more with it, equal
-    lines included, whether that line stays or not. Shorter and blank lines stay. Ids without such lines, as
-    those of null and empty texts, have no row. Of rows with one id, lines at one position are one line if they are equal; otherwise the first in order of
-    their hash counts as the earlier. Documents without an id are one document after all others. Other columns, whatever
-    their names, are not read. An empty table gives no rows.
+    lines included, whether that line stays or not. Shorter and blank lines stay. Ids without such lines, as those of
+    null and empty texts, have no row. Of rows with one id, lines at one position are one line if they are equal, and
+    stay or go together if they are not. Documents without an id are one document after all others. Other columns,
+    whatever their names, are not read. An empty table gives no rows.
     """
     steps = rarity(_lines(docs, id_col, text_col), buckets)
     lines = written(_lines(docs, id_col, text_col).select(
         "doc_id", "pos", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"), F.size("tokens").alias("n"),
-        _prefix(steps, similarity).alias("prefix"),
+        _prefix(steps, similarity).alias("prefix"), _bits(F.col("tokens")).alias("bits"),
     ), "lines")
 
     firsts = lines.groupBy("h", "g").agg(
         F.min(_place()).alias("place"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix")
     )
-    entries = firsts.select("place", "n", F.posexplode("prefix").alias("i", "token"))
+    # dealt out by token once: the counts and the join below read the same exchange
+    entries = firsts.select("place", "n", F.posexplode("prefix").alias("i", "token")).repartition("token")
     shared = entries.groupBy("token").agg(F.count(F.lit(1)).alias("lines"), F.min(F.struct("place", "n", "i")).alias("x"))
     entries = settle(
         entries.join(shared.where("lines > 1"), "token").select("token", "place", "n", "i", F.col("x").alias("first"))
     )
-    sets = settle(_fetched(docs, id_col, text_col, entries.select("place").distinct()))
+    bits = lines.groupBy("h", "g").agg(F.min(_place()).alias("place"), F.any_value("n").alias("n"), F.any_value("bits").alias("bits"))
+    bits = settle(bits.join(entries.select("place").distinct(), "place", "left_semi").select("place", "n", "bits"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        near = settle(_alike(pairs.select("x", "y").distinct(), bits, similarity))
+        wanted = settle(near.select(F.col("x").alias("place")).union(near.select("y")).distinct())
+        return settle(_verified(near, _fetched(docs, id_col, text_col, wanted), similarity))
 
     near = entries.where("place != first.place").select(
         F.col("first.place").alias("x"), F.col("first.n").alias("x_n"), F.col("first.i").alias("x_i"),
         F.col("place").alias("y"), F.col("n").alias("y_n"), F.col("i").alias("y_i"),
     )
-    gone = settle(_verified(near.where(_may_match(similarity)), sets, similarity))
-    open_lines = entries.where("place != first.place").join(gone, F.col("place") == F.col("y"), "left_anti")
-    later = open_lines.select("token", F.col("place").alias("y"), F.col("n").alias("y_n"), F.col("i").alias("y_i"), "first.place")
-    earlier = entries.where("place != first.place").select("token", F.col("place").alias("x"), F.col("n").alias("x_n"), F.col("i").alias("x_i"))
-    rest = later.join(earlier, (later["token"] == earlier["token"]) & (F.col("x") < F.col("y")) & _may_match(similarity))
-    more = _verified(rest, sets, similarity)
+    gone = verified(near.where(_may_match(similarity)))
+    others = entries.where("place != first.place")
+    open_lines = others.join(gone, F.col("place") == F.col("y"), "left_anti")
+    later = open_lines.select("token", F.col("place").alias("y"), F.col("n").alias("y_n"), F.col("i").alias("y_i"))
+    earlier = others.select("token", F.col("place").alias("x"), F.col("n").alias("x_n"), F.col("i").alias("x_i"))
+    more = verified(later.join(earlier, "token").where((F.col("x") < F.col("y")) & _may_match(similarity)))
     matched = gone.unionByName(more).distinct()
 
     kept = firsts.select("place").join(matched, F.col("place") == F.col("y"), "left_anti")
