@@ -35,8 +35,8 @@ def first_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of cells that the target weights call too large are thinned out."""
-    return mixing.keep_mixed(docs)
+    """Documents of cells that the target weights call too large are thinned out, those of too small ones repeated."""
+    return mixing.repeat_mixed(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import WORD, settle, uniform, without
+from evenkeel.llm.common import WORD, fresh, settle, uniform
 
 DIMENSIONS = ("source", "lang", "topic")
 #: First pattern that is found names the topic; ``prose`` otherwise.
@@ -23,6 +23,8 @@ FLATTEN = 0.7
 ROUNDS = 12
 _ROUNDS_AT_ONCE = 4
 SEED = "mix"
+#: Cells that are sent to every executor at most (some 60 bytes each); more are joined by a shuffle.
+CELLS = 200_000
 
 
 def topic_of(text: Column, topics=TOPICS) -> Column:
@@ -106,9 +108,34 @@ def mix(
     )
 
 
-def keep_mixed(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
-    """``docs`` with their own columns, without the ids that the mix leaves out; rows without an id stay.
+def repeat_mixed(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
+    targets: dict[str, DataFrame] | None = None, topics=TOPICS, rounds: int = ROUNDS, seed: str = SEED,
+) -> DataFrame:
+    """``docs`` with their own columns, each row as often as the mix wants it: its tokens meet the targets in expectation.
 
-    Rows of one id draw alike but may lie in different cells; they go together if one of them is left out.
+    Of a ratio of raked weight to tokens the whole part is the number of copies, and the draw of ``mix`` decides on one
+    more. So a row whose ratio is below one stays or goes as it does there. A row without tokens stays once, and a row
+    without an id at least once, as it cannot be told from others.
     """
-    return without(docs, id_col, mix(docs, id_col, **settings).where("NOT kept").select("doc_id"))
+    base = settle(tagged(docs, id_col, text_col, source_col, lang_col, topics))
+    cells = settle(_cells(base))
+    names = {c: fresh(docs, c) for c in ("of_source", "of_lang", "of_topic", "ratio", "copies", "copy")}
+    raked = rake(cells, targets or flat_targets(cells), rounds)
+    ratio = settle(raked.select(
+        *[F.col(d).alias(names[f"of_{d}"]) for d in DIMENSIONS], (F.col("weight") / F.col("tokens")).alias(names["ratio"])
+    ))
+    if ratio.limit(CELLS + 1).count() <= CELLS:
+        ratio = F.broadcast(ratio)
+    body = F.coalesce(F.col(text_col), F.lit(""))
+    match = (
+        F.col(source_col).cast("string").eqNullSafe(F.col(names["of_source"]))
+        & F.col(lang_col).cast("string").eqNullSafe(F.col(names["of_lang"]))
+        & topic_of(body, topics).eqNullSafe(F.col(names["of_topic"]))
+    )
+    wanted = F.when(body.rlike(WORD), F.coalesce(names["ratio"], F.lit(1.0))).otherwise(F.lit(1.0))
+    whole = F.floor(wanted)
+    copies = whole + (uniform(F.col(id_col), seed) < wanted - whole).cast("bigint")
+    copies = F.when(F.col(id_col).isNull(), F.greatest(copies, F.lit(1))).otherwise(copies).cast("int")
+    counted = docs.join(ratio, match, "left").withColumn(names["copies"], copies).where(F.col(names["copies"]) > 0)
+    return counted.withColumn(names["copy"], F.explode(F.array_repeat(F.lit(0), F.col(names["copies"])))).select(*docs.columns)

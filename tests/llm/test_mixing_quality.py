@@ -1,6 +1,7 @@
 import collections
 import re
 
+import corpus_pipeline
 import pytest
 
 from evenkeel.llm import mixing, quality
@@ -32,6 +33,29 @@ def test_weighted_sample_follows_the_targets(spark):
     assert all(r.kept for r in got if r.source == "small")
 
 
+def test_rows_of_the_stage_meet_the_targets(spark):
+    texts = {"prose": "word " * 20, "contact": "mail +4 to " + "word " * 17, "table": "a | b " + "word " * 17}
+    rows = [
+        (i, texts["contact" if i % 20 == 0 else "table" if i % 25 == 1 else "prose"], "es" if i % 10 == 2 else "en", "ab"[i % 7 == 3])
+        for i in range(8000)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    out = corpus_pipeline.mix_sources(spark, docs, "")
+    assert out.columns == docs.columns
+    tokens = mixing.tagged(out, "doc_id", "text", "source", "lang").collect()
+    natural = mixing.tagged(docs, "doc_id", "text", "source", "lang").collect()
+    for d in mixing.DIMENSIONS:
+        had, got = collections.Counter(), collections.Counter()
+        for counter, found in ((had, natural), (got, tokens)):
+            for r in found:
+                counter[r[d]] += r.n_tokens
+        goal = {k: v**0.7 for k, v in had.items()}
+        for k, v in goal.items():
+            assert got[k] / sum(got.values()) == pytest.approx(v / sum(goal.values()), abs=0.01), (d, k)
+    kept = {r.doc_id for r in mixing.mix(docs).collect() if r.kept}
+    assert {r.doc_id for r in out.collect()} == kept
+
+
 def plain_measures(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     at = collections.defaultdict(list)
