@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The boundary records of the packed sequences, with the token ids."""
-    return packing.pack(docs)
+    return packing.pack(docs, added=packing.added_tokens())
 
 
 STAGES = [

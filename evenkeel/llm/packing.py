@@ -8,6 +8,7 @@ of the sequence length, so a sequence may begin in one partition and end in the
 from __future__ import annotations
 
 import base64
+import json
 import re
 from array import array
 from collections.abc import Iterator
@@ -38,15 +39,32 @@ def _tokenizer(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def added_tokens(path: str | None = None) -> dict[str, int]:
+    """What a tokenizer file, by default the public one, adds to its vocabulary: each literal with its id.
+
+    The file's tokenizer cuts a text at these literals, the longest first, before it encodes what is between them.
+    """
+    with open(path or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        listed = json.load(file)["added_tokens"]
+    for token in listed:
+        if token["single_word"] or token["lstrip"] or token["rstrip"] or token["normalized"]:
+            raise ValueError(f"added token {token['content']!r} is not a plain literal")
+    return {token["content"]: token["id"] for token in listed}
+
+
 class Encoder:
     """Byte-level BPE of whole texts, with a table of the chunks seen before.
 
+    Literals in ``added`` have one id, and a text is cut at them first.
     The tokenizer first cuts a text into pieces and no token crosses a cut. A single space before a visible character
     always starts a piece, so the ids of a text are those of its chunks between such spaces, end to end. A text with
     any other run of white space around a space is encoded as one chunk.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: dict[str, int] | None = None):
+        self.added = {literal: array("I", [i]).tobytes() for literal, i in (added or {}).items()}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         kept = worker_cache()
         self.made = kept.setdefault(("tokenizer", path), None) or _tokenizer(path)
         kept[("tokenizer", path)] = self.made
@@ -54,6 +72,12 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """The ids as unsigned 32-bit numbers in the byte order of the machine (little-endian on all that run here)."""
+        if self.cut is not None and any(literal in text for literal in self.added):
+            parts = self.cut.split(text)
+            return b"".join(self.added[p] if i % 2 else self._plain(p) for i, p in enumerate(parts) if p)
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if ODD_SPACE.search(text):
             return array("I", self.made.encode_ordinary(text)).tobytes()
         first, *rest = text.split(" ")
@@ -71,7 +95,9 @@ class Encoder:
         return array("I", self.made.encode_ordinary(first)).tobytes() + b"".join(out)
 
 
-def _encoded(docs: DataFrame, id_col: str, text_col: str, path: str, end: int) -> DataFrame:
+def _encoded(
+    docs: DataFrame, id_col: str, text_col: str, path: str, end: int, added: dict[str, int] | None
+) -> DataFrame:
     """``(part, at, doc_id, start, doc_tokens, ids)``: a document's ids, in runs, with their place in the partition."""
     wanted = docs.select(
         F.spark_partition_id().cast("bigint").alias("part"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("body")
@@ -80,7 +106,7 @@ def _encoded(docs: DataFrame, id_col: str, text_col: str, path: str, end: int) -
     schema = f"part bigint, at bigint, doc_id {kind}, start bigint, doc_tokens bigint, ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, at, tail = Encoder(path), 0, array("I", [end]).tobytes()
+        encoder, at, tail = Encoder(path, added), 0, array("I", [end]).tobytes()
         for batch in batches:
             rows, held = [], 0
             for part, doc, body in zip(*(batch.column(i) for i in range(3))):
@@ -131,7 +157,7 @@ def _cut(runs: DataFrame, length: int) -> DataFrame:
 
 def pack(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, tokenizer: str | None = None,
-    end: int = END,
+    end: int = END, added: dict[str, int] | None = None,
 ) -> DataFrame:
     """One boundary record per piece: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``.
 
@@ -140,11 +166,11 @@ def pack(
     sequence's. A piece never crosses a sequence; a document of over a million ids may have a cut inside a sequence. A
     null or empty text is its ``end`` id alone. A null id stays null; rows with the same id are packed one by one.
     Other columns, whatever their names, are not read. An empty table gives no pieces. ``tokenizer`` is the path of a file
-    of byte-level ranks, by default the public one of 50,257 ids; the tokenizer file of the same vocabulary gives the
-    same ids, which the tests check.
+    of byte-level ranks, by default the public one of 50,257 ids. With ``added_tokens`` of the tokenizer file of the same
+    vocabulary as ``added`` the ids are those of that file, which the tests check; without, its literals are plain text.
     """
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    runs = written(_encoded(docs, id_col, text_col, path, end), "packed")
+    runs = written(_encoded(docs, id_col, text_col, path, end, added), "packed")
     totals = runs.groupBy("part").agg(F.sum(F.octet_length("ids") / 4).cast("bigint").alias("n"))
     # one row of two numbers per partition of the first pass: bounded by the number of its tasks
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

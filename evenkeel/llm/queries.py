@@ -37,7 +37,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(_table(spark, sf_dir, "documents"))
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), added=packing.added_tokens())
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )

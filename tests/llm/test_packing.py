@@ -1,5 +1,6 @@
 import array
 
+import corpus_pipeline
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -49,3 +50,18 @@ def test_round_trip(spark, sf_dir, plain, monkeypatch, length, run):
             assert offset == end
             end += pieces[offset]
         assert end == length or number == len(sequences) - 1
+
+
+def test_literals_of_the_tokenizer_file(spark, tmp_path):
+    made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [*ODD, end, f"a {end} b", f"{end}{end}x", f"a  {end}  b", f"{end} ", "<|endoftext| >", f"x<|{end}|> it's"]
+    want = {i: made.encode(text, add_special_tokens=False).ids + [0] for i, text in enumerate(texts)}
+    encoder = packing.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), packing.added_tokens())
+    for i, text in enumerate(texts):
+        assert list(array.array("I", encoder.encode(text))) == want[i][:-1], repr(text)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {}
+    for r in corpus_pipeline.pack_sequences(spark, docs, str(tmp_path)).collect():
+        got.setdefault(r.doc_id, {})[r.start] = list(array.array("I", bytes(r.ids)))
+    assert {i: [x for s in sorted(pieces) for x in pieces[s]] for i, pieces in got.items()} == want
