@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import html, linededup, mixing, neighbours, packing, pii, quality, sharding, simhash, toxicity
-from evenkeel.llm.sql import SQL_LINES, SQL_MIXING, SQL_QUALITY
+from evenkeel.llm import (
+    fim, html, linededup, mixing, neighbours, packing, pii, quality, runs, sharding, simhash, toxicity, vectordedup,
+)
+from evenkeel.llm.sql import SQL_FIM, SQL_LINES, SQL_MIXING, SQL_QUALITY, SQL_VECTORS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -99,3 +101,33 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = linededup.repeated_lines(docs)
     return found.select("doc_id", "compared", F.size("removed").cast("bigint").alias("n_removed"), F.array_join("removed", ",").alias("removed"))
+
+
+@query("op11_vector_dedup", SQL_VECTORS)
+def op11_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectordedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_fill_in_middle", SQL_FIM)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.restored(fim.fill_in_middle(_table(spark, sf_dir, "documents")))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(_table(spark, sf_dir, "documents"), rewrite=runs.planted)
+    # the greatest length, then the smallest start and period
+    top = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat_ws("", F.transform(line, lambda x: F.concat(x, F.lit("\n"))))
+    return found.select("doc_id", "runs", "collapsed", top.alias("top"), listed.alias("listed")).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("top.start")).alias("start"), "top.length",
+        (-F.col("top.period")).alias("period"),
+        F.floor(F.expr("1000 * top.length div -top.period")).cast("bigint").alias("exponent_milli"),
+        F.sha2("listed", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -100,3 +100,42 @@ SELECT doc_id, count(*) AS compared, count(*) FILTER (NOT stays) AS n_removed,
   coalesce(string_agg(pos::VARCHAR, ',' ORDER BY pos) FILTER (NOT stays), '') AS removed
 FROM r GROUP BY doc_id
 """
+
+
+SQL_FIM = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS x,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+h AS (
+  SELECT *, len(u)::BIGINT AS n, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2, ('0x' || x[17:24])::BIGINT AS h3,
+    ('0x' || x[25:32])::BIGINT AS h4 FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (
+  SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS pre, coalesce(array_to_string(u[a + 1:b], ''), '') AS mid,
+    coalesce(array_to_string(u[b + 1:], ''), '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form != 'plain' THEN length(pre) END AS prefix_chars,
+  CASE WHEN form != 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p
+"""
+
+
+SQL_VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+u AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_max(list_transform(e, lambda x: abs(x))) > 0),
+l AS MATERIALIZED (
+  SELECT a.r AS x, b.r AS y FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r != b.r
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT r, r AS o FROM v UNION SELECT reach.r, l.y FROM reach JOIN l ON l.x = reach.o),
+c AS (SELECT reach.r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.o GROUP BY reach.r),
+n AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN c ON c.r = v.r LEFT JOIN n ON n.x = v.r
+"""

@@ -4,7 +4,9 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from evenkeel.llm import html, linededup, mixing, neighbours, packing, pii, quality, sharding, simhash, toxicity
+from evenkeel.llm import (
+    fim, html, linededup, mixing, neighbours, packing, pii, quality, runs, sharding, simhash, toxicity, vectordedup,
+)
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 LONG = "far away one reads of rivers " * 4000
@@ -23,7 +25,7 @@ CLASHES = (
     "fp root node a b u v m p s q t side least_id component_id least placed score predicted held_out body label_id toxic word pos neg"
     " stem exact fuzzy size grp draw shard bucket linked members place rank vec id dim kept weight probability topic n_tokens ratio"
     " wanted host rule rate failed found hashes lined n lines h g token tokens prefix first x y at part ids start base email ip card"
-    " phone spans main path pages times vector html url page __gone __of __removed __left"
+    " phone spans main path pages times vector html url page __gone __of __removed __left runs collapsed form output restored prefix_chars middle_chars c links other label tiles"
 ).split()
 
 
@@ -47,6 +49,9 @@ OPERATORS = {
     "toxicity": lambda d, lab: toxicity.toxicity(d, lab).withColumn("score", F.round("score", 9)),
     "sharding": lambda d, lab: sharding.balanced_shards(d).drop("shard", "slot"),
     "quality": lambda d, lab: quality.host_quality(d).withColumn("host_rate", F.round("host_rate", 9)),
+    "vectordedup": lambda d, lab: vectordedup.near_duplicates(_vectors(d), label_col="lang"),
+    "fim": lambda d, lab: fim.restored(fim.fill_in_middle(d)),
+    "runs": lambda d, lab: runs.periodic_runs(d, rewrite=runs.planted).withColumn("runs", F.to_json("runs")),
     "packing": lambda d, lab: packing.pack(d).groupBy("doc_id", "doc_tokens").agg(F.sum("length").alias("all")),
 }
 
@@ -78,8 +83,9 @@ def test_empty(docs, labels, name):
 
 
 def test_one_row_each(docs, labels):
-    for name in ("simhash", "mixing", "pii", "html", "toxicity", "sharding", "quality"):
-        got = sorted((r["page_id" if name == "html" else "doc_id"] for r in OPERATORS[name](docs, labels).collect()), key=repr)
+    for name in ("simhash", "mixing", "pii", "html", "toxicity", "sharding", "quality", "fim", "runs", "vectordedup"):
+        key = {"html": "page_id", "vectordedup": "vec_id"}.get(name, "doc_id")
+        got = sorted((r[key] for r in OPERATORS[name](docs, labels).collect()), key=repr)
         assert got == sorted((r[0] for r in ROWS), key=repr), name
 
 

@@ -1,5 +1,8 @@
 """Registered queries: against their SQL twins, and the pipeline against its stages' plain versions."""
 
+import hashlib
+import math
+
 import corpus_pipeline
 import pytest
 import sqlcheck
@@ -19,6 +22,9 @@ COLUMNS = {
     "op7_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op8_sharding": {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"},
     "op9_host_quality": {"doc_id": "bigint", "n_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
+    "op11_vector_dedup": {"vec_id": "bigint", "n_links": "bigint", "component_id": "bigint", "kept": "boolean"},
+    "op12_fill_in_middle": {"doc_id": "bigint", "n": "bigint", "form": "string", "prefix_chars": "bigint", "middle_chars": "bigint", "output_sha256": "string", "restored_sha256": "string"},
+    "op13_periodic_runs": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint", "exponent_milli": "bigint", "runs_sha256": "string", "collapsed_sha256": "string"},
     "op10_packing": {"doc_id": "bigint", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "doc_tokens": "bigint", "sequence_id": "bigint", "offset": "bigint"},
 }
 
@@ -26,7 +32,7 @@ COLUMNS = {
 def test_registered():
     names = entry_module.queries()
     assert {"pipeline", *QUERIES} <= set(names) and set(SQL) <= set(entry_module.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -40,7 +46,7 @@ def test_columns(spark, sf_dir, name):
     types = dict(df.dtypes)
     assert {c: types.get(c) for c in COLUMNS[name]} == COLUMNS[name]
     if name not in ("op2_neighbours", "op10_packing"):
-        table = "pages" if name == "op6_html" else "documents"
+        table = {"op6_html": "pages", "op11_vector_dedup": "embeddings"}.get(name, "documents")
         assert df.count() == spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
 
 
@@ -73,4 +79,13 @@ def test_pipeline(spark, sf_dir):
 
     whole = corpus_pipeline.run(spark, sf_dir)
     packed = whole.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).collect()
-    assert {r.doc_id for r in packed} == {r.doc_id for r in mixed.collect()} and all(r.n == r.t for r in packed)
+    kept_ids = {r.doc_id for r in mixed.collect()}
+    # each id is there as often as its ratio says: the whole part, and one more by an md5 draw
+    copies = {}
+    for r in mixing.mix(single).collect():
+        draw = int(hashlib.md5(f"mix|{r.doc_id}".encode()).hexdigest()[:13], 16) / (1 << 52)
+        ratio = r.probability * r.weight
+        copies[r.doc_id] = math.floor(ratio) + (draw < ratio - math.floor(ratio))
+    assert kept_ids == {i for i, n in copies.items() if n}
+    assert {r.doc_id: r.n for r in packed} == {r.doc_id: r.t * copies[r.doc_id] for r in packed}
+    assert {r.doc_id for r in packed} == kept_ids
