@@ -15,7 +15,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -219,13 +218,13 @@ def restored(outputs: DataFrame, output_col: str = "output", form_col: str = "fo
     body = F.coalesce(F.col(output_col), F.lit("")).cast("binary")
     number = F.coalesce(F.array_position(F.array(*[F.lit(f) for f in FORMS]), F.col(form_col)) - 1, F.lit(0)).cast("int")
 
-    @F.pandas_udf("string")
-    def back(bodies: pd.Series, forms: pd.Series) -> pd.Series:
-        column = pa.array(bodies, pa.binary())
-        parts = []
-        for low, high in _groups(np.diff(_bytes_of(column)[1])):
-            buffer, bounds = _bytes_of(column.slice(low, high - low))
-            parts += _texts(*restore(buffer, bounds, forms.to_numpy()[low:high])).to_pylist()
-        return pd.Series(parts, dtype=object)
+    @F.arrow_udf("string")
+    def back(bodies: pa.Array, forms: pa.Array) -> pa.Array:
+        parts = [pa.array([], pa.string())]
+        numbers = forms.to_numpy(zero_copy_only=False)
+        for low, high in _groups(np.diff(_bytes_of(bodies)[1])):
+            buffer, bounds = _bytes_of(bodies.slice(low, high - low))
+            parts.append(_texts(*restore(buffer, bounds, numbers[low:high])))
+        return pa.concat_arrays(parts)
 
     return outputs.withColumn(name, back(body, number))
