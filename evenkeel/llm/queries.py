@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from evenkeel.llm import (
     fim, html, linededup, mixing, neighbours, packing, pii, quality, runs, sharding, simhash, toxicity, vectordedup,
 )
-from evenkeel.llm.sql import SQL_FIM, SQL_LINES, SQL_MIXING, SQL_QUALITY, SQL_VECTORS
+from evenkeel.llm.sql import SQL_FIM, SQL_LINES, SQL_MIXING, SQL_QUALITY, SQL_RUNS, SQL_VECTORS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -117,7 +117,7 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op13_periodic_runs")
+@query("op13_periodic_runs", SQL_RUNS)
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = runs.periodic_runs(_table(spark, sf_dir, "documents"), rewrite=runs.planted)
     # the greatest length, then the smallest start and period

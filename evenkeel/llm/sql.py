@@ -139,3 +139,38 @@ n AS (SELECT x, count(*) AS n FROM l GROUP BY x)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM v JOIN c ON c.r = v.r LEFT JOIN n ON n.x = v.r
 """
+
+
+#: crc32 of a text of ASCII characters, bit by bit.
+SQL_CRC32 = """xor(4294967295::UBIGINT, list_reduce(
+  list_concat([4294967295::UBIGINT], list_transform(range(1, length({0}) + 1), lambda i: ascii({0}[i])::UBIGINT)),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], list_resize([]::UBIGINT[], 8, 0::UBIGINT)),
+    lambda x, y: xor(x >> 1, (x & 1) * 3988292384::UBIGINT))))::BIGINT"""
+
+SQL_RUNS = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {SQL_WORDS.format('text')} AS ws, {SQL_CRC32.format("coalesce(doc_id::VARCHAR, '')")} AS h
+  FROM documents),
+a AS (SELECT *, len(ws) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM d),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+t AS (
+  SELECT r, n, CASE WHEN a IS NULL THEN ws
+    ELSE list_transform(range(n), lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS ws FROM p),
+w AS MATERIALIZED (SELECT r, n, unnest(ws) AS w, unnest(range(n)) AS i FROM t),
+f AS MATERIALIZED (SELECT * FROM w QUALIFY count(*) OVER (PARTITION BY r, w) >= 4),
+e AS (
+  SELECT x.r, y.i - x.i AS q, x.i FROM f x JOIN f y ON x.r = y.r AND x.w = y.w AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+k AS (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM e),
+s AS (SELECT r, q, min(i) AS start, count(*) + q AS length FROM k GROUP BY r, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+u AS MATERIALIZED (SELECT r, start, length, min(q) AS period FROM s GROUP BY r, start, length),
+b AS (
+  SELECT r, count(*) AS n_runs, first(struct_pack(s := start, n := length, q := period) ORDER BY length DESC, start, period) AS top,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM u GROUP BY r),
+c AS (
+  SELECT r, string_agg(w, ' ' ORDER BY i) AS kept FROM w
+  WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.r = w.r AND w.i >= u.start + u.period AND w.i < u.start + u.length) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, top.s::BIGINT AS start, top.n::BIGINT AS length, top.q::BIGINT AS period,
+  (1000 * top.n // top.q)::BIGINT AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+  sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN b ON b.r = d.r LEFT JOIN c ON c.r = d.r
+"""
