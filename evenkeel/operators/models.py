@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions.text import normalize_text, timestamp_text
 from evenkeel.functions.vectors import apply_multipliers, argmax, label_weight
+from evenkeel.operators.boosting import fit_soft_trees
+from evenkeel.operators.epochs import fit_epochs
 from evenkeel.operators.joins import fold_parts
-from evenkeel.operators.metrics import cv_summary, score, score_counts, with_sample_weights
+from evenkeel.operators.metrics import cv_summary, score, score_counts, weights_map, with_sample_weights
 from evenkeel.operators.sampling import SEED, stratified_folds
 from evenkeel.session import count_by_label, cut_lineage
 
@@ -53,13 +55,17 @@ def predict(df: DataFrame, model: Model, probs: str = "probs", prediction: str =
 
 @dataclass
 class Fitted:
-    """One multi-class model, or one binary model per class."""
+    """One multi-class model, one binary model per class, or a function that adds probabilities and prediction."""
 
     model: Model | None = None
     per_class: dict[int, Model | None] = field(default_factory=dict)
     n_classes: int = 0
+    scorer: Callable[..., DataFrame] | None = None
+    log: list[dict] = field(default_factory=list)
 
     def __call__(self, df: DataFrame, probs: str = "probs", prediction: str = "prediction") -> DataFrame:
+        if self.scorer is not None:
+            return self.scorer(df, probs, prediction)
         if self.model is not None:
             return predict(df, self.model, probs, prediction)
         kept = df.columns
@@ -180,15 +186,50 @@ def boosted(
     return fit
 
 
+def soft_trees(
+    n_classes: int, features: str = "features", label: str = "label", balanced: bool = True, **params
+) -> Estimator:
+    """Boosted trees under one soft-probability objective, with patience on the validation loss.
+
+    ``params`` are those of :func:`fit_soft_trees`.
+    """
+
+    def fit(train: DataFrame, valid: DataFrame | None = None) -> Fitted:
+        model, log = fit_soft_trees(
+            _weighted(train, label, balanced), valid, n_classes, features, label, weight="_weight", **params
+        )
+        return Fitted(n_classes=n_classes, scorer=model, log=[{"epoch": row["round"], **row} for row in log])
+
+    return fit
+
+
+def epoch_linear(n_classes: int, features: str = "features", label: str = "label", balanced: bool = True, **params) -> Estimator:
+    """A linear class head trained epoch by epoch, with patience on the validation F1 and the best weights kept.
+
+    ``params`` are those of :func:`fit_epochs`, ``loss`` among them.
+    """
+
+    def fit(train: DataFrame, valid: DataFrame | None = None) -> Fitted:
+        weights = {"weights": weights_map(train, label)} if balanced and "weights" not in params else {}
+        done = fit_epochs(train, valid, n_classes, features, label, **weights, **params)
+        return Fitted(n_classes=n_classes, scorer=done.head, log=done.log)
+
+    return fit
+
+
+#: Columns of an epoch log; those that a learner does not report are null.
+EPOCH_COLUMNS = ("train_loss", "train_acc", "val_loss", "val_acc", "val_f1_macro", "val_f1_weighted")
+
+
 def epoch_log(spark: SparkSession, fitted: Mapping[str, Fitted], **settings) -> DataFrame:
-    """Training loss per epoch of every model that reports one, with the settings of the run."""
-    rows = [
-        (name, epoch, float(loss))
-        for name, model in fitted.items()
-        if isinstance(model.model, LogisticRegressionModel) and model.model.hasSummary
-        for epoch, loss in enumerate(model.model.summary.objectiveHistory)
-    ]
-    log = spark.createDataFrame(rows, "model_name string, epoch int, train_loss double")
+    """Losses and scores per epoch of every model that reports them, with the settings of the run."""
+    rows = []
+    for name, model in fitted.items():
+        found = model.log
+        if isinstance(model.model, LogisticRegressionModel) and model.model.hasSummary:
+            found = [{"epoch": i, "train_loss": float(x)} for i, x in enumerate(model.model.summary.objectiveHistory)]
+        rows += [(name, row["epoch"], *[row.get(c) for c in EPOCH_COLUMNS]) for row in found]
+    log = spark.createDataFrame(rows, ", ".join(["model_name string", "epoch int"] + [f"{c} double" for c in EPOCH_COLUMNS]))
     return log.withColumns({"timestamp": timestamp_text(), **{name: F.lit(v) for name, v in settings.items()}})
 
 
@@ -280,6 +321,24 @@ def kfold_ensemble(
     )
 
 
+def kfold_in_one_pass(
+    train: DataFrame, test: DataFrame | None, key: str, label: str, k: int, n_classes: int, seed: int = SEED, **params
+) -> Ensemble:
+    """As :func:`kfold_ensemble` for linear heads, with the models of all folds fed by the same passes over the rows.
+
+    Each pass reads every row once and adds it to the gradients of the folds that train on it; each row is scored once,
+    by the head that did not see it. ``params`` are those of :func:`fit_epochs`.
+    """
+    folds = with_folds(train, key, label, k, seed)
+    done = fit_epochs(folds, None, n_classes, label=label, fold="fold", folds=k, seed=seed, **params)
+    models = [
+        Fitted(n_classes=n_classes, scorer=done.single(m), log=[row for row in done.log if row["model"] == m]) for m in range(k)
+    ]
+    oof = done.head(folds)
+    fold_scores = score(oof, label, "prediction", by=("fold",))
+    return Ensemble(models, oof, fold_scores, cv_summary(fold_scores), None if test is None else vote(test, models))
+
+
 def multiplier_scores(
     df: DataFrame, candidates: Sequence[Sequence[float]], label: str = "label", probs: str = "probs"
 ) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from evenkeel.queries import labelling, learning, logs, rebalancing, scoring, vectorising, workflows
+from evenkeel.queries import labelling, learning, logs, rebalancing, scoring, training, vectorising, workflows
 from evenkeel.queries.base import REGISTRY
 
-__all__ = ["REGISTRY", "labelling", "learning", "logs", "rebalancing", "scoring", "vectorising", "workflows"]
+__all__ = ["REGISTRY", "labelling", "learning", "logs", "rebalancing", "scoring", "training", "vectorising", "workflows"]
