@@ -11,6 +11,11 @@ from evenkeel.functions.labels import lookup
 from evenkeel.operators.running import with_chunks
 
 
+def known_number(col: str) -> Column:
+    """A metric as a double; one that is no number is unknown."""
+    return F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
+
+
 def early_stopping(
     df: DataFrame,
     run: str,
@@ -30,7 +35,7 @@ def early_stopping(
     from the walked chunks.
     """
     # a metric that is no number is no improvement
-    known = df.withColumn(metric, F.nanvl(F.col(metric).cast("double"), F.lit(None).cast("double")))
+    known = df.withColumn(metric, known_number(metric))
     work = with_chunks(known, [run], epoch, chunk).select(run, epoch, metric, "_chunk")
     # said here, so that both readers of the walked rows share one shuffle
     work = work.where(F.col(run).isNotNull() & F.col("_chunk").isNotNull())
@@ -76,20 +81,20 @@ def early_stopping(
 
 
 def compare_models(df: DataFrame, metric: str, model: str = "model") -> DataFrame:
-    """Models from best to worst; equal scores by name."""
-    return df.orderBy(F.col(metric).desc_nulls_last(), F.col(model).asc())
+    """Models from best to worst, those without a number last; equal scores by name."""
+    return df.orderBy(known_number(metric).desc_nulls_last(), F.col(model).asc())
 
 
 def best_run(df: DataFrame, variant: str, metric: str, tie: Sequence[str] = ()) -> DataFrame:
-    """The row with the highest metric of each variant; ties by ``tie`` ascending.
+    """The row with the highest metric of each variant; ties by ``tie`` ascending, variants without a number drop out.
 
     An aggregate and not a window, so that the rows of a variant are reduced
     before they are shuffled.
     """
     row = F.struct(*[F.col(c) for c in df.columns])
-    order = F.struct(-F.col(metric), *[F.col(c) for c in tie])
+    order = F.struct(-known_number(metric), *[F.col(c) for c in tie])
     return (
-        df.where(F.col(metric).isNotNull())
+        df.where(known_number(metric).isNotNull())
         .groupBy(F.col(variant).alias("_variant"))
         .agg(F.min_by(row, order).alias("r"))
         .select("r.*")
@@ -105,7 +110,7 @@ def top_n_per_class(
     rank: str | None = None,
     salts: int = 32,
 ) -> DataFrame:
-    """The ``n[label]`` rows of each class with the highest score, ties by id.
+    """The ``n[label]`` rows of each class with the highest score, ties by id; scores that are no number come last.
 
     The literal bound lets Spark drop rows before the shuffle. Each class is
     reduced in ``salts`` parts first, so that the last step of a class that
@@ -113,7 +118,7 @@ def top_n_per_class(
     """
     bound = max(n.values())
     name = rank or "_rank"
-    order = [F.col(score).desc(), F.col(id_col).asc()]
+    order = [known_number(score).desc_nulls_last(), F.col(id_col).asc()]
     parts = df.where(F.col(label).isin(*n)).withColumn("_salt", F.pmod(F.hash(id_col), F.lit(salts)))
     first = Window.partitionBy(label, "_salt").orderBy(*order)
     parts = parts.withColumn(name, F.row_number().over(first)).where(F.col(name) <= bound).drop("_salt", name)

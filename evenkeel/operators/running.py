@@ -15,17 +15,37 @@ _COMBINE = {
 }
 
 
-# Rows of a chunk, on average.
+# Rows of a chunk, on average, and the most chunks that a group is cut into.
 CHUNK_ROWS = 10_000
+MOST_CHUNKS = 10_000
+
+
+def _border_count(borders: Column, place: Column, most: int) -> Column:
+    """How many of the ascending borders lie below a value, by halving."""
+
+    def halve(state: Column) -> Column:
+        middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+        below = F.get(borders, middle) < place
+        return F.when(state["low"] >= state["high"], state).otherwise(
+            F.struct(
+                F.when(below, middle + 1).otherwise(state["low"]).alias("low"),
+                F.when(below, state["high"]).otherwise(middle).alias("high"),
+            )
+        )
+
+    steps = F.sequence(F.lit(1), F.lit(max(1, most.bit_length() + 1)))
+    start = F.struct(F.lit(0).alias("low"), F.size(borders).alias("high"))
+    return F.aggregate(steps, start, lambda state, _: halve(state), lambda state: state["low"])
 
 
 def with_chunks(df: DataFrame, group: list[str], order: str, chunk: Column | None = None) -> DataFrame:
     """Add ``_chunk``, which never falls as ``order`` rises; null where ``order`` is.
 
-    Without an expression of the caller's, the range of the order values of each
-    group is cut into as many equal parts as the group has ``CHUNK_ROWS`` rows,
-    so the number of chunks follows the rows and not the values, be they epoch
-    numbers, milliseconds or timestamps. Only one row per group is gathered.
+    Without an expression of the caller's, each group is cut at approximate
+    quantiles of its order values into as many parts as it has ``CHUNK_ROWS``
+    rows (``MOST_CHUNKS`` at most, which are longer then), so the chunks follow
+    the rows however the values lie, be they epoch numbers, milliseconds or
+    timestamps with outliers. Only one row per group is gathered.
     """
     if chunk is not None:
         return df.withColumn("_chunk", chunk)
@@ -37,18 +57,31 @@ def with_chunks(df: DataFrame, group: list[str], order: str, chunk: Column | Non
     else:
         value = F.col(order)
     place = value.cast("double")
-    spans = small_side(
-        df.where(F.col(order).isNotNull())
-        .groupBy(*[F.col(g).alias(f"_s{g}") for g in group])
-        .agg(F.min(place).alias("_low"), F.max(place).alias("_high"), F.ceil(F.count("*") / CHUNK_ROWS).alias("_parts"))
-    )
+    known = df.where(F.col(order).isNotNull())
+    keys = [F.col(g).alias(f"_s{g}") for g in group]
+    sizes = small_side(known.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > CHUNK_ROWS))
+    longest = sizes.agg(F.coalesce(F.max("_n"), F.lit(0))).head()[0]
+    parts = min(MOST_CHUNKS, -(-longest // CHUNK_ROWS))
+    if parts < 2:
+        return df.withColumn("_chunk", F.when(F.col(order).isNotNull(), F.lit(0)).cast("bigint"))
     same = F.lit(True)
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_s{g}"))
-    share = (place - F.col("_low")) / (F.col("_high") - F.col("_low"))
-    part = F.when(F.col("_high") > F.col("_low"), F.least(F.floor(share * F.col("_parts")), F.col("_parts") - 1)).otherwise(F.lit(0))
-    cut = F.when(F.col(order).isNotNull(), part).cast("bigint")
-    return df.join(spans, same, "left").withColumn("_chunk", cut).select(*df.columns, "_chunk")
+    # every cut of the longest group is one of shorter ones too; how many of them a group takes follows its rows
+    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    long_groups = known.join(sizes, same, "left_semi").groupBy(*keys).agg(
+        F.count("*").alias("_n"), F.percentile_approx(place, shares, F.lit(max(10_000, 10 * parts))).alias("_cuts")
+    )
+    step = F.greatest(F.lit(1), F.floor(F.lit(longest) / F.col("_n"))).cast("int")
+    cuts = small_side(
+        long_groups.select(
+            *[f"_s{g}" for g in group], F.array_distinct(F.filter("_cuts", lambda _, i: (i + 1) % step == 0)).alias("_cuts")
+        )
+    )
+    found = F.coalesce(_border_count(F.col("_cuts"), place, parts), F.lit(0))
+    return df.join(cuts, same, "left").withColumn(
+        "_chunk", F.when(F.col(order).isNotNull(), found).cast("bigint")
+    ).select(*df.columns, "_chunk")
 
 
 def running_by_chunk(

@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
+from urllib.parse import unquote
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.operators.joins import join_labels
+from evenkeel.operators.joins import join_labels, union_sources
 from evenkeel.session import cut_lineage
 
 TEXT = T.StructType([T.StructField("index", T.StringType()), T.StructField("message", T.StringType())])
 LABEL = T.StructType([T.StructField("index", T.StringType()), T.StructField("label", T.IntegerType())])
 
 
+# Headers that are read side by side.
+HEADERS_AT_ONCE = 16
+
+
 def read_table(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -24,25 +31,25 @@ def read_table(
     na_values: Sequence[str] | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
-    """Read delimited files with a header line.
+    """Read delimited files with a header line each.
 
-    ``schema`` names the wanted columns with their types; they are found by name,
-    and other columns of the file are not parsed. A value that does not fit its
-    type fails the job. ``na_values`` lists texts that stand for null.
+    ``schema`` names the wanted columns with their types; they are found by name
+    in each file's own header, whatever their order there, and other columns of
+    the file are not parsed. A file without a wanted column, or a value that does
+    not fit its type, fails. ``na_values`` lists texts that stand for null.
 
     Quoted messages may hold line breaks, so a file is read whole by one task.
     Pass ``multi_line=False`` where messages are known to be single lines, and
     large files are then split.
     """
     wanted = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    df = (
+    reader = (
         spark.read.option("header", True)
         .option("sep", sep)
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "FAILFAST")
-        .csv(path if isinstance(path, str) else list(path))
     )
 
     def value(field: T.StructField):
@@ -51,7 +58,21 @@ def read_table(
             text = F.when(~text.isin(list(na_values)), text)
         return text.cast(field.dataType).alias(field.name)
 
-    return df.select(*[value(f) for f in wanted.fields])
+    groups = _by_header(reader, path if isinstance(path, str) else list(path))
+    return union_sources(*[reader.csv(group).select(*[value(f) for f in wanted.fields]) for group in groups])
+
+
+def _by_header(reader, path: str | list[str]) -> list[str | list[str]]:
+    """The files of a path, those with one header together; only the header of each file is read."""
+    files = [unquote(name) for name in reader.csv(path).inputFiles()]
+    if len(files) < 2:
+        return [path]
+    with ThreadPool(min(len(files), HEADERS_AT_ONCE)) as pool:
+        headers = pool.map(inheritable_thread_target(lambda name: tuple(reader.csv(name).columns)), files)
+    groups: dict[tuple, list[str]] = {}
+    for name, header in zip(files, headers):
+        groups.setdefault(header, []).append(name)
+    return list(groups.values()) if len(groups) > 1 else [path]
 
 
 def load_labeled(

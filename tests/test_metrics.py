@@ -161,3 +161,11 @@ def test_union_and_profile(spark, tmp_path):
     report = profile_inputs(spark, {"ok": lambda: a, "gone": lambda: spark.read.parquet(str(tmp_path / "no"))})
     got = {r.input: r for r in report.collect()}
     assert got["ok"].rows == 1 and not got["gone"].readable and got["gone"].error
+
+
+def test_no_number_is_no_score(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("x", nan, 0, 1), ("y", 0.5, 0, 2), ("z", None, 0, 3), ("w", 0.9, 0, 4)], "model string, f1 double, label int, id int")
+    assert [r.model for r in compare_models(df, "f1").collect()] == ["w", "y", "x", "z"]
+    assert {r.model for r in top_n_per_class(df, "label", "f1", {0: 2}, "id").collect()} == {"w", "y"}
+    assert [r.model for r in best_run(df, "label", "f1").collect()] == ["w"]

@@ -116,3 +116,17 @@ def test_missing_predictions_are_misses(spark):
     got = classification_report(spark.createDataFrame(rows, "label int, prediction int")).collect()
     assert {r.row: (r.precision, r.recall, r.support) for r in got if r.row in ("0", "1")} == {"0": (1.0, 0.5, 2), "1": (1.0, 1.0, 1)}
     assert len(got) == 5 and {r.support for r in got if "a" in r.row} == {3}
+
+
+@pytest.mark.parametrize("outlier", [1e12, -1e15])
+def test_chunks_with_outliers(spark, monkeypatch, outlier):
+    """One far value leaves the other rows in chunks of their own."""
+    monkeypatch.setattr(running, "CHUNK_ROWS", 50)
+    rows = [("a", float(i), 1) for i in range(2000)] + [("a", outlier, 1)] + [("b", float(i * i), 1) for i in range(400)] + [("c", 1.0, 1)]
+    df = spark.createDataFrame(rows + [(None, 3.0, 1), ("a", None, 1)], "g string, o double, v int")
+    sizes = {}
+    for r in running.with_chunks(df, ["g"], "o").groupBy("g", "_chunk").count().collect():
+        sizes.setdefault(r.g, []).append(r["count"])
+    assert len(sizes["a"]) > 30 and max(sizes["a"]) <= 110 and len(sizes["b"]) > 5 and max(sizes["b"]) <= 110
+    got = {(r.g, r.o): r.s for r in running_by_chunk(df, ["g"], "o", None, {"s": ("sum", F.col("v"))}).collect()}
+    assert got["a", 1999.0] == 2000 + (outlier < 0) and got["b", 399.0 * 399] == 400 and got["a", None] is None and got[None, 3.0] == 1

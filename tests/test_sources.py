@@ -102,3 +102,20 @@ def test_summary(spark, tmp_path):
     write_summary(summary_table(scores, {"max_length": 64, "learning_rate": 2e-5}), path)
     got = spark.read.json(path).select("*", F.col("config.max_length").alias("len")).head()
     assert (got.models_trained, got.best_model, got.best_f1_macro, got.len) == (["a", "b"], "b", 0.6, 64)
+
+
+def test_each_file_has_its_own_header(spark, tmp_path):
+    """Columns are found by name in every file, in whatever order and beside whatever others they stand."""
+    folder = tmp_path / "some files"
+    folder.mkdir()
+    (folder / "a.csv").write_text("index,message\n1,one\n")
+    (folder / "b.csv").write_text("message,index\ntwo,2\n")
+    (folder / "c.csv").write_text('note,index,message\nx,3,"three\nlines"\n')
+    (folder / "d.csv").write_text("index,message\n4,four\n")
+    want = {"1": "one", "2": "two", "3": "three\nlines", "4": "four"}
+    assert {r["index"]: r.message for r in read_table(spark, str(folder), TEXT).collect()} == want
+    files = [str(folder / f"{n}.csv") for n in "abcd"]
+    assert {r["index"]: r.message for r in read_table(spark, files, TEXT).collect()} == want
+    (folder / "e.csv").write_text("index,text\n5,five\n")
+    with pytest.raises(Exception):
+        read_table(spark, str(folder), TEXT).collect()
