@@ -165,6 +165,7 @@ def max_cosine(
     out: str = "sim_score",
     max_ref_rows: int = SMALL_ROWS,
     max_ref_bytes: int = SMALL_BYTES,
+    recall: float | None = None,
 ) -> DataFrame:
     """Highest cosine similarity of each row of ``df`` to any row of ``ref``.
 
@@ -175,7 +176,8 @@ def max_cosine(
     The reference set is counted and measured first. Within the bounds it is sent
     to the executors once and each batch of rows is one matrix product, without a
     shuffle; a larger one goes block by block through :func:`nearest`. Both ways
-    give the same scores.
+    give the same scores. With ``recall``, a larger one is searched in hashed
+    buckets, whose recall on a sample is at least that.
     """
     vectors = ref.select(F.col(vec).cast("array<double>").alias("v")).where(F.col("v").isNotNull())
     size = vectors.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(8 * F.size("v")), F.lit(0)).alias("bytes")).head()
@@ -207,7 +209,12 @@ def max_cosine(
     # rows are known by a number of their own, given once
     rows = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
     others = vectors.select(F.col("v").alias(vec), F.xxhash64("v").alias("_row"))
-    closest = nearest(rows.where(F.col(vec).isNotNull()), others, "_row", "_row", vec, 1, metric="cosine")
+    if recall is None:
+        closest = nearest(rows.where(F.col(vec).isNotNull()), others, "_row", "_row", vec, 1, metric="cosine")
+    else:
+        from evenkeel.operators.approximate import hashed_nearest
+
+        closest, _, _ = hashed_nearest(rows, others.dropDuplicates(["_row"]), "_row", "_row", vec, 1, recall)
     score = F.round(1.0 - F.col("neighbors")[0]["dist"], COSINE_DIGITS)
     return rows.join(closest.select("_row", score.alias(out)), "_row", "left").select(*df.columns, out)
 

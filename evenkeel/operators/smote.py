@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evenkeel.operators.approximate import listed_nearest
 from evenkeel.operators.sampling import HEX_DIGITS, SEED, draw_rows, hash_number, hash_of, hash_rank, undersample
 from evenkeel.operators.similarity import nearest
 from evenkeel.session import count_by_label
@@ -27,6 +28,7 @@ def smote(
     seed: int = SEED,
     hex_digits: int = HEX_DIGITS,
     block_rows: int | None = None,
+    recall: float | None = None,
 ) -> DataFrame:
     """Bring every class present to exactly ``target`` rows.
 
@@ -34,7 +36,9 @@ def smote(
     a draw picks a row, one of its ``k`` nearest rows of the same class, and how
     far to go towards it. A class of one row is copied. Only classes with fewer
     than ``target`` rows meet in the neighbour search, so its size is bounded by
-    ``target``. Result: key as text, label, vector as array of doubles,
+    ``target``. With ``recall`` they are found in inverted lists by centroids of
+    their class, each row filed once, with at least that recall on a sample;
+    that is the way for large targets. Result: key as text, label, vector as array of doubles,
     ``synthetic``.
     """
     sizes = count_by_label(df, label)
@@ -48,10 +52,11 @@ def smote(
 
     base = rows.where(F.col(label).isin(*small))
     k_used = neighbor_count(sizes, k)
-    close = nearest(base, base, key, key, vec, k_used, by=label, skip_self=True, block_rows=block_rows)
-    ranked = hash_rank(base, key, seed, by=label, rank="_rank", hex_digits=hex_digits).join(
-        close, [label, key], "left"
-    )
+    if recall is None:
+        close, on = nearest(base, base, key, key, vec, k_used, by=label, skip_self=True, block_rows=block_rows), [label, key]
+    else:
+        close, on = listed_nearest(base, base, key, key, vec, k_used, label, recall=recall, skip_self=True, seed=seed)[0], [key]
+    ranked = hash_rank(base, key, seed, by=label, rank="_rank", hex_digits=hex_digits).join(close, on, "left")
     pick = hash_number(hash_of(f"{seed}n", F.col(label), F.col("draw")))
     # 52 bits, so that the fraction is an exact double
     gap = F.conv(F.substring(hash_of(f"{seed}g", F.col(label), F.col("draw")), 1, 13), 16, 10).cast("double") / float(16**13)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.functions.text import timestamp_text
+from evenkeel.operators.epochs import log_table
 from evenkeel.operators.features import embed, tfidf_fit
 from evenkeel.operators.metrics import classification_report, class_weights, score
 from evenkeel.operators.models import (
@@ -26,6 +27,7 @@ from evenkeel.operators.models import (
     epoch_log,
     forest,
     kfold_ensemble,
+    kfold_in_one_pass,
     linear,
     run_models,
     score_batch,
@@ -33,6 +35,7 @@ from evenkeel.operators.models import (
     vote,
 )
 from evenkeel.operators.sampling import SEED, stratified_split
+from evenkeel.operators.simplex import simplex_multipliers
 from evenkeel.operators.smote import smote
 from evenkeel.plans.prepare import clean_messages
 from evenkeel.session import cut_lineage
@@ -49,6 +52,7 @@ class Run:
     report: DataFrame | None = None
     scores: DataFrame | None = None
     multipliers: list[float] | None = None
+    probs: DataFrame | None = None
 
     def save(self, predictions_path: str | None = None, log_path: str | None = None) -> "Run":
         if predictions_path:
@@ -173,6 +177,36 @@ def tfidf_folds(
     return _folds_run("tfidf-folds", rows, unseen, k, estimator or linear(), seed, tune)
 
 
+def tfidf_heads(
+    train: DataFrame,
+    test: DataFrame,
+    n_classes: int,
+    k: int = 5,
+    max_features: int = 10_000,
+    seed: int = SEED,
+    tune: bool = False,
+    **params,
+) -> Run:
+    """As :func:`tfidf_folds`, with the heads of all folds trained epoch by epoch in the same passes over the rows.
+
+    With ``tune``, a simplex searches class multipliers on the out-of-fold rows. The log has one row per fold and epoch.
+    ``params`` are those of :func:`evenkeel.operators.epochs.fit_epochs`.
+    """
+    train, test = clean_messages(train), clean_messages(test)
+    features = tfidf_fit(train, "message", max_features=max_features)
+    rows = features.transform(train).select("index", "label", "features")
+    unseen = features.transform(test)
+    done = kfold_in_one_pass(rows, None, "index", "label", k, n_classes, seed, **params)
+    oof = cut_lineage(done.oof.select("index", "label", "fold", "probs", "prediction"))
+    multipliers = simplex_multipliers(oof, n_classes)[0] if tune else None
+    voted = vote(unseen, done.models, multipliers)
+    log = log_table(train.sparkSession, [row for model in done.models for row in model.log], model_name="tfidf-heads")
+    return Run(
+        predictions=_labels(voted), log=log.withColumn("timestamp", timestamp_text()), scores=score(oof, by=("fold",)),
+        multipliers=multipliers, probs=voted.select("index", "probs", "prediction"),
+    )
+
+
 def boosted_folds(
     train: DataFrame,
     test: DataFrame,

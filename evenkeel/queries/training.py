@@ -3,14 +3,22 @@ step, so losses, scores and probabilities are compared by value."""
 
 from __future__ import annotations
 
+import json
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from evenkeel.operators.boosting import fit_soft_trees
 from evenkeel.operators.epochs import cross_entropy_loss, fit_epochs, focal_loss_of, log_table
+from evenkeel.operators.joins import join_labels
 from evenkeel.operators.sampling import stratified_folds
-from evenkeel.queries.base import Tables, query, r6
+from evenkeel.operators.served import served
+from evenkeel.operators.simplex import simplex_multipliers
+from evenkeel.plans.training import tfidf_heads
+from evenkeel.queries.base import SQL_LABELED, Tables, query, r6, sql_grams, sql_normalize, sql_words
 from evenkeel.queries.learning import embeddings_as_features, vectors
 from evenkeel.queries.rebalancing import sql_folds, sql_split
+from evenkeel.session import shared_dir
 
 CLASSES, FOLDS, EPOCHS, RATE, GAMMA = 10, 3, 3, 4.0, 2.0
 WEIGHTS = {k: 1.0 + k / 8 for k in range(CLASSES)}
@@ -199,3 +207,145 @@ def _(spark, d):
 def _(spark, d):
     held, model, _log = _trees(spark, d)
     return model(held).select("vec_id", "label", *_told())
+
+
+# --- TF-IDF heads of all folds, a vote on the test set -----------------------
+
+TEXT_FOLDS, TEXT_EPOCHS, TEXT_CLASSES, TEXT_RATE = 3, 2, 4, 20.0
+
+
+def _sql_heads() -> str:
+    """Steps up to ``w1 .. wT`` (weights by fold, class and term, ``null`` for the bias) and ``log``."""
+    grams = sql_grams("w")
+    folds = sql_folds(f"SELECT index, label FROM ({SQL_LABELED})", "index", "label", TEXT_FOLDS)
+    steps = [
+        f"a AS MATERIALIZED (SELECT index, label AS y, {sql_normalize('message')} AS t FROM ({SQL_LABELED}))",
+        f"fo AS MATERIALIZED (SELECT index, fold FROM ({folds}))",
+        f"""tf AS MATERIALIZED (SELECT index, term, count(*) AS tf FROM
+          (SELECT index, unnest({grams}) AS term FROM (SELECT index, {sql_words('t')} AS w FROM a)) GROUP BY index, term)""",
+        """vocab AS MATERIALIZED (SELECT term, ln((1 + n) / (1.0::DOUBLE + df)) + 1 AS idf FROM
+          (SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM tf GROUP BY term) CROSS JOIN (SELECT count(*) AS n FROM a)
+          WHERE df >= 2 AND df <= 0.9::DOUBLE * n QUALIFY row_number() OVER (ORDER BY cf DESC, term) <= 10000)""",
+        """x AS MATERIALIZED (SELECT index, term, w / sqrt(sum(w * w) OVER (PARTITION BY index)) AS x FROM
+          (SELECT index, term, tf * idf AS w FROM tf JOIN vocab USING (term)))""",
+        f"""qx AS MATERIALIZED (SELECT index, term, w / sqrt(sum(w * w) OVER (PARTITION BY index)) AS x FROM
+          (SELECT index, term, count(*) * any_value(idf) AS w FROM
+            (SELECT item_id::VARCHAR AS index, unnest({grams}) AS term FROM
+              (SELECT item_id, {sql_words('t')} AS w FROM (SELECT item_id, {sql_normalize('text')} AS t FROM benchmark)))
+            JOIN vocab USING (term) GROUP BY index, term))""",
+        f"r AS MATERIALIZED (SELECT a.index, y, fold, m, k FROM a JOIN fo USING (index), range({TEXT_FOLDS}) b(m), range({TEXT_CLASSES}) c(k))",
+        "w0 AS (SELECT 0 AS m, 0 AS k, NULL::VARCHAR AS term, 0.0::DOUBLE AS v)",
+    ]
+    for t in range(TEXT_EPOCHS + 1):
+        steps.append(f"""p{t} AS MATERIALIZED (
+          WITH d AS (SELECT index, m, k, sum(x * v) AS z FROM x JOIN w{t} w ON w.term = x.term GROUP BY index, m, k),
+          z AS (SELECT r.*, coalesce(d.z, 0) + coalesce(b.v, 0) AS z FROM r LEFT JOIN d ON d.index = r.index AND d.m = r.m AND d.k = r.k
+            LEFT JOIN w{t} b ON b.term IS NULL AND b.m = r.m AND b.k = r.k),
+          u AS (SELECT *, z - max(z) OVER (PARTITION BY index, m) AS u FROM z)
+          SELECT *, exp(u) / sum(exp(u)) OVER o AS p, ln(sum(exp(u)) OVER o) - u AS ce,
+            row_number() OVER (PARTITION BY index, m ORDER BY z DESC, k) = 1 AS said
+          FROM u WINDOW o AS (PARTITION BY index, m))""")
+        if t < TEXT_EPOCHS:
+            steps.append(f"""n{t} AS MATERIALIZED (SELECT m, count(*) AS n, avg(ce) AS train_loss FROM p{t} WHERE k = y AND fold != m GROUP BY m)""")
+            steps.append(f"""w{t + 1} AS MATERIALIZED (
+              WITH g AS (SELECT index, m, k, p - (k = y)::INTEGER AS g FROM p{t} WHERE fold != m),
+              s AS (SELECT m, k, term, sum(g * x) AS g FROM g JOIN x ON x.index = g.index GROUP BY m, k, term
+                UNION ALL SELECT m, k, NULL, sum(g) FROM g GROUP BY m, k)
+              SELECT s.m, s.k, s.term, coalesce(w.v, 0) - {TEXT_RATE} * s.g / n AS v FROM s JOIN n{t} n ON n.m = s.m
+              LEFT JOIN w{t} w ON w.m = s.m AND w.k = s.k AND w.term IS NOT DISTINCT FROM s.term)""")
+        if t:
+            steps.append(f"""v{t} AS MATERIALIZED (
+              WITH h AS (SELECT m, y, k FROM p{t} WHERE said AND fold = m),
+              c AS (SELECT m, c, sum(hit) AS hit, sum(1) AS n FROM (
+                SELECT m, y AS c, (k = y)::INTEGER AS hit FROM h UNION ALL SELECT m, k, (k = y)::INTEGER FROM h) GROUP BY m, c)
+              SELECT m, avg(hit / n) AS f1 FROM c GROUP BY m)""")
+    rows = " UNION ALL ".join(
+        f"""SELECT n.m AS model, {t + 1} AS epoch, train_loss, l.val_loss, f1 AS val_f1_macro FROM n{t} n JOIN v{t + 1} v ON v.m = n.m
+        JOIN (SELECT m, avg(ce) AS val_loss FROM p{t + 1} WHERE k = y AND fold = m GROUP BY m) l ON l.m = n.m""" for t in range(TEXT_EPOCHS))
+    return "WITH " + ",\n".join([*steps, f"log AS MATERIALIZED ({rows})"])
+
+
+def _heads(spark, d, **params):
+    t = Tables(spark, d)
+    test = t.benchmark.select(F.col("item_id").cast("string").alias("index"), F.col("text").alias("message"))
+    return tfidf_heads(
+        join_labels(t.texts(), t.classes()), test, TEXT_CLASSES, TEXT_FOLDS, epochs=TEXT_EPOCHS, rate=TEXT_RATE, schedule="constant",
+        optimiser="sgd", decay=0.0, patience=TEXT_EPOCHS, **params,
+    )
+
+
+@query(
+    "tfidf_heads",
+    _sql_heads() + f""",
+      best AS (SELECT model AS m, arg_min(epoch, (-val_f1_macro, epoch)) AS epoch FROM log GROUP BY model),
+      own AS MATERIALIZED (SELECT w.* FROM ({' UNION ALL '.join(f'SELECT *, {t} AS epoch FROM w{t}' for t in range(1, TEXT_EPOCHS + 1))}) w
+        JOIN best ON best.m = w.m AND best.epoch = w.epoch),
+      d AS (SELECT index, m, k, sum(x * v) AS z FROM qx JOIN own ON own.term = qx.term GROUP BY index, m, k),
+      z AS (SELECT i.index, b.m, b.k, coalesce(d.z, 0) + b.v AS z FROM (SELECT item_id::VARCHAR AS index FROM benchmark) i
+        JOIN own b ON b.term IS NULL LEFT JOIN d ON d.index = i.index AND d.m = b.m AND d.k = b.k),
+      e AS (SELECT *, exp(z - max(z) OVER (PARTITION BY index, m)) AS e FROM z),
+      p AS (SELECT index, k, avg(p) AS p FROM (SELECT *, e / sum(e) OVER (PARTITION BY index, m) AS p FROM e) GROUP BY index, k)
+      SELECT index, arg_max(k, p)::INTEGER AS prediction, round(max(p), 6) AS top, round(sum(p * (k + 1)), 6) AS mean_class
+      FROM p GROUP BY index""",
+)
+def _(spark, d):
+    return _heads(spark, d).probs.select("index", *_told())
+
+
+@query(
+    "tfidf_heads_log",
+    _sql_heads() + """ SELECT model::INTEGER AS model, epoch, round(train_loss, 6) AS train_loss, round(val_loss, 6) AS val_loss,
+      round(val_f1_macro, 6) AS val_f1_macro FROM log""",
+)
+def _(spark, d):
+    log = _heads(spark, d).log
+    return log.select("model", "epoch", *[r6(c).alias(c) for c in ("train_loss", "val_loss", "val_f1_macro")])
+
+
+# multipliers that a simplex finds for the out-of-fold probabilities; the walk itself is held against a plain one in tests
+@query("simplex_multipliers")
+def _(spark, d):
+    _rows, done = _trained(spark, d, cross_entropy_loss)
+    best, f1, base = simplex_multipliers(done.head(_rows), CLASSES)
+    return spark.createDataFrame(
+        [(k, round(m, 6), round(f1, 6), round(base, 6)) for k, m in enumerate(best)],
+        "class int, multiplier double, f1_macro double, argmax_f1_macro double",
+    )
+
+
+# --- a caller's own model ----------------------------------------------------
+
+
+def nearest_mean(content: bytes):
+    """A model file with one mean vector a line: closer classes are more probable."""
+    rows = sorted((json.loads(line) for line in content.decode().splitlines() if line), key=lambda r: r["label"])
+    means = np.array([r["mean"] for r in rows])
+
+    def model(columns):
+        x = np.array(columns["x"].to_pylist())
+        e = np.exp(-np.square(x[:, None] - means).sum(axis=2))
+        return e / e.sum(axis=1, keepdims=True)
+
+    return model
+
+
+@query(
+    "callers_model",
+    f"""WITH s AS ({sql_split('SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings', 'vec_id', 'label', '0.2')}),
+        l AS (SELECT label, f, avg(x) AS x FROM (
+          SELECT label, unnest(e) AS x, unnest(range(len(e))) AS f FROM s WHERE NOT is_test) GROUP BY label, f),
+        m AS (SELECT label, list(x ORDER BY f) AS mean FROM l GROUP BY label),
+        z AS (SELECT vec_id, s.label, m.label AS k, exp(-list_sum(list_transform(list_zip(e, mean), lambda p: pow(p[1] - p[2], 2)))) AS z
+          FROM s, m WHERE is_test),
+        p AS (SELECT vec_id, label, k, z / sum(z) OVER (PARTITION BY vec_id) AS p FROM z)
+        SELECT vec_id, label, arg_max(k, p)::INTEGER AS prediction, round(max(p), 6) AS top, round(sum(p * (k + 1)), 6) AS mean_class
+        FROM p GROUP BY vec_id, label""",
+)
+def _(spark, d):
+    train, held = vectors(Tables(spark, d))
+    cells = train.select("label", F.posexplode(F.unwrap_udt("features")["values"]).alias("f", "x")).groupBy("label", "f").agg(F.avg("x").alias("x"))
+    means = cells.groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("f", "x"))), lambda c: c["x"]).alias("mean"))
+    path = shared_dir(spark, "means")
+    means.write.json(path)
+    rows = held.select("vec_id", "label", F.unwrap_udt("features")["values"].alias("x"))
+    return served(rows, nearest_mean, path, ["x"]).select("vec_id", "label", *_told())

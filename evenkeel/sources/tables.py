@@ -58,17 +58,17 @@ def read_table(
             text = F.when(~text.isin(list(na_values)), text)
         return text.cast(field.dataType).alias(field.name)
 
-    groups = _by_header(reader, path if isinstance(path, str) else list(path))
+    groups = _by_header(spark, reader, path if isinstance(path, str) else list(path))
     return union_sources(*[reader.csv(group).select(*[value(f) for f in wanted.fields]) for group in groups])
 
 
-def _by_header(reader, path: str | list[str]) -> list[str | list[str]]:
+def _by_header(spark: SparkSession, reader, path: str | list[str]) -> list[str | list[str]]:
     """The files of a path, those with one header together; only the header of each file is read."""
     files = [unquote(name) for name in reader.csv(path).inputFiles()]
     if len(files) < 2:
         return [path]
     with ThreadPool(min(len(files), HEADERS_AT_ONCE)) as pool:
-        headers = pool.map(inheritable_thread_target(lambda name: tuple(reader.csv(name).columns)), files)
+        headers = pool.map(inheritable_thread_target(spark)(lambda name: tuple(reader.csv(name).columns)), files)
     groups: dict[tuple, list[str]] = {}
     for name, header in zip(files, headers):
         groups.setdefault(header, []).append(name)
