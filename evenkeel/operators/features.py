@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.functions.text import WORD, ngrams, term_counts, words
-from evenkeel.session import SMALL_ROWS, small_side
+from evenkeel.session import SMALL_ROWS, cut_lineage, small_side
 
 
 def gram_counts(text: str, lo: int, hi: int) -> Column:
@@ -149,26 +149,30 @@ def encode_sequences(
 ) -> DataFrame:
     """Add ``input_ids`` and ``attention_mask`` of exactly ``max_length`` entries.
 
-    Start id, word ids, end id, padding; longer texts are truncated. The
-    vocabulary is a bounded table that every task holds as a dict, so a text is
-    encoded where it lies.
+    Start id, word ids, end id, padding; longer texts are truncated. A vocabulary
+    of at most ``max_words`` is held by every task as a dict, so a text is encoded
+    where it lies. A larger one is joined to the words of the texts, with the same
+    result: what is shuffled is one row per word that a sequence has room for.
     """
+    room = max_length - 2
+    tokens = F.slice(words(F.col(text)), 1, room)
     rows = vocabulary.select("word", "id").limit(max_words + 1).collect()
     if len(rows) > max_words:
-        raise ValueError(f"vocabulary has more than {max_words} words; build it with a smaller size")
-    ids = df.sparkSession.sparkContext.broadcast({r["word"]: r["id"] for r in rows})
+        coded = _joined_ids(df, tokens, vocabulary)
+    else:
+        ids = df.sparkSession.sparkContext.broadcast({r["word"]: r["id"] for r in rows})
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def to_ids(tokens: pd.Series) -> pd.Series:
-        known = ids.value
-        return tokens.map(lambda ts: [known.get(t, UNKNOWN_ID) for t in ts])
+        @F.pandas_udf(T.ArrayType(T.IntegerType()))
+        def to_ids(found: pd.Series) -> pd.Series:
+            known = ids.value
+            return found.map(lambda ts: [known.get(t, UNKNOWN_ID) for t in ts])
+
+        coded = df.withColumn("_ids", to_ids(tokens))
 
-    room = max_length - 2
     body = F.col("_ids")
     used = F.size(body) + 2
     return (
-        df.withColumn("_ids", to_ids(F.slice(words(F.col(text)), 1, room)))
-        .withColumn(
+        coded.withColumn(
             "input_ids",
             F.concat(
                 F.array(F.lit(START_ID)), body, F.array(F.lit(END_ID)),
@@ -183,6 +187,18 @@ def encode_sequences(
     )
 
 
+def _joined_ids(df: DataFrame, tokens: Column, vocabulary: DataFrame) -> DataFrame:
+    """Add the ids of an array of words by a join; rows are known by a number that is stored with them."""
+    rows = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+    each = rows.select("_row", F.posexplode(tokens).alias("_at", "word")).join(vocabulary.select("word", "id"), "word", "left")
+    place = F.struct("_at", F.coalesce("id", F.lit(UNKNOWN_ID)).cast("int").alias("id"))
+    ids = each.groupBy("_row").agg(F.sort_array(F.collect_list(place)).alias("_found"))
+    found = rows.join(ids, "_row", "left").withColumn(
+        "_ids", F.coalesce(F.transform("_found", lambda p: p["id"]), F.array().cast("array<int>"))
+    )
+    return found.drop("_row", "_found")
+
+
 def embed(
     df: DataFrame,
     text: str,

@@ -62,7 +62,7 @@ def _(spark, d):
     return undersample(Tables(spark, d).events, 777, "event_id").select("event_id", "user_id", "value")
 
 
-def _sql_draws(sizes: str, label_text: str, n: str) -> str:
+def sql_draws(sizes: str, label_text: str, n: str) -> str:
     """(label, draw, pick): which rank each draw picks, from a table (label, size)."""
     pick = sql_number(sql_hash(f"{label_text} || '|' || draw"))
     return (
@@ -74,7 +74,7 @@ def _sql_draws(sizes: str, label_text: str, n: str) -> str:
 @query(
     "oversample",
     f"""WITH r AS (SELECT *, {_ORDER_RANK} AS rank FROM orders),
-        dr AS ({_sql_draws('SELECT o_orderstatus AS label, count(*) AS size FROM orders GROUP BY 1', 'label', '3000')})
+        dr AS ({sql_draws('SELECT o_orderstatus AS label, count(*) AS size FROM orders GROUP BY 1', 'label', '3000')})
         SELECT o_orderstatus, draw, o_orderkey FROM dr JOIN r ON r.o_orderstatus = dr.label AND r.rank = dr.pick""",
 )
 def _(spark, d):
@@ -85,7 +85,7 @@ def _(spark, d):
 
 _BALANCED_SQL = f"""WITH c AS ({SQL_LABELED}),
     r AS (SELECT *, {sql_rank('index', 'label')} AS rank, count(*) OVER (PARTITION BY label) AS size FROM c),
-    dr AS ({_sql_draws('SELECT label, count(*) AS size FROM c GROUP BY label HAVING label <> 1 AND count(*) < 100', 'label', '100')})
+    dr AS ({sql_draws('SELECT label, count(*) AS size FROM c GROUP BY label HAVING label <> 1 AND count(*) < 100', 'label', '100')})
     SELECT index, label, message, NULL::BIGINT AS draw FROM r
       WHERE (label = 1 AND rank <= 120) OR (label <> 1 AND size >= 100)
     UNION ALL
@@ -108,7 +108,7 @@ _MIX_SQL = f"""WITH m AS ({SQL_LABELED}), x AS ({_CHAT_SQL}),
     k AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42|' || source || ':' || index), source || ':' || index) AS rank
           FROM b WHERE label NOT IN (2, 3)),
     r AS (SELECT *, {sql_rank('index', 'label')} AS rank FROM m WHERE label IN (2, 3)),
-    dr AS ({_sql_draws('SELECT label, count(*) AS size FROM m WHERE label IN (2, 3) GROUP BY label', 'label', '60')})
+    dr AS ({sql_draws('SELECT label, count(*) AS size FROM m WHERE label IN (2, 3) GROUP BY label', 'label', '60')})
     SELECT index, message, label, source, NULL::BIGINT AS draw FROM k WHERE label <> 0 OR rank <= 150
     UNION ALL
     SELECT r.index, r.message, r.label, 0, dr.draw FROM dr JOIN r ON r.label = dr.label AND r.rank = dr.pick"""

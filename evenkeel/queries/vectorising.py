@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from evenkeel.functions.binding import with_costly
 from evenkeel.functions.text import clean_text, keyword_class
 from evenkeel.functions.vectors import l2_normalise
+from evenkeel.operators.approximate import hashed_nearest, listed_nearest
 from evenkeel.operators.batches import map_batches, map_column
 from evenkeel.operators.features import embed, tfidf_fit, tfidf_terms, tfidf_transform, tfidf_vocabulary
 from evenkeel.operators.metrics import similarity_summary
@@ -156,6 +157,29 @@ def letter_encoder():
     return run
 
 
+WORD_DIM = 64
+
+
+def word_encoder():
+    """Counts of the words of a cleaned text by a hash of theirs: letters, digits and marks of every language count."""
+    import hashlib
+
+    place: dict[str, int] = {}
+
+    def of(word: str) -> int:
+        if word not in place:
+            place[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % WORD_DIM
+        return place[word]
+
+    def run(texts):
+        out = np.zeros((len(texts), WORD_DIM))
+        for row, text in zip(out, texts):
+            np.add.at(row, [of(word) for word in text.split(" ") if word], 1.0)
+        return out
+
+    return run
+
+
 @query(
     "embed_with_encoder",
     """SELECT doc_id, list_transform(range(26), lambda i: len(text) - len(replace(text, chr((97 + i)::INTEGER), '')))[5]::DOUBLE AS e_count,
@@ -181,30 +205,52 @@ def _(spark, d):
     )
 
 
-# letter counts of a text as a list, the SQL form of the encoder above
-def sql_letters(text: str) -> str:
-    return (
-        f"list_transform(range(26), lambda i: (length({text}) - "
-        f"length(replace({text}, chr((97 + i)::INTEGER), '')))::DOUBLE)"
-    )
+# word counts by hash as a list, the SQL form of the encoder above
+def sql_hashed_words(text: str) -> str:
+    words = f"list_filter(string_split({text}, ' '), lambda w: w <> '')"
+    cells = f"list_transform({words}, lambda w: ('0x' || substr(md5(w), 1, 8))::BIGINT % {WORD_DIM})"
+    return f"list_transform(range({WORD_DIM}), lambda j: len(list_filter({cells}, lambda c: c = j))::DOUBLE)"
 
 
-SQL_SIMILAR_TEXTS = f"""SELECT doc_id, label, message, sim FROM
+SQL_SIMILAR_TEXTS = f"""WITH h AS MATERIALIZED (SELECT doc_id, label, message, list_filter(string_split(message, ' '), lambda w: w <> '') AS w FROM
+        (SELECT doc_id, {sql_keyword('text')} AS label, {sql_clean('text')} AS message FROM documents) WHERE label IS NOT NULL),
+      hv AS MATERIALIZED (SELECT h.doc_id, h.label, h.message, list(coalesce(n, 0)::DOUBLE ORDER BY j) AS v FROM h CROSS JOIN range({WORD_DIM}) r(j)
+        LEFT JOIN (SELECT doc_id, ('0x' || substr(md5(w), 1, 8))::BIGINT % {WORD_DIM} AS c, count(*) AS n FROM (SELECT doc_id, unnest(w) AS w FROM h)
+          GROUP BY ALL) c ON c.doc_id = h.doc_id AND c.c = j GROUP BY h.doc_id, h.label, h.message),
+      rv AS MATERIALIZED (SELECT {sql_hashed_words('message')} AS v FROM (SELECT {sql_clean('text')} AS message FROM benchmark))
+    SELECT doc_id, label, message, sim FROM
       (SELECT c.doc_id, c.label, c.message, round(max(coalesce(list_cosine_similarity(c.v, r.v), 0)), 12) AS sim
-       FROM (SELECT doc_id, label, message, {sql_letters('message')} AS v FROM
-              (SELECT doc_id, {sql_keyword('text')} AS label, {sql_clean('text')} AS message FROM documents) WHERE label IS NOT NULL) c
-       CROSS JOIN (SELECT {sql_letters('message')} AS v FROM (SELECT {sql_clean('text')} AS message FROM benchmark)) r
-       GROUP BY c.doc_id, c.label, c.message)
-    QUALIFY row_number() OVER (PARTITION BY label ORDER BY sim DESC, 'near_' || doc_id) <= CASE label WHEN 3 THEN 40 WHEN 4 THEN 10 ELSE 5 END"""
+       FROM hv c CROSS JOIN rv r GROUP BY c.doc_id, c.label, c.message)
+    QUALIFY row_number() OVER (PARTITION BY label ORDER BY sim DESC, 'near_' || doc_id) <= CASE label WHEN 3 THEN 800 WHEN 4 THEN 200 ELSE 50 END"""
 
 
-@query("select_similar_texts")
+@query("select_similar_texts", f"SELECT 'near_' || doc_id AS index, label, round(sim, 6) AS sim_score FROM ({SQL_SIMILAR_TEXTS})")
 def _(spark, d):
     t = Tables(spark, d)
     found = with_costly(t.documents.select("doc_id", "text"), label=keyword_class(F.col("text"), RULES)).where(
         F.col("label").isNotNull()
     )
-    cands = embed(found.withColumn("message", clean_text(F.col("text"))), "message")
-    ref = embed(t.benchmark.withColumn("message", clean_text(F.col("text"))), "message")
-    df = select_similar(cands, ref, {3: 800, 4: 200, 5: 50}, "doc_id")
-    return df.select("doc_id", "label", r6("sim_score").alias("sim_score"))
+    # ties go by the marked id, as text
+    cands = found.select(F.concat(F.lit("near_"), "doc_id").alias("index"), clean_text(F.col("text")).alias("message"), "label")
+    ref = embed(t.benchmark.select(clean_text(F.col("text")).alias("message")), "message", word_encoder)
+    df = select_similar(embed(cands, "message", word_encoder), ref, {3: 800, 4: 200, 5: 50}, "index")
+    return df.select("index", "label", r6("sim_score").alias("sim_score"))
+
+
+# the five documents of the same language, and of all, whose words are most like a benchmark passage or a labelled text
+@query("nearest_hashed")
+def _(spark, d):
+    t = Tables(spark, d)
+    docs = embed(t.documents.select(F.col("doc_id").alias("id"), "text"), "text", dim=WORD_DIM)
+    asked = embed(t.benchmark.select(F.col("item_id").cast("bigint").alias("item"), "text"), "text", dim=WORD_DIM)
+    found, _recall, _tables = hashed_nearest(asked, docs, "item", "id", "vec", 5)
+    return found.select("item", F.posexplode("neighbors").alias("place", "n")).select("item", "place", "n.id", r6("n.dist").alias("dist"))
+
+
+@query("nearest_listed")
+def _(spark, d):
+    t = Tables(spark, d)
+    docs = embed(t.documents.select("doc_id", "lang", "text"), "text", dim=WORD_DIM).drop("text")
+    asked = docs.join(t.labels.select("doc_id"), "doc_id", "left_semi")
+    found, _recall, _lists = listed_nearest(asked, docs, "doc_id", "doc_id", "vec", 5, "lang", "cosine", skip_self=True)
+    return found.select("doc_id", F.posexplode("neighbors").alias("place", "n")).select("doc_id", "place", "n.id", r6("n.dist").alias("dist"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from evenkeel.operators.joins import join_labels
+from evenkeel.operators.joins import join_labels, union_sources
 from evenkeel.operators.metrics import class_distribution
 from evenkeel.operators.models import forest, linear
 from evenkeel.operators.sampling import stratified_split
@@ -21,6 +21,7 @@ from evenkeel.plans.training import (
     tfidf_forest,
 )
 from evenkeel.queries.base import (
+    REGISTRY,
     RULES,
     SQL_LABELED,
     Tables,
@@ -31,10 +32,10 @@ from evenkeel.queries.base import (
     sql_normalize,
     sql_rank,
 )
-from evenkeel.queries.rebalancing import _BALANCED_SQL, _CHAT_SQL, _MIX_SQL, sql_split
-from evenkeel.queries.vectorising import SQL_SIMILAR_TEXTS, letter_encoder
-from evenkeel.session import shared_dir
-from evenkeel.sources.tables import load_labeled, write_text_label
+from evenkeel.queries.rebalancing import _CHAT_SQL, _MIX_SQL, sql_draws, sql_split
+from evenkeel.queries.vectorising import SQL_SIMILAR_TEXTS, word_encoder
+from evenkeel.session import cut_lineage, shared_dir
+from evenkeel.sources.tables import load_labeled, read_table, write_table, write_text_label
 
 
 # roles without a label are dropped by the mapping
@@ -123,12 +124,53 @@ def _(spark, d):
     return _saved(spark, out).select("index", "label", F.md5("message").alias("text_md5"))
 
 
-_NEAR = {3: 40, 4: 10, 5: 5}
+def _landed(df, wanted: str, sep: str):
+    """A corpus as it lands: delimited files, read back by their headers."""
+    path = shared_dir(df.sparkSession, "landed")
+    write_table(df, path, sep=sep)
+    return read_table(df.sparkSession, path, wanted, sep=sep)
+
+
+_KEYWORD_SQL = REGISTRY["keyword_augmentation"].sql
+_FLAG_SQL = REGISTRY["flag_augmentation"].sql
+_MIXED_SQL = REGISTRY["mixed_augmentation"].sql
+
+
+@query("keyword_augmentation_landed", _KEYWORD_SQL)
+def _(spark, d):
+    t = Tables(spark, d)
+    corpus = _landed(t.documents.select("doc_id", "lang", "text", "source"), "doc_id bigint, text string, lang string", ";")
+    out = keyword_augmentation(_labelled(t), corpus, "doc_id", "doc_", RULES, "text", "lang", "en")
+    return _saved(spark, out).select("index", "label", F.md5("message").alias("text_md5"))
+
+
+@query("flag_augmentation_landed", _FLAG_SQL)
+def _(spark, d):
+    t = Tables(spark, d)
+    flags = join_labels(t.documents, t.labels, "doc_id").select(
+        "doc_id", F.col("text").alias("comment_text"), F.col("toxic").alias("threat"), (1 - F.col("quality")).alias("identity_hate")
+    )
+    corpus = _landed(flags, "doc_id bigint, comment_text string, threat int, identity_hate int", ",")
+    train = _chat(t).select(
+        F.col("turn_id").alias("index"), F.col("text").alias("message"), (F.col("role") == "assistant").cast("int").alias("label")
+    )
+    out = flag_augmentation(train, corpus, "doc_id", "flag_", "die|ung")
+    return _saved(spark, out).select("index", "label", F.md5("message").alias("text_md5"))
+
+
+@query("mixed_augmentation_landed", _MIXED_SQL)
+def _(spark, d):
+    t = Tables(spark, d)
+    chat = _landed(_chat(t).select("turn_id", "role", "text"), "turn_id string, text string, role string", ",")
+    out = mixed_augmentation(
+        _labelled(t), chat, "turn_id", "text", "role", {"user": 0, "assistant": 1}, pooled={0: 150}, drawn={2: 60, 3: 60}
+    )
+    return _saved(spark, out).select("index", "label", F.md5("message").alias("text_md5"))
 
 
 def _near(t: Tables):
     return semantic_augmentation(
-        _labelled(t), t.documents, _test(t), "doc_id", "near_", RULES, _NEAR, text="text", category=None, encoder=letter_encoder
+        _labelled(t), t.documents, _test(t), "doc_id", "near_", RULES, text="text", category=None, encoder=word_encoder
     )
 
 
@@ -151,18 +193,40 @@ def _(spark, d):
     return chosen.select("index", "label", r6("sim_score").alias("sim_score"))
 
 
+_PARTS_SQL = f"""WITH s AS ({sql_split(f"SELECT index, label, message FROM ({SQL_LABELED})", "index", "label", "0.2")}),
+    c AS (SELECT index, label, message FROM s WHERE NOT is_test),
+    r AS (SELECT *, {sql_rank('index', 'label')} AS rank, count(*) OVER (PARTITION BY label) AS size FROM c),
+    dr AS ({sql_draws('SELECT label, count(*) AS size FROM c GROUP BY label HAVING label <> 1 AND count(*) < 100', 'label', '100')}),
+    b AS (SELECT index, label, message FROM r WHERE (label = 1 AND rank <= 120) OR (label <> 1 AND size >= 100)
+      UNION ALL SELECT r.index, r.label, r.message FROM dr JOIN r ON r.label = dr.label AND r.rank = dr.pick)"""
+
+
 @query(
     "prepare",
-    f"""WITH b AS (SELECT label, {sql_normalize('message')} AS m FROM ({_BALANCED_SQL}))
-        SELECT label, count(*) AS count, round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight,
-          sum(length(m))::BIGINT AS chars FROM b GROUP BY label""",
+    f"""{_PARTS_SQL},
+        p AS (SELECT 'train' AS part, label, {sql_normalize('message')} AS m FROM b
+          UNION ALL SELECT 'val', label, {sql_normalize('message')} FROM s WHERE is_test
+          UNION ALL SELECT 'test', NULL, {sql_normalize('text')} FROM benchmark)
+        SELECT part, label, count(*) AS count, sum(length(m))::BIGINT AS chars, max(md5(m)) AS last_md5,
+          CASE WHEN part = 'train' THEN round(sum(count(*)) OVER (PARTITION BY part) / (count(*) OVER (PARTITION BY part) * count(*)), 6) END AS weight
+        FROM p GROUP BY part, label""",
 )
 def _(spark, d):
     t = Tables(spark, d)
-    parts = (t.texts(), t.classes())
-    done = prepare(parts, parts, _test(t), resample=True, majority=1, target=120, minimum=100)
-    chars = done.train.groupBy("label").agg(F.sum(F.length("message")).alias("chars"))
-    return done.weights.join(chars, "label").select("label", "count", r6("weight").alias("weight"), "chars")
+    split = cut_lineage(stratified_split(_labelled(t), "index", "label", 0.2), partition_by="is_test")
+    train, val = (split.where(F.col("is_test") == held) for held in (False, True))
+
+    def files(rows):
+        return rows.select("index", "message"), rows.select("index", "label")
+
+    done = prepare(files(train), files(val), _test(t), resample=True, majority=1, target=120, minimum=100)
+    parts = [("train", done.train), ("val", done.val), ("test", done.test.withColumn("label", F.lit(None).cast("int")))]
+    rows = union_sources(*[df.select(F.lit(name).alias("part"), "label", "message") for name, df in parts])
+    sums = rows.groupBy("part", "label").agg(
+        F.count("*").alias("count"), F.sum(F.length("message")).alias("chars"), F.max(F.md5("message")).alias("last_md5")
+    )
+    weights = done.weights.select(F.lit("train").alias("part"), "label", r6("weight").alias("weight"))
+    return sums.join(weights, ["part", "label"], "left")
 
 
 @query(
