@@ -85,10 +85,11 @@ SQL_LINES = rf"""
 WITH l AS (
   SELECT doc_id, i - 1 AS pos, ls[i] AS line, regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+') AS w
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents), unnest(range(1, len(ls) + 1)) r(i)),
-e AS (SELECT * FROM l WHERE len(w) >= 5),
+e AS (SELECT * FROM l WHERE len(w) > 0),
 f AS (SELECT line, min(struct_pack(d := doc_id, p := pos)) AS fst, any_value(w) AS w FROM e GROUP BY line),
 s AS (
-  SELECT line, fst, unnest(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) AS g FROM f),
+  SELECT line, fst, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END) AS g FROM f),
 n AS (SELECT line, count(*) AS n FROM s GROUP BY line),
 p AS (SELECT a.line AS x, b.line AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.fst < b.fst GROUP BY ALL),
 m AS (

@@ -13,8 +13,9 @@ def brute(rows, similarity=0.8):
     for doc, text in sorted(rows, key=lambda r: r[0]):
         for pos, line in enumerate((text or "").split("\n")):
             words = re.findall(r"[^\x20\x09-\x0D]+", line)
-            if len(words) >= 5:
-                lines.append((doc, pos, frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))))
+            if words:
+                grams = [tuple(words[i : i + 5]) for i in range(len(words) - 4)] or [tuple(words)]
+                lines.append((doc, pos, frozenset(grams)))
     index, removed, compared = collections.defaultdict(list), collections.defaultdict(list), collections.Counter()
     for k, (doc, pos, grams) in enumerate(lines):
         compared[doc] += 1
@@ -58,4 +59,41 @@ def test_line_dedup_keeps_the_rest(spark):
     same = "one two three four five six seven"
     rows = [(1, f"a\n{same}\nb"), (2, same), (3, f"{same}\nshort line\n\n"), (4, "short line"), (5, "")]
     got = linededup.line_dedup(spark.createDataFrame(rows, "doc_id bigint, text string"))
-    assert {r.doc_id: r.text for r in got.collect()} == {1: rows[0][1], 3: "short line\n\n", 4: "short line", 5: ""}
+    assert {r.doc_id: r.text for r in got.collect()} == {1: rows[0][1], 3: "short line\n\n", 5: ""}
+
+
+@pytest.mark.parametrize(("block", "part"), [(16, 40), (1 << 14, 1 << 14)])
+def test_one_large_group(spark, block, part, monkeypatch):
+    """Hundreds of lines share tokens; most are similar to none, so rounds and blocks are needed."""
+    monkeypatch.setattr(linededup, "BLOCK", block)
+    monkeypatch.setattr(linededup, "PART_ROWS", part)
+    monkeypatch.setattr(linededup, "MAP", 1)  # a poor bit map lets dissimilar lines pass
+    monkeypatch.setattr(linededup, "_MAPS", ["m0"])
+    rng = random.Random(5)
+    core = [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(150):
+        line = list(core)
+        for _ in range(rng.choice((1, 3, 5, 8))):
+            line[rng.randrange(40)] = f"x{rng.randrange(10**6)}"
+        rows.append((rng.randrange(10**6), " ".join(line + ["tail"] * rng.choice((0, 1)))))
+    rows += [(10**7 + i, "a b c d") for i in range(50)] + [(10**8, None), (10**8 + 1, "a  b\tc d")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    want = brute(rows)
+    assert found(docs) == want and 0 < sum(bool(r) for _, r in want.values()) < 190
+
+
+def test_shared_tokens_over_batches(spark):
+    """Rows of one token are split over batches of any size; each line of a shared token comes out once."""
+    rng = random.Random(7)
+    rows = [(t, h, 0) for t in range(300) for h in rng.choices(range(5), k=rng.choice((1, 1, 2, 4, 40)))]
+    want = {}
+    for t, h, _ in rows:
+        want.setdefault(t, set()).add(h)
+    for size in ("1", "2", "3", "1000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            got = [(r.token, r.h) for r in linededup._shared(spark.createDataFrame(rows, "token bigint, h bigint, i bigint")).collect()]
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert sorted(got) == sorted((t, h) for t, hs in want.items() if len(hs) > 1 for h in hs)
