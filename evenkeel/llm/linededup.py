@@ -2,389 +2,168 @@
 
 The tokens of a line are its distinct five-word shingles; a line of fewer words has one token, the whole sequence of its
 words. Copies of a line collapse to the first one before lines are compared. Tokens are ordered by rarity: how often the
-tokens of their hash bucket occur in all lines, a table of fixed size, and then by hash, one order for the whole corpus.
-Two lines of a Jaccard similarity of 0.8 share a token among the rarest fifth of either (the prefix), so only prefixes are
-shuffled, by token, as pairs of numbers, and tokens that a single line has are dropped there.
-
-Lines of one token are then laid side by side in a task, earliest first. Each line is held against the earlier ones by
-length, position and a parity bit map of its tokens, which differs in no more bits than the token sets differ; the
-first earlier line that passes is given out, one for each line and token, however large the group is. Its true Jaccard
-similarity is then computed. Lines whose pair fails go on behind that line in the next round, with twice as many. Very
-common tokens are cut into blocks, and pairs of blocks are tasks of their own.
-
-Tokens are made in numpy: the same in SQL functions took over twice the processor time that this operator may use.
+rarest of their words occurs in all lines, by a table of fixed size of counts of words by hash, and then by the token's
+own hash, one order for the whole corpus. Two lines of a Jaccard similarity of 0.8 share a token among the rarest fifth
+of either (the prefix), so only prefixes are shuffled, by token, as three numbers, and tokens that a single line has are
+dropped there.
+
+The lines of a token are numbered, earliest first. Every line is held against the first one, which settles large groups
+of variants in a number of pairs that is linear in their size; lines that are still open against the second and third,
+then the fourth to the seventh, and so on. Lengths, positions and a parity bit map of the tokens rule out most pairs
+inside the join; what is left is decided by the tokens.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
-import numpy as np
-import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import fresh, settle, written
-from evenkeel.operators.blocks import ARRAY_ROWS, array_rows, summed
+from evenkeel.functions.binding import let, with_costly
+from evenkeel.llm.common import fresh, line_words, oddly_spaced, settle, written
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: Entries of the table of token counts by hash, and the steps of rarity it is cut into.
+#: Entries of the table of word counts by hash, and the steps of rarity it is cut into.
 BUCKETS, STEPS_PER_DOUBLING = 1 << 16, 4
+#: Bits of a token number below its step of rarity.
+HASH_BITS = 57
 #: Positions of lines that are sent to every executor at most (some 16 bytes each); more go by a shuffle.
 FETCH_AT_ONCE = 2_000_000
-#: Bytes of texts whose lines are worked on at a time, lines that are sorted at a time, words whose hash is remembered.
-GROUP, SORTED, REMEMBERED = 1 << 22, 60_000, 1 << 20
-#: Words of 64 bits of a line's bit map.
-MAP = 8
-#: Entries of lines under tokens that one task holds, about, and lines of one token in a block.
-PART_ROWS, BLOCK = 100_000, 16_384
-_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
-
-
-class _Words(dict):
-    """Hashes of words, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def line_tokens(lines: list[list[bytes]], known: _Words) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the shingles of lines given as words, repeats included, and the line that each belongs to, ascending."""
-    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
-    flat = np.fromiter((known[w] for words in lines for w in words), np.uint64, int(lengths.sum()))
-    starts = np.cumsum(lengths) - lengths
-    parts = flat[:, None] * _ODD  # a shingle is the sum of its words' products, each with the factor of its place
-    counts = np.maximum(lengths - (SHINGLE - 1), 1)
-    of = np.repeat(np.arange(len(lines)), counts)
-    at = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts) + starts[of]
-    total = np.zeros(len(of), np.uint64)
-    used = np.minimum(lengths, SHINGLE)[of]
-    for j in range(SHINGLE):
-        there = used > j
-        total[there] += parts[at[there] + j, j]
-    return _mixed(total + used.astype(np.uint64)), of
-
-
-def _texts_lines(bodies: list[bytes]) -> tuple[list, list, list, list, list]:
-    """Text and position of every line with words, which distinct line it is, and words and bytes of these."""
-    row, pos, which, lines, raw, index = [], [], [], [], [], {}
-    for r, body in enumerate(bodies):
-        for p, line in enumerate(body.split(b"\n")):
-            u = index.get(line)
-            if u is None:
-                words = line.split()
-                u = index[line] = len(lines) if words else -1
-                if words:
-                    lines.append(words)
-                    raw.append(line)
-            if u >= 0:
-                row.append(r)
-                pos.append(p)
-                which.append(u)
-    return row, pos, which, lines, raw
-
-
-def _groups(sizes: list[int]) -> Iterator[tuple[int, int]]:
-    begin, held = 0, 0
-    for i, size in enumerate(sizes):
-        if held and held + size > GROUP:
-            yield begin, i
-            begin, held = i, 0
-        held += size
-    if sizes:
-        yield begin, len(sizes)
-
-
-def _bodies(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
-    column = batch.column("body").to_pylist()
-    for low, high in _groups([len(b or b"") for b in column]):
-        yield low, [b or b"" for b in column[low:high]]
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("body"))
+    """``doc_id, body, odd``, once per text: what is computed beside a generator is computed for each of its rows."""
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
+    return texts.withColumn("odd", oddly_spaced(F.col("body")))
 
 
-def rarity(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> np.ndarray:
-    """A step of rarity for each hash bucket: how many quarter doublings above the mean its count is, 0 at least."""
+def _all_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, pos, line, odd`` of every line that has a word."""
+    lines = _texts(docs, id_col, text_col).select("doc_id", F.posexplode(F.split("body", "\n")).alias("pos", "line"), "odd")
+    return lines.where((F.col("line") != "") & (~F.col("odd") | F.col("line").rlike(r"[^\x20\x09-\x0D]")))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, known = np.zeros(buckets, np.int64), _Words()
-        for batch in batches:
-            for _, bodies in _bodies(batch):
-                _, _, which, lines, _ = _texts_lines(bodies)
-                if not lines:
-                    continue
-                often = np.bincount(which, minlength=len(lines))
-                tokens, of = line_tokens(lines, known)
-                total += np.bincount(tokens % np.uint64(buckets), often[of], buckets).astype(np.int64)
-        yield from array_rows(total)
 
-    counts = summed(_texts(docs, id_col, text_col).select("body").mapInArrow(count, ARRAY_ROWS), (buckets,))
-    mean = max(1.0, counts.sum() / buckets)
-    steps = np.floor(STEPS_PER_DOUBLING * np.log2(np.maximum(counts, 1) / mean))
-    return np.clip(steps, 0, 62).astype(np.uint8)
+def _identity() -> list[Column]:
+    """Two hashes that stand for a line's text."""
+    return [F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g")]
 
 
-def ordered_tokens(lines: list[list[bytes]], steps: np.ndarray, known: _Words) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct tokens of each line as numbers that sort by rarity and then hash, ascending, and their line."""
-    tokens, lines_of = [], []
-    for low in range(0, len(lines), SORTED):
-        token, of = line_tokens(lines[low : low + SORTED], known)
-        step = steps[(token % np.uint64(len(steps))).astype(np.int64)].astype(np.uint64)
-        ranked = (step << np.uint64(57)) | (token >> np.uint64(7))
-        order = np.argsort(ranked)
-        order = order[np.argsort(of[order].astype(np.uint16), kind="stable")]
-        ranked, of = ranked[order], of[order]
-        new = np.ones(len(of), bool)
-        new[1:] = (ranked[1:] != ranked[:-1]) | (of[1:] != of[:-1])
-        tokens.append(ranked[new].astype(np.int64))
-        lines_of.append(of[new] + low)
-    none = np.zeros(0, np.int64)
-    return np.concatenate(tokens or [none]), np.concatenate(lines_of or [none])
+def rarity(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> list[int]:
+    """A step of rarity for each hash bucket of words: how many quarter doublings above the mean its count is, 0 at least."""
+    lines = _all_lines(docs, id_col, text_col)
+    words = lines.select(F.explode(line_words(F.col("line"), F.col("odd"))).alias("w"))
+    rows = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(buckets)).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = {r["b"]: r["n"] for r in rows}
+    mean = max(1.0, sum(counts.values()) / buckets)
+    return [min(62, max(0, int(STEPS_PER_DOUBLING * math.log2(max(1, counts.get(b, 0)) / mean)))) for b in range(buckets)]
 
 
-def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(values, pa.int64()))
+def tokens_of(found: Column, steps: list[int]) -> Column:
+    """The distinct tokens of a line, given as words, as numbers that sort by rarity and then hash; in no order.
 
+    A word's number has its step of rarity above its hash, so the least number of five words has the step of the rarest.
+    """
+    table = F.split(F.lit(",".join(map(str, steps))), ",").cast("array<bigint>")
+    low = (1 << HASH_BITS) - 1
 
-def _bit_maps(tokens: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-    """Parities of the tokens of each line by hash: a token that only one of two lines has changes one bit at most."""
-    place = tokens & (64 * MAP - 1)
-    bit = np.uint64(1) << (place & 63).astype(np.uint64)
-    zero = np.uint64(0)
-    return [np.bitwise_xor.reduceat(np.where(place >> 6 == w, bit, zero), starts).view(np.int64) for w in range(MAP)]
+    def number(word: Column) -> Column:
+        return let(F.xxhash64(word), lambda h: F.shiftleft(F.get(table, F.pmod(h, F.lit(len(steps))).cast("int")), HASH_BITS).bitwiseOR(
+            h.bitwiseAND(F.lit(low))))
 
+    def shingles(numbers: Column) -> Column:
+        def token(first: Column, i: Column) -> Column:
+            five = [first] + [F.get(numbers, i + j) for j in range(1, SHINGLE)]
+            return F.least(*five).bitwiseAND(F.lit(~low)).bitwiseOR(F.xxhash64(*five).bitwiseAND(F.lit(low)))
 
-_MAPS = [f"m{w}" for w in range(MAP)]
+        # a line of fewer words has one token, of the words there are
+        return F.slice(F.transform(numbers, token), F.lit(1), F.greatest(F.size(numbers) - (SHINGLE - 1), F.lit(1)))
 
+    return F.array_distinct(let(F.transform(found, number), shingles))
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, steps: np.ndarray, similarity: float) -> DataFrame:
-    """``doc_id, pos, h, g`` of every line with words; size, prefix and bit map where a line is met first in a task's batch."""
-    texts = _texts(docs, id_col, text_col)
-    kind = dict(texts.dtypes)["doc_id"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Words()
-        for batch in batches:
-            ids = batch.column("doc_id")
-            for low, bodies in _bodies(batch):
-                row, pos, which, lines, raw = _texts_lines(bodies)
-                if not lines:
-                    continue
-                tokens, of = ordered_tokens(lines, steps, known)
-                n = np.bincount(of, minlength=len(lines))
-                starts = np.cumsum(n) - n
-                taken = (n - np.ceil(n * similarity - 1e-9).astype(np.int64) + 1)
-                prefix = tokens[np.arange(len(tokens)) - starts[of] < taken[of]]
-                digests = np.array([divmod(xxhash.xxh3_128_intdigest(line), 1 << 64) for line in raw], np.uint64).view(np.int64)
-                which = np.array(which)
-                _, first = np.unique(which, return_index=True)
-                again = np.ones(len(which), bool)
-                again[first] = False
-                sets = pa.array(np.where(again, 0, which), mask=again)
-                columns = [
-                    ids.take(pa.array(np.array(row) + low)), pa.array(pos, pa.int32()),
-                    pa.array(digests[which, 0]), pa.array(digests[which, 1]), pa.array(n, pa.int32()).take(sets),
-                    _lists(prefix, taken).take(sets), *[pa.array(m).take(sets) for m in _bit_maps(tokens, starts)],
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "pos", "h", "g", "n", "prefix", *_MAPS])
-
-    maps = ", ".join(f"{m} bigint" for m in _MAPS)
-    return texts.mapInArrow(run, f"doc_id {kind}, pos int, h bigint, g bigint, n int, prefix array<bigint>, {maps}")
-
-
-def _shared(entries: DataFrame) -> DataFrame:
-    """The distinct ``token, h, i`` whose token more than one line has; rows of one partition come sorted by token and h."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, open_ = np.zeros((3, 0), np.int64), False  # the last row so far, and whether it still waits for a second line
-        for batch in batches:
-            rows = np.stack([np.asarray(batch.column(c), np.int64) for c in ("token", "h", "i")])
-            rows = np.concatenate((last, rows), axis=1)
-            new = np.ones(rows.shape[1], bool)
-            new[1:] = (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)
-            rows, held = rows[:, new], last.shape[1]
-            if not rows.shape[1]:
-                continue
-            like_next = rows[0, 1:] == rows[0, :-1]
-            before, after = np.concatenate(([False], like_next)), np.concatenate((like_next, [False]))
-            give = before | after
-            if held:
-                # the last row of the batch before: given out already, unless it was alone until now
-                give[0] = open_ and after[0]
-                was_open = open_
-            open_ = not before[-1] and not (held and len(before) == 1 and not was_open)
-            last = rows[:, -1:]
-            yield pa.RecordBatch.from_arrays([pa.array(c[give]) for c in rows], ["token", "h", "i"])
-
-    dealt = entries.repartition("token").sortWithinPartitions("token", "h")
-    return dealt.mapInArrow(run, "token bigint, h bigint, i bigint")
-
-
-def _place() -> Column:
-    """What lines are ordered by; lines of documents without an id come last."""
-    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("pos").alias("pos"))
 
+def _tokens(lines: DataFrame, steps: list[int]) -> DataFrame:
+    return with_costly(lines, tokens=tokens_of(line_words(F.col("line"), F.col("odd")), steps))
 
-def earlier_lines(
-    group: np.ndarray, begin: np.ndarray, asks: np.ndarray, answers: np.ndarray, n: np.ndarray, i: np.ndarray, maps: np.ndarray,
-    similarity: float, many: int,
-) -> tuple[np.ndarray, np.ndarray]:
-    """``(x, y)``: for each row that asks, up to ``many`` earlier rows of its group that may be similar enough, in order.
 
-    Rows of a group stand together, earliest line first; ``begin`` is where a row's search begins. All rows that still ask
-    take one step at a time, so the steps are as many as the largest group has rows.
-    """
-    at, left = begin.copy(), np.full(len(group), many)
-    open_ = np.flatnonzero(asks & (at < np.arange(len(group))))
-    xs, ys = [], []
-    while len(open_):
-        x = at[open_]
-        small, large = np.minimum(n[x], n[open_]), np.maximum(n[x], n[open_])
-        needed = np.ceil((n[x] + n[open_]) * (similarity / (1 + similarity)) - 1e-9)
-        rest = np.minimum(n[x] - i[x], n[open_] - i[open_])
-        good = answers[x] & (small >= np.ceil(large * similarity - 1e-9)) & (np.minimum(i[x], i[open_]) + rest >= needed)
-        some = np.flatnonzero(good)
-        differ = np.bitwise_count(maps[x[some]] ^ maps[open_[some]]).sum(axis=1)
-        most = (n[x[some]] + n[open_[some]]) * ((1 - similarity) / (1 + similarity)) + 1e-9
-        some = some[differ <= most]
-        xs.append(x[some])
-        ys.append(open_[some])
-        left[open_[some]] -= 1
-        at[open_] += 1
-        open_ = open_[(at[open_] < open_) & (left[open_] > 0)]
-    none = np.zeros(0, np.int64)
-    return np.concatenate(xs or [none]), np.concatenate(ys or [none])
-
-
-_KEYS = ("task", "b", "c")
-
-
-def _dealt(shared: DataFrame, parts: int) -> DataFrame:
-    """Rows with their task; a token of more than ``BLOCK`` lines is cut into blocks, and each row goes to their pairs."""
-    common = shared.groupBy("token").agg(F.count(F.lit(1)).alias("lines")).where(F.col("lines") > BLOCK)
-    common = settle(common.select(F.col("token").alias("common"), F.ceil(F.col("lines") / BLOCK).cast("int").alias("blocks")))
-    if not common.head(1):
-        zero = F.lit(0)
-        return shared.select("*", F.pmod(F.xxhash64("token"), F.lit(parts)).alias("task"), zero.alias("b"), zero.alias("c"),
-                             F.lit(True).alias("asks"), F.lit(True).alias("answers"))
-    # few tokens have more than BLOCK of all rows: at most a BLOCK-th part of them
-    joined = shared.join(common, F.col("token") == F.col("common"), "left")
-    own = F.when(F.col("common").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
-    every = joined.withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("blocks"), F.lit(1)) - 1)))
-    # a pair of blocks is one task for the lines of either that come later, so each row goes there once
-    task = F.when(F.col("common").isNull(), F.pmod(F.xxhash64("token"), F.lit(parts))).otherwise(F.col("token"))
-    return every.select(
-        *shared.columns, task.alias("task"), F.least("own", "other").alias("b"), F.greatest("own", "other").alias("c"),
-        F.lit(True).alias("asks"), F.lit(True).alias("answers"),
+def _prefix(similarity: float) -> Column:
+    """The rarest tokens that a similar line must share one of, in order."""
+    n = F.size("tokens")
+    return F.slice(F.sort_array("tokens"), F.lit(1), (n - F.ceil(n * similarity - 1e-9) + 1).cast("int"))
+
+
+def _place(doc: str = "doc_id", pos: str = "pos") -> Column:
+    """What lines are ordered by; lines of documents without an id come last."""
+    return F.struct(F.col(doc).isNull().alias("none"), F.col(doc).alias("doc_id"), F.col(pos).alias("pos"))
+
+
+def _may_match(similarity: float) -> Column:
+    """Length, positional and bit filter of ``x`` and ``y`` at their shared token: could the rest still reach the overlap?"""
+    both = F.col("x_n") + F.col("y_n")
+    needed = F.ceil(both * (similarity / (1 + similarity)) - 1e-9)
+    rest = F.least(F.col("x_n") - F.col("x_i"), F.col("y_n") - F.col("y_i"))
+    before = F.least(F.col("x_i"), F.col("y_i"))
+    differ = F.bit_count(F.col("x_bits").bitwiseXOR(F.col("y_bits")))
+    return (
+        (F.least("x_n", "y_n") >= F.ceil(F.greatest("x_n", "y_n") * similarity - 1e-9)) & (before + rest >= needed)
+        & (differ <= both * ((1 - similarity) / (1 + similarity)) + 1e-9)
     )
 
 
-def _candidates(rows: DataFrame, similarity: float, many: int) -> DataFrame:
-    """Pairs of a line ``y`` and an earlier line ``x`` of one token that may be similar enough."""
-    def run(table: pa.Table) -> pa.Table:
-        order = [("token", "ascending"), ("none", "ascending"), ("doc_id", "ascending"), ("pos", "ascending")]
-        table = table.sort_by(order).combine_chunks()
-        token = np.asarray(table.column("token"))
-        starts = np.flatnonzero(np.diff(token, prepend=token[0] - 1))
-        group = np.repeat(starts, np.diff(np.append(starts, len(token))))
-        # a round after the first one goes on behind the line that was tried last
-        begin = group + np.asarray(table.column("skip"), np.int64)
-        maps = np.stack([np.asarray(table.column(m)) for m in _MAPS], axis=1).view(np.uint64)  # a negative number has other bits
-        n, i = (np.asarray(table.column(c), np.int64) for c in ("n", "i"))
-        x, y = earlier_lines(group, begin, np.asarray(table.column("asks")), np.asarray(table.column("answers")), n, i, maps, similarity, many)
-        left, right = table.take(pa.array(x)), table.take(pa.array(y))
-        columns = [right.column(c) for c in ("task", "b", "c", "token")] + [left.column("h"), left.column("g"), right.column("h"), right.column("g")]
-        columns += [pa.chunked_array([pa.array(x - group[y] + 1, pa.int64())])]
-        return pa.table(columns, names=["task", "b", "c", "token", "xh", "xg", "yh", "yg", "skip"])
-
-    keys = "task bigint, b int, c int, token bigint, xh bigint, xg bigint, yh bigint, yg bigint, skip bigint"
-    return rows.groupBy(*_KEYS).applyInArrow(run, keys)
-
-
-def _fetched(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, steps: np.ndarray) -> DataFrame:
-    """``h, g, tokens`` of the lines in ``wanted`` (``h, g, place``), from the documents that have one."""
-    places = wanted.groupBy(F.col("place.none").alias("none"), F.col("place.doc_id").alias("of")).agg(
-        F.collect_set("place.pos").alias("at"))
+def _bits(tokens: Column) -> Column:
+    """The parity of tokens by hash: a token that only one of two lines has changes one bit."""
+    one = F.lit(1).cast("bigint")
+    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The lines ``y`` of the pairs whose Jaccard similarity with ``x`` is high enough."""
+    x = sets.select(F.col("place").alias("x"), F.col("tokens").alias("x_tokens"))
+    y = sets.select(F.col("place").alias("y"), F.col("tokens").alias("y_tokens"))
+    both = pairs.join(x, "x").join(y, "y")
+    shared = F.size(F.array_intersect("x_tokens", "y_tokens"))
+    either = F.size("x_tokens") + F.size("y_tokens") - shared
+    return both.where(shared >= F.lit(similarity) * either - 1e-9).select("y").distinct()
+
+
+def _fetched(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, steps: list[int]) -> DataFrame:
+    """``place, h, tokens`` of the lines in ``wanted.place``, from the documents that have one."""
+    places = wanted.select("place.none", F.col("place.doc_id").alias("of"), "place.pos").groupBy("none", "of").agg(
+        F.collect_set("pos").alias("at")
+    )
     if wanted.count() <= FETCH_AT_ONCE:
         places = F.broadcast(places)
     texts = _texts(docs, id_col, text_col)
-    here = texts.join(places, F.col("doc_id").eqNullSafe(F.col("of"))).select("body", "at")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Words()
-        for batch in batches:
-            at = batch.column("at").to_pylist()
-            for low, bodies in _bodies(batch):
-                raw = []
-                for body, places_ in zip(bodies, at[low:]):
-                    lines = body.split(b"\n")
-                    raw += [lines[p] for p in places_ if p < len(lines) and lines[p].split()]
-                raw = list(dict.fromkeys(raw))
-                if not raw:
-                    continue
-                tokens, of = ordered_tokens([line.split() for line in raw], steps, known)
-                digests = np.array([divmod(xxhash.xxh3_128_intdigest(line), 1 << 64) for line in raw], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(digests[:, 0]), pa.array(digests[:, 1]), _lists(tokens, np.bincount(of, minlength=len(raw)))], ["h", "g", "tokens"])
-
-    return here.mapInArrow(run, "h bigint, g bigint, tokens array<bigint>").dropDuplicates(["h", "g"])
-
-
-def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose Jaccard similarity is high enough."""
-    x = sets.select(F.col("h").alias("xh"), F.col("g").alias("xg"), F.col("tokens").alias("x_tokens"))
-    y = sets.select(F.col("h").alias("yh"), F.col("g").alias("yg"), F.col("tokens").alias("y_tokens"))
-    both = pairs.join(x, ["xh", "xg"]).join(y, ["yh", "yg"])
-    shared = F.size(F.array_intersect("x_tokens", "y_tokens"))
-    either = F.size("x_tokens") + F.size("y_tokens") - shared
-    return both.where(shared >= F.lit(similarity) * either - 1e-9).select("yh", "yg")
+    here = texts.join(places.drop("none"), F.col("doc_id").eqNullSafe(F.col("of")))
+    lines = here.select("doc_id", F.posexplode(F.split("body", "\n")).alias("pos", "line"), "at", "odd")
+    lines = lines.where(F.array_contains("at", F.col("pos"))).drop("at")
+    # of rows with one id another line may stand at the place
+    known = lines.select(_place().alias("place"), "line", "odd", *_identity()).join(
+        wanted.select("place", "h", "g"), ["place", "h", "g"], "left_semi")
+    return _tokens(known, steps).select("place", "h", "tokens").dropDuplicates(["place"])
+
 
+def _matched(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame | None:
+    """Places of the lines that an earlier line is similar to; ``rows`` has a line's number ``k`` under each token.
 
-def _matched(docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, shared: DataFrame, steps, similarity: float) -> DataFrame:
-    """``h, g`` of the classes of equal lines that an earlier line is similar to."""
-    parts = max(1, -(-shared.count() // PART_ROWS))
-    wide = shared.join(classes, "h").select(
-        "token", "h", "g", "i", "n", *_MAPS, F.col("place.none").alias("none"), F.col("place.doc_id").alias("doc_id"), F.col("place.pos").alias("pos"))
-    rows = settle(_dealt(wide, parts).withColumn("skip", F.lit(0).cast("bigint")))
-    gone, many, tried = None, 1, None
+    Numbers 1, 2 to 3, 4 to 7 and so on are tried in turn by the lines that are still open.
+    """
+    gone, first = None, 1
     while True:
-        asked = rows
-        if tried is not None:
-            # lines that are still open go on behind the last line they tried; the others of their tokens only answer
-            tokens = settle(tried.select(*_KEYS, "token").distinct())
-            mark = tried.select(*_KEYS, "token", F.col("yh").alias("h"), F.col("yg").alias("g"), F.col("skip").alias("behind"))
-            some = rows.drop("skip", "asks").join(tokens, [*_KEYS, "token"], "left_semi").join(mark, [*_KEYS, "token", "h", "g"], "left")
-            asked = some.withColumn("asks", F.col("behind").isNotNull()).withColumn("skip", F.coalesce("behind", F.lit(0).cast("bigint")))
-        found = settle(_candidates(asked, similarity, many))
-        if not found.head(1):
-            break
-        pairs = settle(found.select("xh", "xg", "yh", "yg").distinct())
-        lines = settle(pairs.select(F.col("xh").alias("h"), F.col("xg").alias("g")).union(pairs.select("yh", "yg")).distinct())
-        sets = settle(_fetched(docs, id_col, text_col, classes.join(lines, ["h", "g"], "left_semi").select("h", "g", "place"), steps))
-        close = settle(_similar(pairs, sets, similarity).distinct())
+        last = 2 * first - 1
+        x = rows.where(F.col("k").between(first, last)).select(
+            "token", F.col("place").alias("x"), F.col("k").alias("x_k"), *[F.col(c).alias(f"x_{c}") for c in ("n", "i", "bits")])
+        open_rows = rows.where(F.col("k") > first)
+        if gone is not None:
+            open_rows = open_rows.join(gone, F.col("place") == F.col("y"), "left_anti")
+        y = open_rows.select(
+            "token", F.col("place").alias("y"), F.col("k").alias("y_k"), *[F.col(c).alias(f"y_{c}") for c in ("n", "i", "bits")])
+        if first > 1 and not open_rows.head(1):
+            return gone
+        found = x.join(y, "token").where((F.col("x_k") < F.col("y_k")) & _may_match(similarity))
+        close = settle(_verified(settle(found.select("x", "y").distinct()), sets, similarity))
         gone = close if gone is None else settle(gone.unionByName(close).distinct())
-        last = found.join(close, ["yh", "yg"], "left_anti").groupBy(*_KEYS, "token", "yh", "yg").agg(
-            F.count(F.lit(1)).alias("given"), F.max("skip").alias("skip"))
-        # who was given fewer than asked for has seen all earlier lines of the token
-        tried = settle(last.where(F.col("given") == many))
-        if not tried.head(1):
-            break
-        many *= 2
-    empty = classes.select(F.col("h").alias("yh"), F.col("g").alias("yg")).limit(0)
-    return (empty if gone is None else gone).select(F.col("yh").alias("h"), F.col("yg").alias("g"))
+        first = last + 1
 
 
 def repeated_lines(
@@ -400,21 +179,27 @@ def repeated_lines(
     id are one document after all others. Other columns, whatever their names, are not read. An empty table gives no rows.
     """
     steps = rarity(docs, id_col, text_col, buckets)
-    lines = written(_lines(docs, id_col, text_col, steps, similarity), "lines")
-    classes = lines.groupBy("h", "g").agg(
-        F.min(_place()).alias("place"), F.max("n").alias("n"), *[F.max(m).alias(m) for m in _MAPS])
-    entries = lines.where("prefix IS NOT NULL").select("h", F.posexplode("prefix").alias("i", "token"))
-    shared = settle(_shared(entries.select("token", "h", F.col("i").cast("bigint").alias("i"))))
-    # only classes with a shared token are compared with others
+    every = _all_lines(docs, id_col, text_col)
+    lines = written(every.select("doc_id", "pos", *_identity()), "lines")
+    prefixes = _tokens(every.select("line", "odd", F.xxhash64("line").alias("h")), steps).select("h", _prefix(similarity).alias("prefix"))
+    # dealt out by token once: the counts and the join below read the same exchange
+    entries = prefixes.select("h", F.posexplode("prefix").alias("i", "token")).repartition("token")
+    common = entries.groupBy("token").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a != b").select("token")
+    shared = written(entries.join(common, "token").select("token", "h", "i").distinct(), "shared")
     few = lines.join(shared.select("h").distinct(), "h", "left_semi")
-    compared_classes = settle(few.groupBy("h", "g").agg(
-        F.min(_place()).alias("place"), F.max("n").alias("n"), *[F.max(m).alias(m) for m in _MAPS]))
-    gone = _matched(docs, id_col, text_col, compared_classes, shared, steps, similarity)
-
-    kept = classes.select("h", "g", "place").join(gone, ["h", "g"], "left_anti")
+    classes = settle(few.groupBy("h", "g").agg(F.min(_place()).alias("place")))
+    sets = written(_fetched(docs, id_col, text_col, classes, steps).withColumns({"n": F.size("tokens"), "bits": _bits(F.col("tokens"))}), "sets")
+    by_token = Window.partitionBy("token").orderBy("place")
+    rows = written(shared.join(sets.drop("tokens"), "h").select(
+        "token", "place", "n", "i", "bits", F.row_number().over(by_token).alias("k")), "rows")
+    gone = _matched(rows, sets, similarity)
+
+    kept = lines.groupBy("h", "g").agg(F.min(_place()).alias("place")).select("place")
+    if gone is not None:
+        kept = kept.join(gone, F.col("place") == F.col("y"), "left_anti")
     marked = lines.select("doc_id", "pos", F.lit(0).alias("stays")).unionByName(
         kept.select("place.doc_id", "place.pos", F.lit(1).alias("stays")))
-    per_line = marked.groupBy("doc_id", "pos").agg(F.max("stays").alias("stays"))
+    per_line = marked.repartition("doc_id").groupBy("doc_id", "pos").agg(F.max("stays").alias("stays"))
     return per_line.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("compared"),
         F.sort_array(F.collect_list(F.when(F.col("stays") == 0, F.col("pos")))).alias("removed"),
