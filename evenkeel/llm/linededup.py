@@ -1,15 +1,15 @@
 """Line dedup as an exact set-similarity join: rare tokens first, prefixes, positions, lengths, then the true Jaccard.
 
 The tokens of a line are its distinct five-word shingles; a line of fewer words has one token, the whole sequence of its
-words. Copies of a line collapse to the first one before lines are compared. Tokens are ordered by rarity: how often the
-rarest of their words occurs in all lines, by a table of fixed size of counts of words by hash, and then by the token's
-own hash, one order for the whole corpus. Two lines of a Jaccard similarity of 0.8 share a token among the rarest fifth
+words. Copies of a line collapse to the first one before lines are compared. Tokens are ordered by rarity: how often their
+first word occurs in all lines, which no token passes, by a table of fixed size of counts of words by hash, and then by
+the token's own hash, one order for the whole corpus. Two lines of a Jaccard similarity of 0.8 share a token among the rarest fifth
 of either (the prefix), so only prefixes are shuffled, by token, as three numbers, and tokens that a single line has are
 dropped there.
 
 The lines of a token are numbered, earliest first. Every line is held against the first one, which settles large groups
-of variants in a number of pairs that is linear in their size; lines that are still open against the second and third,
-then the fourth to the seventh, and so on. Lengths, positions and a parity bit map of the tokens rule out most pairs
+of variants in a number of pairs that is linear in their size; lines that are still open against the next seven, then the
+56 after them, and so on. Lengths, positions and a parity bit map of the tokens rule out most pairs
 inside the join; what is left is decided by the tokens.
 """
 
@@ -28,6 +28,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BUCKETS, STEPS_PER_DOUBLING = 1 << 16, 4
 #: Bits of a token number below its step of rarity.
 HASH_BITS = 57
+#: How much further than the round before a round of comparisons reaches.
+REACH = 8
 #: Positions of lines that are sent to every executor at most (some 16 bytes each); more go by a shuffle.
 FETCH_AT_ONCE = 2_000_000
 
@@ -62,19 +64,20 @@ def rarity(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buck
 def tokens_of(found: Column, steps: list[int]) -> Column:
     """The distinct tokens of a line, given as words, as numbers that sort by rarity and then hash; in no order.
 
-    A word's number has its step of rarity above its hash, so the least number of five words has the step of the rarest.
+    A word's number has its step of rarity above its hash, and a token's number the step of its first word.
     """
     table = F.split(F.lit(",".join(map(str, steps))), ",").cast("array<bigint>")
     low = (1 << HASH_BITS) - 1
 
     def number(word: Column) -> Column:
-        return let(F.xxhash64(word), lambda h: F.shiftleft(F.get(table, F.pmod(h, F.lit(len(steps))).cast("int")), HASH_BITS).bitwiseOR(
-            h.bitwiseAND(F.lit(low))))
+        # a short hash is cheaper to compute twice than to bind to a name for each word
+        step = F.get(table, F.pmod(F.xxhash64(word), F.lit(len(steps))).cast("int"))
+        return F.shiftleft(step, HASH_BITS).bitwiseOR(F.xxhash64(word).bitwiseAND(F.lit(low)))
 
     def shingles(numbers: Column) -> Column:
         def token(first: Column, i: Column) -> Column:
             five = [first] + [F.get(numbers, i + j) for j in range(1, SHINGLE)]
-            return F.least(*five).bitwiseAND(F.lit(~low)).bitwiseOR(F.xxhash64(*five).bitwiseAND(F.lit(low)))
+            return first.bitwiseAND(F.lit(~low)).bitwiseOR(F.xxhash64(*five).bitwiseAND(F.lit(low)))
 
         # a line of fewer words has one token, of the words there are
         return F.slice(F.transform(numbers, token), F.lit(1), F.greatest(F.size(numbers) - (SHINGLE - 1), F.lit(1)))
@@ -140,17 +143,20 @@ def _fetched(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, ste
     # of rows with one id another line may stand at the place
     known = lines.select(_place().alias("place"), "line", "odd", *_identity()).join(
         wanted.select("place", "h", "g"), ["place", "h", "g"], "left_semi")
-    return _tokens(known, steps).select("place", "h", "tokens").dropDuplicates(["place"])
+    found = _tokens(known, steps).select("place", "h", "tokens")
+    repeated = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").head(1)
+    without_id = docs.where(F.col(id_col).isNull()).head(1)
+    # a place can be met twice only where ids are repeated
+    return found.dropDuplicates(["place"]) if repeated or without_id else found
 
 
 def _matched(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame | None:
     """Places of the lines that an earlier line is similar to; ``rows`` has a line's number ``k`` under each token.
 
-    Numbers 1, 2 to 3, 4 to 7 and so on are tried in turn by the lines that are still open.
+    Numbers 1, 2 to 8, 9 to 64 and so on are tried in turn by the lines that are still open.
     """
-    gone, first = None, 1
+    gone, first, last = None, 1, 1
     while True:
-        last = 2 * first - 1
         x = rows.where(F.col("k").between(first, last)).select(
             "token", F.col("place").alias("x"), F.col("k").alias("x_k"), *[F.col(c).alias(f"x_{c}") for c in ("n", "i", "bits")])
         open_rows = rows.where(F.col("k") > first)
@@ -160,10 +166,10 @@ def _matched(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame |
             "token", F.col("place").alias("y"), F.col("k").alias("y_k"), *[F.col(c).alias(f"y_{c}") for c in ("n", "i", "bits")])
         if first > 1 and not open_rows.head(1):
             return gone
-        found = x.join(y, "token").where((F.col("x_k") < F.col("y_k")) & _may_match(similarity))
+        found = x.join(y, "token").where((F.col("x_k") < F.col("y_k")) & (F.col("x") < F.col("y")) & _may_match(similarity))
         close = settle(_verified(settle(found.select("x", "y").distinct()), sets, similarity))
         gone = close if gone is None else settle(gone.unionByName(close).distinct())
-        first = last + 1
+        first, last = last + 1, REACH * last
 
 
 def repeated_lines(
@@ -182,10 +188,11 @@ def repeated_lines(
     every = _all_lines(docs, id_col, text_col)
     lines = written(every.select("doc_id", "pos", *_identity()), "lines")
     prefixes = _tokens(every.select("line", "odd", F.xxhash64("line").alias("h")), steps).select("h", _prefix(similarity).alias("prefix"))
-    # dealt out by token once: the counts and the join below read the same exchange
-    entries = prefixes.select("h", F.posexplode("prefix").alias("i", "token")).repartition("token")
-    common = entries.groupBy("token").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a != b").select("token")
-    shared = written(entries.join(common, "token").select("token", "h", "i").distinct(), "shared")
+    entries = prefixes.select("h", F.posexplode("prefix").alias("i", "token"))
+    # a token of several lines: told from its least and largest line where its rows lie, in the one exchange they need
+    of_token = Window.partitionBy("token")
+    spans = entries.withColumns({"least": F.min("h").over(of_token), "largest": F.max("h").over(of_token)})
+    shared = written(spans.where("least != largest").select("token", "h", "i").distinct(), "shared")
     few = lines.join(shared.select("h").distinct(), "h", "left_semi")
     classes = settle(few.groupBy("h", "g").agg(F.min(_place()).alias("place")))
     sets = written(_fetched(docs, id_col, text_col, classes, steps).withColumns({"n": F.size("tokens"), "bits": _bits(F.col("tokens"))}), "sets")
