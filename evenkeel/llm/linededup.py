@@ -8,8 +8,8 @@ of either (the prefix), so only prefixes are shuffled, by token, as three number
 dropped there.
 
 The lines of a token are numbered, earliest first. Every line is held against the first one, which settles large groups
-of variants in a number of pairs that is linear in their size; lines that are still open against the next seven, then the
-56 after them, and so on. Lengths, positions and a parity bit map of the tokens rule out most pairs
+of variants in a number of pairs that is linear in their size; lines that are still open against the second and third,
+then the fourth to the seventh, and so on. Lengths, positions and a parity bit map of the tokens rule out most pairs
 inside the join; what is left is decided by the tokens.
 """
 
@@ -28,8 +28,6 @@ SHINGLE, SIMILARITY = 5, 0.8
 BUCKETS, STEPS_PER_DOUBLING = 1 << 16, 4
 #: Bits of a token number below its step of rarity.
 HASH_BITS = 57
-#: How much further than the round before a round of comparisons reaches.
-REACH = 8
 #: Positions of lines that are sent to every executor at most (some 16 bytes each); more go by a shuffle.
 FETCH_AT_ONCE = 2_000_000
 
@@ -119,10 +117,18 @@ def _bits(tokens: Column) -> Column:
     return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))))
 
 
+def _only(df: DataFrame, places: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows of ``df`` whose place is in the one column of ``places`` (or is not); few places are sent to the rows."""
+    if places.count() <= FETCH_AT_ONCE:
+        places = F.broadcast(places)
+    return df.join(places, F.col("place") == F.col(places.columns[0]), how)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The lines ``y`` of the pairs whose Jaccard similarity with ``x`` is high enough."""
-    x = sets.select(F.col("place").alias("x"), F.col("tokens").alias("x_tokens"))
-    y = sets.select(F.col("place").alias("y"), F.col("tokens").alias("y_tokens"))
+    xs, ys = (settle(pairs.select(F.col(c).alias("wanted")).distinct()) for c in ("x", "y"))
+    x = _only(sets, xs).select(F.col("place").alias("x"), F.col("tokens").alias("x_tokens"))
+    y = _only(sets, ys).select(F.col("place").alias("y"), F.col("tokens").alias("y_tokens"))
     both = pairs.join(x, "x").join(y, "y")
     shared = F.size(F.array_intersect("x_tokens", "y_tokens"))
     either = F.size("x_tokens") + F.size("y_tokens") - shared
@@ -153,23 +159,25 @@ def _fetched(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, ste
 def _matched(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame | None:
     """Places of the lines that an earlier line is similar to; ``rows`` has a line's number ``k`` under each token.
 
-    Numbers 1, 2 to 8, 9 to 64 and so on are tried in turn by the lines that are still open.
+    Numbers 1, 2 to 3, 4 to 7 and so on are tried in turn by the lines that are still open.
     """
-    gone, first, last = None, 1, 1
+    gone, first, open_rows = None, 1, rows.where("k > 1")
     while True:
+        last = 2 * first - 1
         x = rows.where(F.col("k").between(first, last)).select(
             "token", F.col("place").alias("x"), F.col("k").alias("x_k"), *[F.col(c).alias(f"x_{c}") for c in ("n", "i", "bits")])
-        open_rows = rows.where(F.col("k") > first)
-        if gone is not None:
-            open_rows = open_rows.join(gone, F.col("place") == F.col("y"), "left_anti")
         y = open_rows.select(
             "token", F.col("place").alias("y"), F.col("k").alias("y_k"), *[F.col(c).alias(f"y_{c}") for c in ("n", "i", "bits")])
-        if first > 1 and not open_rows.head(1):
-            return gone
         found = x.join(y, "token").where((F.col("x_k") < F.col("y_k")) & (F.col("x") < F.col("y")) & _may_match(similarity))
-        close = settle(_verified(settle(found.select("x", "y").distinct()), sets, similarity))
-        gone = close if gone is None else settle(gone.unionByName(close).distinct())
-        first, last = last + 1, REACH * last
+        pairs = settle(found.select("x", "y").distinct())
+        if pairs.head(1):
+            close = settle(_verified(pairs, sets, similarity))
+            gone = close if gone is None else gone.unionByName(close)
+            open_rows = _only(open_rows, close, "left_anti")
+        open_rows = written(open_rows.where(F.col("k") > last + 1), "open")
+        if not open_rows.head(1):
+            return gone
+        first = last + 1
 
 
 def repeated_lines(
