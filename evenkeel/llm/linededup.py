@@ -30,6 +30,9 @@ BUCKETS, STEPS_PER_DOUBLING = 1 << 16, 4
 HASH_BITS = 57
 #: Positions of lines that are sent to every executor at most (some 16 bytes each); more go by a shuffle.
 FETCH_AT_ONCE = 2_000_000
+#: Words of 64 bits of a line's bit map.
+MAP = 4
+_MAPS = tuple(f"bits{w}" for w in range(MAP))
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -104,17 +107,24 @@ def _may_match(similarity: float) -> Column:
     needed = F.ceil(both * (similarity / (1 + similarity)) - 1e-9)
     rest = F.least(F.col("x_n") - F.col("x_i"), F.col("y_n") - F.col("y_i"))
     before = F.least(F.col("x_i"), F.col("y_i"))
-    differ = F.bit_count(F.col("x_bits").bitwiseXOR(F.col("y_bits")))
+    differ = F.lit(0)
+    for m in _MAPS:
+        differ = differ + F.bit_count(F.col(f"x_{m}").bitwiseXOR(F.col(f"y_{m}")))
     return (
         (F.least("x_n", "y_n") >= F.ceil(F.greatest("x_n", "y_n") * similarity - 1e-9)) & (before + rest >= needed)
         & (differ <= both * ((1 - similarity) / (1 + similarity)) + 1e-9)
     )
 
 
-def _bits(tokens: Column) -> Column:
-    """The parity of tokens by hash: a token that only one of two lines has changes one bit."""
+def _bit_maps(tokens: Column) -> dict[str, Column]:
+    """The parities of tokens by hash: a token that only one of two lines has changes one bit."""
     one = F.lit(1).cast("bigint")
-    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))))
+
+    def parity(some: Column) -> Column:
+        flip = lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int")))
+        return F.aggregate(some, F.lit(0).cast("bigint"), flip)
+
+    return {m: parity(F.filter(tokens, lambda t, w=w: F.shiftright(t, 6).bitwiseAND(F.lit(MAP - 1)) == w)) for w, m in enumerate(_MAPS)}
 
 
 def _only(df: DataFrame, places: DataFrame, how: str = "left_semi") -> DataFrame:
@@ -165,9 +175,9 @@ def _matched(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame |
     while True:
         last = 2 * first - 1
         x = rows.where(F.col("k").between(first, last)).select(
-            "token", F.col("place").alias("x"), F.col("k").alias("x_k"), *[F.col(c).alias(f"x_{c}") for c in ("n", "i", "bits")])
+            "token", F.col("place").alias("x"), F.col("k").alias("x_k"), *[F.col(c).alias(f"x_{c}") for c in ("n", "i", *_MAPS)])
         y = open_rows.select(
-            "token", F.col("place").alias("y"), F.col("k").alias("y_k"), *[F.col(c).alias(f"y_{c}") for c in ("n", "i", "bits")])
+            "token", F.col("place").alias("y"), F.col("k").alias("y_k"), *[F.col(c).alias(f"y_{c}") for c in ("n", "i", *_MAPS)])
         found = x.join(y, "token").where((F.col("x_k") < F.col("y_k")) & (F.col("x") < F.col("y")) & _may_match(similarity))
         pairs = settle(found.select("x", "y").distinct())
         if pairs.head(1):
@@ -203,10 +213,10 @@ def repeated_lines(
     shared = written(spans.where("least != largest").select("token", "h", "i").distinct(), "shared")
     few = lines.join(shared.select("h").distinct(), "h", "left_semi")
     classes = settle(few.groupBy("h", "g").agg(F.min(_place()).alias("place")))
-    sets = written(_fetched(docs, id_col, text_col, classes, steps).withColumns({"n": F.size("tokens"), "bits": _bits(F.col("tokens"))}), "sets")
+    sets = written(_fetched(docs, id_col, text_col, classes, steps).withColumns({"n": F.size("tokens"), **_bit_maps(F.col("tokens"))}), "sets")
     by_token = Window.partitionBy("token").orderBy("place")
     rows = written(shared.join(sets.drop("tokens"), "h").select(
-        "token", "place", "n", "i", "bits", F.row_number().over(by_token).alias("k")), "rows")
+        "token", "place", "n", "i", *_MAPS, F.row_number().over(by_token).alias("k")), "rows")
     gone = _matched(rows, sets, similarity)
 
     kept = lines.groupBy("h", "g").agg(F.min(_place()).alias("place")).select("place")
