@@ -124,7 +124,10 @@ def _bit_maps(tokens: Column) -> dict[str, Column]:
         flip = lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int")))
         return F.aggregate(some, F.lit(0).cast("bigint"), flip)
 
-    return {m: parity(F.filter(tokens, lambda t, w=w: F.shiftright(t, 6).bitwiseAND(F.lit(MAP - 1)) == w)) for w, m in enumerate(_MAPS)}
+    def part(w: int) -> Column:
+        return F.filter(tokens, lambda t: F.shiftright(t, 6).bitwiseAND(F.lit(MAP - 1)) == w)
+
+    return {m: parity(part(w)) for w, m in enumerate(_MAPS)}
 
 
 def _only(df: DataFrame, places: DataFrame, how: str = "left_semi") -> DataFrame:
