@@ -80,9 +80,15 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
-def worker_cache() -> dict:
-    """A dictionary that lives as long as the Python worker, for what is costly to load and the same in every task."""
-    return sys.modules.setdefault("evenkeel_worker_cache", SimpleNamespace(kept={})).kept
+def worker_cache(owner: str) -> dict:
+    """A dictionary that lives as long as the Python worker, for what is costly to load and the same in every task.
+
+    It holds what one operator keeps: a worker that goes on to the next one lets go of it.
+    """
+    held = sys.modules.setdefault("evenkeel_worker_cache", SimpleNamespace(owner=owner, kept={}))
+    if held.owner != owner:
+        held.owner, held.kept = owner, {}
+    return held.kept
 
 
 def oddly_spaced(text: Column) -> Column:

@@ -65,7 +65,7 @@ class Encoder:
         self.added = {literal: array("I", [i]).tobytes() for literal, i in (added or {}).items()}
         longest = sorted(self.added, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
-        kept = worker_cache()
+        kept = worker_cache("packing")
         self.made = kept.setdefault(("tokenizer", path), None) or _tokenizer(path)
         kept[("tokenizer", path)] = self.made
         self.known: dict[str, bytes] = kept.setdefault(("chunks", path), {})

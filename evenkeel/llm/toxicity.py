@@ -309,7 +309,7 @@ def _hits(docs: DataFrame, id_col: str, text_col: str, model: Model) -> DataFram
     key = ("toxicity", hash((tuple(model.stems), tuple(model.words), tuple(model.exceptions))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = worker_cache()
+        kept = worker_cache("toxicity")
         if key not in kept:  # one model at a time
             for old in [k for k in kept if k[0] == "toxicity"]:
                 del kept[old]
