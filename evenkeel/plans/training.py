@@ -23,7 +23,6 @@ from evenkeel.operators.models import (
     Comparison,
     Estimator,
     Fitted,
-    boosted,
     epoch_log,
     forest,
     kfold_ensemble,
@@ -31,6 +30,7 @@ from evenkeel.operators.models import (
     linear,
     run_models,
     score_batch,
+    soft_trees,
     tune_multipliers,
     vote,
 )
@@ -218,14 +218,16 @@ def boosted_folds(
     smote_target: int | None = None,
     **params,
 ) -> Run:
-    """Embeddings and boosted trees in folds, averaged on the test set.
+    """Embeddings and boosted trees of all classes at once in folds, averaged on the test set.
+
+    ``params`` are those of :func:`evenkeel.operators.boosting.fit_soft_trees`; ``patience`` looks at the held-out fold.
 
     With ``smote_target`` the training part of each fold is brought to that many
     rows per class, else rows are weighted by class. Validation rows are never
     resampled.
     """
     rows, unseen = with_embeddings(train, encoder, dim), with_embeddings(test, encoder, dim)
-    fit = boosted(n_classes, seed=seed, balanced=smote_target is None, **params)
+    fit = soft_trees(n_classes, balanced=smote_target is None, key="index", seed=seed, **params)
 
     def resample(part: DataFrame) -> DataFrame:
         made = smote(part, "index", "label", "vec", smote_target, seed=seed)

@@ -276,27 +276,27 @@ def _(spark, d):
 @query("tfidf_folds", _VALID_SQL)
 def _(spark, d):
     t = Tables(spark, d)
-    return _valid(tfidf_folds(_labelled(t), _test(t), k=3, estimator=linear(iterations=15), max_features=1000).predictions)
+    return _valid(tfidf_folds(_labelled(t), _test(t), k=3, estimator=linear(iterations=15)).predictions)
 
 
 @query("tuned_folds", _VALID_SQL)
 def _(spark, d):
     t = Tables(spark, d)
     return _valid(
-        tfidf_folds(_labelled(t), _test(t), k=2, estimator=linear(iterations=15), max_features=500, tune=True).predictions
+        tfidf_folds(_labelled(t), _test(t), k=2, estimator=linear(iterations=15), tune=True).predictions
     )
 
 
 @query("boosted_folds", _VALID_SQL)
 def _(spark, d):
     t = Tables(spark, d)
-    return _valid(boosted_folds(_labelled(t), _test(t), 4, k=2, dim=64, rounds=3, depth=3).predictions)
+    return _valid(boosted_folds(_labelled(t), _test(t), 4, k=5, rounds=4, rate=0.3, depth=3, patience=2).predictions)
 
 
 @query("smote_boosted_folds", _VALID_SQL)
 def _(spark, d):
     t = Tables(spark, d)
-    return _valid(boosted_folds(_labelled(t), _test(t), 4, k=2, dim=64, rounds=3, depth=3, smote_target=120).predictions)
+    return _valid(boosted_folds(_labelled(t), _test(t), 4, k=5, rounds=4, rate=0.3, depth=3, patience=2, smote_target=120).predictions)
 
 
 @query("merged_linear", _VALID_SQL)
@@ -313,7 +313,6 @@ def _(spark, d):
         split.where(~F.col("is_test")).drop("is_test"),
         split.where("is_test").drop("is_test"),
         {"linear": linear(iterations=10), "forest": forest(trees=8, depth=4)},
-        max_features=500,
         directory=shared_dir(spark, "run"),
     )
     return _valid(predict_best(_test(t)))
@@ -330,7 +329,6 @@ def _(spark, d):
         inner.where("is_test").drop("is_test"),
         {"linear": linear(iterations=10), "strong_l2": linear(iterations=10, l2=1.0)},
         test=test,
-        max_features=500,
     )
     scores = [F.col(c).between(0, 1) for c in ("val_f1_macro", "test_f1_macro", "test_accuracy")]
     return result.table.select("model", (scores[0] & scores[1] & scores[2]).alias("valid"))
@@ -340,7 +338,7 @@ def _(spark, d):
 def _(spark, d):
     t = Tables(spark, d)
     path = shared_dir(spark, "model")
-    fit_text_model(_labelled(t), path, max_features=500, iterations=20)
+    fit_text_model(_labelled(t), path, iterations=20)
     return _valid(batch_inference(_test(t), path, shared_dir(spark, "scored")))
 
 
@@ -348,6 +346,6 @@ def _(spark, d):
 def _(spark, d):
     t = Tables(spark, d)
     path = shared_dir(spark, "model")
-    fit_text_model(_labelled(t), path, max_features=300, iterations=20)
+    fit_text_model(_labelled(t), path, iterations=20)
     out = batch_inference(_test(t), path)
     return out.select("index", F.col("label").between(0, 3).alias("valid"))
