@@ -26,7 +26,7 @@ END = 0
 #: Token ids of a document that one row of the first pass holds at most.
 RUN = 1 << 20
 #: Entries of a worker's table of known chunks; a full table is emptied, which changes no result.
-KNOWN = 500_000
+KNOWN = 100_000
 #: Chunks of more characters are not kept in it.
 LONG = 64
 BYTES_AT_ONCE = 1 << 24
