@@ -59,26 +59,67 @@ EM_ROUNDS, STEPS = 50, 400
 THRESHOLD = 0.5
 
 
-def _running(lengths: Column) -> Column:
-    """Sums of the entries before each entry, in blocks, so that an array of a million entries is no square of work."""
+def _before(values: Column, first: int, merge: Callable[[Column, Column], Column]) -> Column:
+    """What the entries before each entry merge to, from ``first`` on; in blocks, so that a million entries are no square of work."""
     block = 256
     empty = F.array().cast("array<bigint>")
-    zero = F.lit(0).cast("bigint")
+    start = F.lit(first).cast("bigint")
 
     def scan(a: Column) -> Column:
-        start = F.struct(zero.alias("at"), empty.alias("out"))
+        state = F.struct(start.alias("at"), empty.alias("out"))
         return F.aggregate(
-            a, start, lambda s, x: F.struct((s["at"] + x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
+            a, state, lambda s, x: F.struct(merge(s["at"], x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
             lambda s: s["out"],
         )
 
     def whole(blocks: Column) -> Column:
-        sums = F.transform(blocks, lambda b: F.aggregate(b, zero, lambda a, x: a + x))
-        return let(scan(sums), lambda base: F.flatten(
-            F.transform(blocks, lambda b, i: F.transform(scan(b), lambda v: v + F.get(base, i)))))
+        totals = F.transform(blocks, lambda b: F.aggregate(b, start, merge))
+        return let(scan(totals), lambda base: F.flatten(
+            F.transform(blocks, lambda b, i: F.transform(scan(b), lambda v: merge(v, F.get(base, i))))))
 
-    cut = F.transform(F.sequence(F.lit(0), F.size(lengths) - 1, F.lit(block)), lambda s: F.slice(lengths, s + 1, F.lit(block)))
-    return F.when(F.size(lengths) > 0, let(cut, whole)).otherwise(empty)
+    def cut(a: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(a) - 1, F.lit(block)), lambda s: F.slice(a, s + 1, F.lit(block)))
+
+    return let(values, lambda a: F.when(F.size(a) > 0, let(cut(a), whole)).otherwise(empty))
+
+
+def _larger(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def _smaller(a: Column, b: Column) -> Column:
+    return F.least(a, b)
+
+
+def _clear_of(wide: Column, base: Column) -> Column:
+    """The spans of ``wide`` that share no character with one of ``base``, by one pass over both in the order of their starts.
+
+    A span is met by one that begins before it if the furthest end so far lies behind its start, and by one that begins
+    in it if the next start ahead lies before its end.
+    """
+    far = 1 << 62
+
+    def event(s: Column, place: Column) -> Column:
+        return F.struct(s["start"].alias("start"), place.alias("place"), s["end"].alias("end"))
+
+    def pick(x: Column) -> Column:
+        every = x["every"]
+        reach = _before(F.transform(every, lambda e: F.when(e["place"] < 0, e["end"]).otherwise(F.lit(0).cast("bigint"))), 0, _larger)
+        starts = F.transform(every, lambda e: F.when(e["place"] < 0, e["start"]).otherwise(F.lit(far)))
+        ahead = F.reverse(_before(F.reverse(starts), far, _smaller))
+
+        def free(y: Column) -> Column:
+            places = F.transform(every, lambda e, i: F.when(
+                (e["place"] >= 0) & (F.get(y["reach"], i) <= e["start"]) & (F.get(y["ahead"], i) >= e["end"]), e["place"]))
+            return F.transform(F.filter(places, lambda p: p.isNotNull()), lambda p: F.get(x["wide"], p))
+
+        return let(F.struct(reach.alias("reach"), ahead.alias("ahead")), free)
+
+    def both(w: Column) -> Column:
+        events = F.concat(F.transform(base, lambda s: event(s, F.lit(-1))), F.transform(w, event))
+        return F.when(F.size(w) > 0, let(F.struct(F.sort_array(events).alias("every"), w.alias("wide")), pick)).otherwise(w)
+
+    return let(wide, both)
 
 
 def _digits(x: Column) -> Column:
@@ -119,7 +160,8 @@ def _found(body: Column, pattern: str, keep: Callable[[Column], Column] | None,
 
         def place(before: Column) -> Column:
             def span(h: Column, i: Column) -> Column:
-                start = F.get(before, i) + F.get(gaps, i)
+                # the gap before this hit alone: an expression over all gaps would be computed anew for each hit
+                start = F.get(before, i) + F.length(F.get(pieces, i))
                 return F.struct(
                     start.alias("start"), (start + F.length(h)).alias("end"), h.alias("hit"),
                     F.right(F.get(pieces, i), F.lit(AROUND)).alias("left"),
@@ -128,7 +170,7 @@ def _found(body: Column, pattern: str, keep: Callable[[Column], Column] | None,
 
             return F.transform(hits, span)
 
-        return let(_running(widths), place)
+        return let(_before(widths, 0, lambda a, w: a + w), place)
 
     both = F.struct(F.split(body, pattern).alias("pieces"), F.regexp_extract_all(body, F.lit(pattern), F.lit(0)).alias("hits"))
     spans = let(both, of)
@@ -158,12 +200,9 @@ def _with_candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     based = base_spans(docs, id_col, text_col)
 
     def free(kind: str) -> Column:
-        wide = _found(F.col("body"), WIDE[kind], None, None)
         # what lies in a base span, of any kind, is not looked at again
-        def clear(s: Column) -> Column:
-            return ~F.exists(F.concat(*[F.col(k) for k in KINDS]), lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"]))
-
-        return F.filter(wide, clear)
+        plain = [F.transform(F.col(k), lambda s: F.struct(s["start"], s["end"])) for k in KINDS]
+        return _clear_of(_found(F.col("body"), WIDE[kind], None, None), F.concat(*plain))
 
     return with_costly(based, **{f"wide_{k}": free(k) for k in KINDS})
 

@@ -85,3 +85,35 @@ def test_classifier_adds_spans(spark):
     assert len(got[0].base) == 2 and len(got[0].spans) >= 2 and got[200].spans == []
     assert all(set(map(tuple, r.base)) <= set(map(tuple, r.spans)) for r in got.values())
     assert got[100].base == [] and [s.rank for s in got[100].spans] == [0]
+
+
+def test_long_text_with_many_hits(spark):
+    """A megabyte of hits of all sorts, spelled-out ones included; work that grew with their square would not end."""
+    part = "mail bob@example.org or ann at example dot org now, 10.1.2.3 and 4111 1111 1111 1111, call +1 212 555 0100. "
+    text = part * 10_000
+    found = pii.personal_data(spark.createDataFrame([(1, text), (2, part)], "doc_id bigint, text string")).select(
+        "doc_id", pii.listed(pii.F.col("base")).alias("base"), pii.F.size("spans").alias("n"))
+    got = {r.doc_id: r for r in found.collect()}
+    assert got[1].base == plain(text) and got[2].base == plain(part)
+    assert got[1].n == 10_000 * got[2].n
+
+
+def test_spans_that_meet_a_base_span(spark):
+    rng = random.Random(9)
+
+    def spans(n, width):
+        at, out = 0, []
+        for _ in range(n):
+            at += rng.randint(0, width)
+            out.append((at, at + rng.randint(1, width)))
+            at = out[-1][1]
+        return out
+
+    rows = []
+    for i in range(60):
+        n = rng.choice((0, 1, 5, 700))
+        rows.append((i, spans(n, 9), spans(rng.choice((0, n, 3)), 12) + spans(rng.choice((0, 2, n)), 30)))
+    kind = "array<struct<start:bigint,end:bigint>>"
+    df = spark.createDataFrame(rows, f"i int, wide {kind}, base {kind}")
+    got = {r.i: [tuple(s) for s in r.free] for r in df.select("i", pii._clear_of(pii.F.col("wide"), pii.F.col("base")).alias("free")).collect()}
+    assert got == {i: [s for s in w if not any(s[0] < b[1] and b[0] < s[1] for b in base)] for i, w, base in rows}
