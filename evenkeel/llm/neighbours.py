@@ -76,6 +76,15 @@ def _matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
     return flat.reshape(n, -1)
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two that brings its largest component to between 0.5 and 1.
+
+    No cosine changes, and no square over- or underflows.
+    """
+    _, power = np.frexp(np.abs(vectors).max(axis=1))
+    return np.ldexp(vectors, -power[:, None])
+
+
 def _norms(vectors: np.ndarray) -> np.ndarray:
     return np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
 
@@ -84,8 +93,9 @@ def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
     """``(query row, vector row, cosine)`` of the up to ``k`` nearest vectors found in one block for each query.
 
     Vectors with the query's id are its own and left out; equal cosines go to the smaller id, a null id (the largest
-    number) last.
+    number) last. Components of any finite size are welcome.
     """
+    vectors, queries = _scaled(vectors), _scaled(queries)
     size, query_size = _norms(vectors), _norms(queries)
     index = SortedProjections(vectors / size[:, None], projections)
     for i in range(len(queries)):

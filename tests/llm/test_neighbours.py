@@ -57,3 +57,21 @@ def test_ties_nulls_and_few_candidates(spark):
         (0, 1, 3, 1.0), (0, 2, 7, 1.0), (0, 3, None, 1.0), (0, 4, 50, 0.0),
         (50, 1, 0, 0.0), (50, 2, 3, 0.0), (50, 3, 7, 0.0), (50, 4, None, 0.0),
     ]
+
+
+def test_components_of_any_size(spark):
+    """Cosines do not depend on how long vectors are, up to the ends of the range of doubles."""
+    rng = np.random.default_rng(8)
+    plain = rng.standard_normal((120, 6))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(plain * 10.0 ** rng.choice([-300, -200, 0, 200, 300], 120)[:, None])]
+    rows += [(1000, [5e-324, 0.0, 0.0, 0.0, 0.0, 0.0]), (1001, [1e308] * 6)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    vectors = np.vstack([plain, np.eye(6)[0], np.ones(6)])
+    ids = np.array([r[0] for r in rows])
+    want = brute(ids, vectors, 130)
+    got = {}
+    for r in neighbours.nearest(table, table.where("vec_id % 50 = 0"), k=130).collect():
+        got.setdefault(r.query_id, {})[r.vec_id] = r.score
+    assert got.keys() == want.keys()
+    for q, rows in want.items():
+        assert got[q] == pytest.approx(dict(rows), abs=1e-12)
