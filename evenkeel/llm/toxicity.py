@@ -21,14 +21,10 @@ from evenkeel.llm.common import settle, without, worker_cache
 
 #: Labelled rows that the model is learned from at most, those whose ids hash lowest.
 LABELLED_ROWS = 200_000
-#: Terms of a model at most: beginnings of words, whole words for the fuzzy search, and clean words close to those.
-STEMS, WORDS, EXCEPTIONS = 5_000, 2_000, 50_000
 SHORTEST, LONGEST = 4, 8
 SUPPORT, PURITY, CHANCE = 3, 0.95, 0.1
 THRESHOLD = 0.7
-FUZZY_FROM, FUZZY_TWICE_FROM = 5, 9
-#: Hits of one sort that make a difference.
-MOST = 3
+FUZZY_FROM, FUZZY_TWICE_FROM = 4, 9
 WINDOW = 6
 QUOTES = "\"'«»„“”‘’‹›"
 SAYING = frozenset("said says say called calls wrote writes quoted quote word words term dit écrit mot sagte schrieb wort dijo escribió palabra".split())
@@ -37,6 +33,8 @@ SORTS = ("exact", "fuzzy", "exact_quoted", "fuzzy_quoted")
 #: What a hit says before any label is seen, and how firmly: mean and weight of the fit's prior.
 PRIOR, FIRMNESS = {"bias": -2.0, "exact": 2.0, "fuzzy": 1.0, "exact_quoted": 0.2, "fuzzy_quoted": 0.1}, 0.1
 _KNOWN_WORDS, _KNOWN_STEPS = 400_000, 200_000
+#: Words and characters that a task counts before it hands them on.
+_COUNTED_WORDS, _COUNTED_CHARS = 400_000, 1 << 25
 
 
 def plain_word(raw: str) -> str:
@@ -125,7 +123,7 @@ class FuzzyTrie:
 
 @dataclass
 class Model:
-    """What is learned; a few hundred kB at most."""
+    """What is learned; its words are some of those in the labelled rows, and so bounded by their number."""
 
     stems: list[str] = field(default_factory=list)
     words: list[str] = field(default_factory=list)
@@ -165,7 +163,7 @@ class Matcher:
         return out
 
     def counts(self, text: str) -> tuple[int, int, int, int]:
-        """Hits in a text by sort, at most ``MOST`` of each."""
+        """Hits in a text by sort, on a scale of doublings: 0, 1, 2 for two or three, 3 for four to seven and so on."""
         words = text.lower().split()
         out = [0, 0, 0, 0]
         found = self.sorts(words)
@@ -173,7 +171,7 @@ class Matcher:
             for i, s in enumerate(found):
                 if s:
                     out[s - 1 + 2 * quoted(words, i)] += 1
-        return tuple(min(MOST, n) for n in out)
+        return tuple(n.bit_length() for n in out)
 
 
 def quoted(words: list[str], at: int) -> bool:
@@ -204,13 +202,15 @@ def _word_counts(train: DataFrame) -> DataFrame:
     """``(word, pos, neg)``: toxic and other documents that hold the word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = (Counter(), Counter())
+        seen, chars = (Counter(), Counter()), 0
         for batch in batches:
             for toxic, body in zip(batch.column("toxic").to_pylist(), batch.column("body")):
-                seen[toxic > 0].update({p for w in (body.as_py() or "").lower().split() if SHORTEST <= len(p := plain_word(w)) < 40})
-            if len(seen[0]) + len(seen[1]) > 400_000:
-                yield _counted(seen)
-                seen = (Counter(), Counter())
+                text = (body.as_py() or "").lower()
+                seen[toxic > 0].update({p for w in text.split() if len(p := plain_word(w)) >= SHORTEST})
+                chars += len(text)
+                if len(seen[0]) + len(seen[1]) > _COUNTED_WORDS or chars > _COUNTED_CHARS:
+                    yield _counted(seen)
+                    seen, chars = (Counter(), Counter()), 0
         yield _counted(seen)
 
     def _counted(seen) -> pa.RecordBatch:
@@ -223,6 +223,17 @@ def _word_counts(train: DataFrame) -> DataFrame:
     return made.groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
+def _one_of_copies(train: DataFrame) -> DataFrame:
+    """``train`` with one id for each text and label, so that a group of copies speaks for its words once.
+
+    The ids are found by the hashes of texts, the texts themselves are not moved. There are at most as many as labelled rows.
+    """
+    texts = [F.xxhash64("body").alias("h"), F.xxhash64(F.lit(1), "body").alias("g")]
+    first = train.select("label_id", "toxic", *texts).groupBy("h", "g", "toxic").agg(F.min("label_id").alias("first"))
+    first = settle(first.select("first").distinct())
+    return train.join(F.broadcast(first), F.col("label_id") == F.col("first"), "left_semi")
+
+
 def _surprise(pos: Column, neg: Column, rate: float) -> Column:
     """Lower bound of minus the log of the chance that so many of the documents are toxic by luck."""
     n = pos + neg
@@ -241,8 +252,8 @@ def _lexicon(train: DataFrame) -> tuple[list[str], list[str], DataFrame]:
     pure = (F.col("pos") >= SUPPORT) & (F.col("pos") >= PURITY * (F.col("pos") + F.col("neg")))
     tests = max(1, counts.count())
     enough = _surprise(F.col("pos"), F.col("neg"), rate) > math.log(tests / CHANCE)
-    words = counts.where(pure & enough & (F.length("word") >= FUZZY_FROM)).orderBy(F.desc("pos"), "word").limit(WORDS)
-    words = [r["word"] for r in words.select("word").collect()]
+    words = counts.where(pure & enough & (F.length("word") >= FUZZY_FROM))
+    words = sorted(r["word"] for r in words.select("word").collect())
 
     cut = F.explode(F.transform(F.sequence(F.lit(SHORTEST), F.least(F.length("word"), F.lit(LONGEST))), lambda n: F.left(F.col("word"), n)))
     begun = counts.select(cut.alias("stem"), "pos", "neg").groupBy("stem").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
@@ -253,12 +264,12 @@ def _lexicon(train: DataFrame) -> tuple[list[str], list[str], DataFrame]:
         for batch in batches:
             out = []
             for body in batch.column("body"):
-                plain = {p for w in (body.as_py() or "").lower().split() if SHORTEST <= len(p := plain_word(w)) < 40}
+                plain = {p for w in (body.as_py() or "").lower().split() if len(p := plain_word(w)) >= SHORTEST}
                 out += {p[:n] for p in plain for n in range(SHORTEST, min(len(p), LONGEST) + 1)}
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["stem"])
 
     in_toxic = train.where("toxic > 0").select("body").mapInArrow(stems_of, "stem string").groupBy("stem").agg(F.count(F.lit(1)).alias("pos"))
-    found = in_toxic.join(begun, "stem").where(pure & enough).orderBy(F.desc("pos"), F.length("stem"), "stem").limit(STEMS)
+    found = in_toxic.join(begun, "stem").where(pure & enough)
     rows = sorted((r["stem"] for r in found.collect()), key=len)
     kept: set[str] = set()
     for stem in rows:  # a longer beginning adds nothing to a shorter one
@@ -278,12 +289,15 @@ def _exceptions(counts: DataFrame, stems: list[str], words: list[str]) -> list[s
             yield batch.filter(keep)
 
     clean = counts.where((F.col("neg") > 0) & (F.length("word") >= FUZZY_FROM - 1)).select("word", "neg")
-    close = clean.mapInArrow(run, "word string, neg bigint").orderBy(F.desc("neg"), "word").limit(EXCEPTIONS)
-    return [r["word"] for r in close.collect()]
+    close = clean.mapInArrow(run, "word string, neg bigint")
+    return sorted(r["word"] for r in close.select("word").collect())
 
 
 def _fit(table: list[dict]) -> dict[str, float]:
-    """Logistic weights of the counts, by Newton's steps over the table of count patterns (at most 512 rows)."""
+    """Logistic weights of the counts, by Newton's steps over the table of count patterns.
+
+    Counts are on a scale of doublings, so the patterns are few: a text of a million hits has one of 21 values of a sort.
+    """
     import numpy as np
 
     names = ["bias", *SORTS]
@@ -329,14 +343,14 @@ def toxicity(
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted`` per row of ``docs``; the score is that of its text alone.
 
-    Labels of ids whose crc32 leaves 1 modulo 3 are never looked at. Of repeated labels of an id the largest counts; null
+    Labels of ids whose crc32 leaves 1 modulo 3 are never looked at. Copies of a text count once in the lexicon. Of repeated labels of an id the largest counts; null
     labels and ids are passed over. Null and empty texts have no hits and the lowest score. Rows with the same id are scored
     one by one; a null id has a null ``held_out``. Other columns, whatever their names, are not read. An empty table
     gives no rows; without labels, or with one sort of them only, the lexicon is empty and all scores are the prior's.
     """
     known = F.broadcast(training_labels(labels, label_id, label_col, rows))  # bounded by ``rows``
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("body"))
-    train = texts.join(known, F.col("doc_id") == F.col("label_id")).select("body", "toxic")
+    train = _one_of_copies(texts.join(known, F.col("doc_id") == F.col("label_id"))).select("body", "toxic")
     stems, words, counts = _lexicon(train)
     model = Model(stems, words, _exceptions(counts, stems, words) if words else [])
     hits = settle(_hits(docs, id_col, text_col, model))

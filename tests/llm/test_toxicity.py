@@ -75,3 +75,29 @@ def test_held_out_accuracy_and_blindness(planted):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got.values())
     flipped = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert {r.doc_id: r.score for r in toxicity.toxicity(docs, flipped).collect()} == {i: r.score for i, r in got.items()}
+
+
+def test_a_group_of_copies_does_not_fill_the_lexicon(spark):
+    """Copies of one toxic text speak once: its everyday words are no terms, and rarer terms of other texts are found."""
+    rng = random.Random(3)
+    common = ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(200)]
+    once = ["once" + w for w in common]  # words that the copied text alone holds
+    rows = [(i, " ".join(once)) for i in range(400)]
+    rows += [(400 + i, " ".join([*rng.sample(common, 12), "muckworm" if i % 6 == 0 else "meadow"])) for i in range(600)]
+    labels = [(i, int(i < 400 or i % 6 == 4)) for i, _ in rows]  # 400 % 6 is 4
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marks = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    known = docs.join(marks, "doc_id").select(F.col("doc_id").alias("label_id"), F.col("text").alias("body"), "toxic")
+    stems, words, _ = toxicity._lexicon(toxicity._one_of_copies(known).select("body", "toxic"))
+    assert words == ["muckworm"] and all("muckworm".startswith(s) for s in stems)
+
+
+def test_many_and_long_terms(spark):
+    """No number of terms is too large, none is too long, and all hits of a text count."""
+    terms = [f"q{i:04d}zz" + "x" * (60 if i % 2 else 0) for i in range(2500)]
+    rows = [(i, " ".join(terms[(i % 50) * 50 : (i % 50 + 1) * 50])) for i in range(400)]
+    rows = [(i, t + f" no{i}") for i, t in rows] + [(1000 + i, f"calm words of {i}") for i in range(2400)]
+    train = spark.createDataFrame([(t, int(i < 1000)) for i, t in rows], "body string, toxic int")
+    stems, words, counts = toxicity._lexicon(train)
+    assert set(terms) <= set(words)
+    assert toxicity.Matcher(toxicity.Model(stems, words)).counts(" ".join(terms)) == (12, 0, 0, 0)
