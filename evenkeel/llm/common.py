@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from types import SimpleNamespace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +18,9 @@ FEW_IDS = 2_000_000
 #: ASCII white space; a word is a longest run of anything else.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of an Arrow batch on its way to Python; a longer row goes by itself. Spark's own bound is 64 MB.
+BATCH_BYTES = 4 << 20
+_UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -33,6 +39,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> Iterator[None]:
+    """Jobs that run inside hand texts to Python in batches of ``most`` bytes at most, which changes no result.
+
+    Buffers of both sides grow with the largest batch and are kept. A lower bound that the session sets stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    size = re.fullmatch(r"(\d+)([bkmg]?)b?", before.strip().lower())
+    if size and int(size[1]) * _UNITS[size[2] or "b"] <= most:
+        yield
+        return
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into reliable shared storage and go on from there.
 
@@ -40,7 +65,8 @@ def settle(df: DataFrame) -> DataFrame:
     ``spark.cleaner.referenceTracking.cleanCheckpoints`` the files go when the frame does.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with small_batches(df.sparkSession):
+        return df.checkpoint(eager=True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -48,7 +74,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     place = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(place)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(place)
     return spark.read.schema(df.schema).parquet(place)
 
 

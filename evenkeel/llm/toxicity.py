@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import settle, without, worker_cache
+from evenkeel.llm.common import settle, small_batches, without, worker_cache
 
 #: Labelled rows that the model is learned from at most, those whose ids hash lowest.
 LABELLED_ROWS = 200_000
@@ -351,8 +351,9 @@ def toxicity(
     known = F.broadcast(training_labels(labels, label_id, label_col, rows))  # bounded by ``rows``
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("body"))
     train = _one_of_copies(texts.join(known, F.col("doc_id") == F.col("label_id"))).select("body", "toxic")
-    stems, words, counts = _lexicon(train)
-    model = Model(stems, words, _exceptions(counts, stems, words) if words else [])
+    with small_batches(docs.sparkSession):
+        stems, words, counts = _lexicon(train)
+        model = Model(stems, words, _exceptions(counts, stems, words) if words else [])
     hits = settle(_hits(docs, id_col, text_col, model))
     table = (
         hits.join(known, F.col("doc_id") == F.col("label_id"))
