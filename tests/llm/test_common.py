@@ -8,11 +8,6 @@ from evenkeel.llm.common import settle, small_batches
 NAME = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def _bytes(batches):
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64()), pa.array([batch.num_rows], pa.int64())], ["n", "rows"])
-
-
 @pytest.fixture
 def setting(spark):
     before = spark.conf.get(NAME)
@@ -21,8 +16,12 @@ def setting(spark):
 
 
 def test_texts_reach_python_in_small_batches(spark):
+    def size(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["n", "rows"])
+
     texts = spark.range(0, 3000, 1, 1).selectExpr("repeat('some text ', 1000) AS body")
-    sizes = settle(texts.mapInArrow(_bytes, "n bigint, rows bigint")).collect()
+    sizes = settle(texts.mapInArrow(size, "n bigint, rows bigint")).collect()
     assert sum(r.rows for r in sizes) == 3000
     assert len(sizes) >= 7 and max(r.n for r in sizes) < 5 << 20
 
