@@ -2,10 +2,11 @@
 
 The tokens of a page are its structural tags and its words, told apart by the path of tags above them. Over all pages of
 a host a token has an occurrence vector, kept as its number of pages and occurrences and a sum of hashes of (page, count),
-which Spark adds up in parts, so a host of any size is a few rows per task. Words are counted where a sample of the
-host's pages shows them on several pages. Tokens with one vector form a class; a class is valid if it has several tokens
-and stands on most pages, and holds on a page where its tokens stand in one order. The class that stands once on every
-page is the outermost; a class of fewer pages that stands once on each is nested in the slot between two of its tokens.
+which Spark adds up in parts, so a host of any size is a few rows per task. A first count over all pages finds the words
+that stand on enough of them; only these have a vector. Tokens with one vector form a class; a class is valid if it has
+several tokens and stands on most pages, and holds on a page where its tokens stand in one order. The class that stands
+once on every page is the outermost; a class of fewer pages that stands once on each is nested in the slot between two
+of its tokens.
 The slot that holds the text is the deepest token of a valid class that covers most of the host's running text. What a
 page has in it outside the words of the template, without nested menus, forms, notices and comments, is extracted.
 """
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import settle
+from evenkeel.llm.common import settle, written
 
 #: Share of a host's pages that a template token stands on, and of its text that the main slot covers, at least.
 SUPPORT, COVER = 0.6, 0.8
@@ -34,9 +35,10 @@ SIZE = 3
 #: Pages that a word of the template stands on at least. A word of the text stands exactly once on each of n pages with a
 #: probability of 1/e^n at most: 1e-13 here, so that none is expected among 10^12 words of all hosts.
 WORD_PAGES = 30
-#: Pages of a host that show which words are counted, on average, and on how many of them a word must stand. One of
-#: ``SUPPORT`` is missed with a probability of some 6e-6, and no word is on a host of fewer pages.
-SHOWN, SHOWN_ON = 32, 4
+#: Words that a task counts before it hands the counts on, and pages of a host in a part of which rare words are left out.
+HELD, PART_PAGES = 300_000, 8
+#: Slack of counts that are compared with a share, for the rounding of that.
+CLOSE = 1e-6
 #: Hosts whose templates are sent to every executor at most (some 40 bytes each); beyond, they are joined by a shuffle.
 HOSTS = 200_000
 
@@ -208,52 +210,83 @@ def path_key(path: str) -> int:
     return xxhash.xxh64_intdigest(path, 0) - (1 << 63)
 
 
-def stream(nodes: list[Node], blocks: list[tuple[Node, str, int, int]], words) -> list[tuple[int, int, int]]:
-    """The tags and those words of a page that are in ``words``, in order: key, block and place in it; -1 for tags."""
+def stream(nodes: list[Node], blocks: list[tuple[Node, str, int, int]], words: dict[int, set[str]]) -> list[tuple[int, int, int]]:
+    """The tags of a page and those words that are in ``words`` under the key of their path, in order: key, block and place
+    in it; -1 for tags."""
     out, done = [], 0
     for b, (n, text, _, opened) in enumerate(blocks):
         out += [(path_key(node.path), -1, -1) for node in nodes[done:opened]]
         done = opened
-        if words:
+        listed = words and words.get(path_key(n.path))
+        if listed:
             above = n.path + " "
-            for i, word in enumerate(text.split()):
-                k = path_key(above + word)
-                if k in words:
-                    out.append((k, b, i))
+            out += [(path_key(above + word), b, i) for i, word in enumerate(text.split()) if word in listed]
     return out + [(path_key(node.path), -1, -1) for node in nodes[done:]]
 
 
+def by_path(words: list[dict] | None) -> dict[int, set[str]]:
+    """The words of a host as ``repeated_words`` lists them, by the key of their path."""
+    out: dict[int, set[str]] = {}
+    for w in words or ():
+        out.setdefault(w["at"], set()).add(w["word"])
+    return out
+
+
 def _host(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
 
-def repeated_words(pages: DataFrame) -> DataFrame:
-    """``of_host, words``: keys of the words of each host that stand on several pages of a sample of it.
+def repeated_words(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
+    """``of_host, words``: the words that stand on at least ``support`` of a host's pages, each with the key of its path.
 
-    Pages are drawn by what they hold, with one expected number per host, so large hosts cost no more than small ones.
+    Others may be among them: ``tag_vectors`` counts each exactly. Every page of a host is read here. A task hands its
+    counts on part by part; of a part with ``PART_PAGES`` of a host it leaves out the words on less than ``support`` of
+    these. A word is listed if it may stand on enough pages: those it was counted on, and ``support`` of the pages of the
+    parts that left it out.
     """
     hosts = pages.groupBy(F.col("host").alias("of_host")).agg(F.count(F.lit(1)).alias("all"))
     hosts = settle(hosts.where(F.col("all") >= WORD_PAGES))
     if hosts.limit(HOSTS + 1).count() <= HOSTS:
         hosts = F.broadcast(hosts)
-    draw = F.pmod(F.xxhash64("page", "html"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    shown = pages.join(hosts, F.col("host") == F.col("of_host")).where(draw < F.lit(float(SHOWN)) / F.col("all"))
+    shown = pages.join(hosts, F.col("host") == F.col("of_host"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[str, int], dict[str, int]] = {}
+        read: dict[str, int] = defaultdict(int)
+
+        def rows() -> pa.RecordBatch:
+            part = {h: n if n >= PART_PAGES else 0 for h, n in read.items()}
+            flat = [(h, None, None, 0, n) for h, n in part.items()]
+            for (h, at), counts in found.items():
+                flat += [(h, at, word, n, part[h]) for word, n in counts.items() if n >= support * part[h] - CLOSE]
+            columns = [[row[i] for row in flat] for i in range(5)]
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+            names = ["of_host", "at", "word", "pages", "part"]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
         for batch in batches:
-            found: dict[tuple[str, int], int] = defaultdict(int)
             for host, html in zip(batch.column("host").to_pylist(), batch.column("html")):
-                _, blocks = parse(html.as_py() or "")
-                for k in {path_key(f"{n.path} {word}") for n, text, *_ in blocks for word in text.split()}:
-                    found[host, k] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([h for h, _ in found], pa.string()), pa.array([k for _, k in found], pa.int64()),
-                 pa.array(list(found.values()), pa.int64())], ["of_host", "word", "pages"]
-            )
-
-    counted = shown.select("host", "html").mapInArrow(run, "of_host string, word bigint, pages bigint")
-    counted = counted.groupBy("of_host", "word").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= SHOWN_ON)
-    return counted.groupBy("of_host").agg(F.sort_array(F.collect_list("word")).alias("words"))
+                here: dict[str, set[str]] = {}
+                for n, text, *_ in parse(html.as_py() or "")[1]:
+                    here.setdefault(n.path, set()).update(text.split())
+                for path, words in here.items():
+                    counts = found.setdefault((host, path_key(path)), {})
+                    for word in words:
+                        counts[word] = counts.get(word, 0) + 1
+                read[host] += 1
+            if sum(map(len, found.values())) >= HELD:
+                yield rows()
+                found.clear()
+                read.clear()
+        yield rows()
+
+    counted = shown.select("host", "html").mapInArrow(run, "of_host string, at bigint, word string, pages bigint, part bigint")
+    counted = written(counted.groupBy("of_host", "at", "word").agg(F.sum("pages").alias("pages"), F.sum("part").alias("part")), "words")
+    parts = counted.where("word IS NULL").select(F.col("of_host").alias("_host"), F.col("part").alias("parts"))
+    whole = hosts.join(parts, F.col("of_host") == F.col("_host"))
+    counted = counted.where("word IS NOT NULL").join(whole.drop("of_host"), F.col("of_host") == F.col("_host"))
+    counted = counted.where(F.col("pages") + support * (F.col("parts") - F.col("part")) >= support * F.col("all") - CLOSE)
+    return counted.groupBy("of_host").agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("words"))
 
 
 def _by_host(pages: DataFrame, known: DataFrame) -> DataFrame:
@@ -271,18 +304,18 @@ def tag_vectors(pages: DataFrame, words: DataFrame | None = None) -> DataFrame:
     ``words`` count, have the depth -2.
     """
     if words is None:
-        pages = pages.withColumn("words", F.lit(None).cast("array<bigint>"))
+        pages = pages.withColumn("words", F.lit(None).cast("array<struct<at: bigint, word: string>>"))
     else:
         pages = _by_host(pages, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sums: dict[tuple[str, int], list[int]] = {}
-            of_host: dict[str, frozenset[int]] = {}
+            of_host: dict[str, dict[int, set[str]]] = {}
             for page, host, html, listed in zip(*(batch.column(i) for i in range(4))):
                 host, page = host.as_py(), repr(page.as_py())
                 if host not in of_host:
-                    of_host[host] = frozenset(listed.as_py() or ())
+                    of_host[host] = by_path(listed.as_py())
                 nodes, blocks = parse(html.as_py() or "")
                 times, depth, chars, place = defaultdict(int), {}, defaultdict(int), defaultdict(int)
                 keys: dict[str, int] = {}
@@ -405,15 +438,18 @@ def _article_around(node: Node) -> Node:
     return at if at is not None and at.text else node
 
 
-def page_text(html: str, main: int | None, classes: list[dict] | None = None) -> str:
+def page_text(
+    html: str, main: int | None, classes: list[dict] | None = None, words: dict[int, set[str]] | None = None
+) -> str:
     """The blocks of one page in its main slot; where it has none, in its article or main tag, or in the whole page.
 
+    ``words`` are those of its host by path, among them the words of ``classes``.
     Words of the template are left out, unless a page has no others: its text is then what its copies share.
     """
     nodes, blocks = parse(html)
     gone = set()
     if classes:
-        gone = template_words(stream(nodes, blocks, {k for c in classes for k in c["words"]}), classes)
+        gone = template_words(stream(nodes, blocks, words or {}), classes)
     wanted = [n for n in nodes if main is not None and n.text and path_key(n.path) == main]
     wanted = [_article_around(n) for n in wanted]
     if not wanted:
@@ -447,18 +483,19 @@ def main_text(
     wanted = pages.select(
         F.col(id_col).alias("page"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), _host(F.col(url_col)).alias("host")
     )
-    words = settle(repeated_words(wanted))
+    words = settle(repeated_words(wanted, support))
     known = settle(templates(settle(tag_vectors(wanted, words)), support, cover)).withColumnRenamed("host", "of_host")
-    placed = _by_host(wanted, known).select("page", "url", "html", "host", "main", "classes")
+    known = known.join(words, "of_host", "left")
+    placed = _by_host(wanted, known).select("page", "url", "html", "host", "main", "classes", "words")
     kind = dict(placed.dtypes)["page"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             of_host, texts = {}, []
-            for html, host, main, classes in zip(*(batch.column(c) for c in ("html", "host", "main", "classes"))):
+            for html, host, main, classes, words in zip(*(batch.column(c) for c in ("html", "host", "main", "classes", "words"))):
                 if host.as_py() not in of_host:
-                    of_host[host.as_py()] = classes.as_py()
-                texts.append(page_text(html.as_py() or "", main.as_py(), of_host[host.as_py()]))
+                    of_host[host.as_py()] = classes.as_py(), by_path(words.as_py())
+                texts.append(page_text(html.as_py() or "", main.as_py(), *of_host[host.as_py()]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"]
             )

@@ -76,6 +76,24 @@ def test_words_of_the_template_are_no_text(spark):
     assert set(texts(spark, copies).values()) == {"All pages say this"}
 
 
+def test_every_page_counts_for_the_words_of_a_host(spark, monkeypatch):
+    n = 400
+    rows = [(i, "a.example", f"<p>{'often' if i % 3 else 'seldom'} always {'early' if i < 0.6 * n else ''} w{i}</p>") for i in range(n)]
+    rows += [(n + i, "b.example", "<p>few pages</p>") for i in range(html.WORD_PAGES - 1)]
+    pages = spark.createDataFrame(rows, "page bigint, host string, html string")
+    at = html.path_key(">p")
+    want = {(at, "always"), (at, "early"), (at, "often")}
+    (found,) = html.repeated_words(pages.repartition(64)).collect()
+    assert (found.of_host, set(map(tuple, found.words))) == ("a.example", want)
+    # words of parts of any size are found, and each is counted on every page
+    monkeypatch.setattr(html, "HELD", 50)
+    (found,) = html.repeated_words(pages).collect()
+    assert want <= set(map(tuple, found.words))
+    counts = html.tag_vectors(pages, html.repeated_words(pages)).where("depth = -2").collect()
+    on = {r.path: r.pages for r in counts}
+    assert [on[html.path_key(f">p {w}")] for w in ("always", "early", "often")] == [n, 240, 266]
+
+
 def test_words_out_of_order_stay():
     tokens = [(1, -1, -1), (4, 0, 0), (2, -1, -1), (3, 1, 0), (9, 1, 1), (8, 2, 0)]
     outer = {"outer": True, "once": True, "tokens": [1, 2, 3, 4], "words": [3, 4]}
