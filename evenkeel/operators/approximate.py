@@ -9,7 +9,7 @@ have found too few, the exact search is taken.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.operators.sampling import SEED
-from evenkeel.operators.similarity import nearest
+from evenkeel.operators.similarity import STRIP_CELLS, nearest
 from evenkeel.session import cut_lineage
 
 #: Rows whose neighbours are also searched exactly, to measure the recall.
@@ -36,6 +36,20 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    norm = np.linalg.norm(x, axis=1, keepdims=True)
+    return np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
+
+
+def _nearest_lists(x: np.ndarray, centres: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """First row of a strip of ``x``, and the ``n`` nearest centres of its rows; a strip has ``STRIP_CELLS`` distances at most."""
+    size = (centres**2).sum(1)
+    strip = max(1, STRIP_CELLS // len(centres))
+    for at in range(0, len(x), strip):
+        far = size - 2 * x[at : at + strip] @ centres.T
+        yield at, far.argmin(1)[:, None] if n == 1 else np.argsort(far, axis=1, kind="stable")[:, :n]
+
+
 def sample_by_key(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
     """``n`` rows at most, the same ones under any partitioning."""
     return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)).limit(n)
@@ -130,24 +144,24 @@ def _centroids(rows: DataFrame, key: str, by: str, vec: str, unit: bool, seed: i
     chosen = rows.join(F.broadcast(sizes), F.col(by) == F.col("_by")).where(draw <= F.lit(FIT_ROWS) * F.col("_lists") / F.col("_n"))
     kind = dict(rows.dtypes)[by]
 
-    def fit(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(key)
-        x = np.array(part[vec].tolist(), np.float64)
+    def fit(part: pa.Table) -> pa.Table:
+        part = part.sort_by(key)
+        x = _matrix(part.column(vec).combine_chunks())
         if unit:
-            norm = np.linalg.norm(x, axis=1, keepdims=True)
-            x = np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
-        n = min(len(x), int(part["_lists"].iloc[0]))
+            x = _unit(x)
+        n = min(len(x), part.column("_lists")[0].as_py())
         centres = x[np.random.default_rng(seed).choice(len(x), n, replace=False)]
         for _ in range(FIT_ROUNDS):
-            own = ((centres**2).sum(1) - 2 * x @ centres.T).argmin(1)
+            own = np.concatenate([near[:, 0] for _, near in _nearest_lists(x, centres, 1)])
             counts = np.bincount(own, minlength=n)
             sums = np.zeros_like(centres)
             np.add.at(sums, own, x)
             centres = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centres)
-        return pd.DataFrame({by: part[by].iloc[0], "list": np.arange(n), "centroid": list(centres)})
+        group = pa.concat_arrays([part.column(by).slice(0, 1).combine_chunks()] * n)
+        return pa.table({by: group, "list": pa.array(range(n), pa.int32()), "centroid": pa.array(list(centres), pa.list_(pa.float64()))})
 
     slim = chosen.select(by, key, vec, "_lists")
-    return slim.groupBy(by).applyInPandas(fit, f"`{by}` {kind}, list int, centroid array<double>")
+    return slim.groupBy(by).applyInArrow(fit, f"`{by}` {kind}, list int, centroid array<double>")
 
 
 def listed_nearest(
@@ -183,14 +197,9 @@ def listed_nearest(
                     continue
                 own = np.flatnonzero((group == g).to_numpy())
                 x = np.array(vectors.iloc[own].tolist(), np.float64)
-                if unit:
-                    norm = np.linalg.norm(x, axis=1, keepdims=True)
-                    x = np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
-                far = (centres**2).sum(1) - 2 * x @ centres.T
-                n = min(probes, len(centres))
-                near = np.argsort(far, axis=1, kind="stable")[:, :n]
-                for i, row in zip(own, near):
-                    out.iat[i] = row.tolist()
+                for at, near in _nearest_lists(_unit(x) if unit else x, centres, probes):
+                    for i, row in zip(own[at:], near):
+                        out.iat[i] = row.tolist()
             return out
 
         return of

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,12 +16,14 @@ from evenkeel.session import SMALL_BYTES, SMALL_ROWS, cut_lineage, small_side
 
 # Bytes of the vectors of a block, and entries of the distance matrix that are
 # held at a time (of 8 bytes each).
-BLOCK_BYTES = 32 * 1024 * 1024
-STRIP_CELLS = 8 * 1024 * 1024
+BLOCK_BYTES = 8 * 1024 * 1024
+STRIP_CELLS = 1024 * 1024
 # Blocks smaller than this are not worth a task.
 LEAST_BLOCK_ROWS = 1024
 # Similarities are rounded, so that copies of a text tie wherever they are scored.
-COSINE_DIGITS = 12
+COSINE_DIGITS, DISTANCE_DIGITS = 12, 9
+# Columns whose minimum is taken together where the closest entries are sought.
+MINIMUM_OF = 64
 
 
 def _matrix(vectors, unit: bool) -> np.ndarray:
@@ -40,7 +42,7 @@ def _distances(xm: np.ndarray, ym: np.ndarray, unit: bool) -> np.ndarray:
     if unit:
         return np.round(np.maximum(1.0 - xm @ ym.T, 0.0), COSINE_DIGITS)
     d = (xm * xm).sum(1)[:, None] + (ym * ym).sum(1)[None, :] - 2.0 * (xm @ ym.T)
-    return np.round(np.maximum(d, 0.0), 9)
+    return np.round(np.maximum(d, 0.0), DISTANCE_DIGITS)
 
 
 def _smallest(d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,6 +56,46 @@ def _smallest(d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return rows[place < k], cols[place < k]
 
 
+def _closest(xm: np.ndarray, ym: np.ndarray, unit: bool, k: int, own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, column and distance of the ``k`` closest pairs per row, ties by column, without those in ``own``.
+
+    The same as :func:`_smallest` of :func:`_distances`, but only entries that may be among them are rounded and sorted:
+    the ``k``-th least of the minima of groups of columns is no less than the ``k``-th least entry.
+    """
+    k = min(k, len(ym))
+    d = xm @ ym.T
+    if unit:
+        np.subtract(1.0, d, out=d)
+    else:
+        d *= -2.0
+        d += np.add.outer((xm * xm).sum(1), (ym * ym).sum(1))
+    if own is not None:
+        d[own] = np.inf
+    least = np.minimum.reduceat(d, np.arange(0, len(ym), max(1, min(MINIMUM_OF, len(ym) // k))), axis=1)
+    if np.isnan(least).any():
+        d = _distances(xm, ym, unit)
+        if own is not None:
+            d[own] = np.inf
+        rows, cols = _smallest(d, k)
+        return rows, cols, d[rows, cols]
+    digits = COSINE_DIGITS if unit else DISTANCE_DIGITS
+    limit = np.maximum(np.partition(least, k - 1, axis=1)[:, k - 1 : k], 0.0) + 2 * 10.0**-digits
+    rows, cols = np.nonzero(d <= limit)
+    dist = np.round(np.maximum(d[rows, cols], 0.0), digits)
+    order = np.lexsort((cols, dist, rows))
+    order = order[np.isfinite(dist[order])]
+    rows, cols, dist = rows[order], cols[order], dist[order]
+    first = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+    return rows[first], cols[first], dist[first]
+
+
+def block_count(n: Column, width: int, block_rows: int, cores: int) -> Column:
+    """Blocks for ``n`` vectors: of ``block_rows``, but no more than keep the cores busy, unless a block would be too large."""
+    most_rows = max(1, BLOCK_BYTES // (8 * max(1, width)))
+    busy = math.ceil(math.sqrt(2 * cores))
+    return F.greatest(F.ceil(n / most_rows), F.least(F.lit(busy), F.ceil(n / block_rows)))
+
+
 def nearest(
     left: DataFrame,
     right: DataFrame,
@@ -73,21 +115,18 @@ def nearest(
     each pair of blocks is compared in one task, strip by strip. A block pair
     gives back ``k`` rows per left row and no more; these are merged afterwards.
     Each side is sent once per block of the other, so blocks are as large as
-    ``BLOCK_BYTES`` allows, but small enough to keep all cores busy. Memory per
-    task is bounded by the block and not by the class. Result: left key,
-    ``neighbors`` as an array of ``(dist, id)`` ascending, ties by id.
+    ``BLOCK_BYTES`` allows, but small enough to keep all cores busy. With
+    ``block_rows``, blocks are that small, unless there would be more of them
+    than keep all cores busy. Memory per task is bounded by the block and not by
+    the class. Result: left key, ``neighbors`` as an array of ``(dist, id)``
+    ascending, ties by id.
     """
     groups = ["g"] if by else []
     group_of = [F.col(by).alias("g")] if by else []
 
-    n = F.count("*")
-    if block_rows:
-        n_blocks = F.ceil(n / block_rows)
-    else:
-        first = right.select(F.size(vec)).head()
-        most_rows = max(1, BLOCK_BYTES // (8 * max(1, first[0] if first else 1)))
-        busy = math.ceil(math.sqrt(2 * left.sparkSession.sparkContext.defaultParallelism))
-        n_blocks = F.greatest(F.ceil(n / most_rows), F.least(F.lit(busy), F.ceil(n / LEAST_BLOCK_ROWS)))
+    first = right.select(F.size(vec)).head()
+    cores = left.sparkSession.sparkContext.defaultParallelism
+    n_blocks = block_count(F.count("*"), first[0] if first else 1, block_rows or LEAST_BLOCK_ROWS, cores)
 
     def sizes(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy(*group_of).agg(n_blocks.cast("int").alias(name))
@@ -136,11 +175,9 @@ def nearest(
         strip = max(1, STRIP_CELLS // len(yid))
         for start in range(0, len(xid), strip):
             ids = xid[start : start + strip]
-            d = _distances(xm[start : start + strip], ym, unit)
-            if skip_self:
-                d[ids[:, None] == yid[None, :]] = np.inf
-            rows, cols = _smallest(d, k)
-            parts.append(pd.DataFrame({"id": ids[rows], "neighbor": yid[cols], "dist": d[rows, cols]}))
+            own = ids[:, None] == yid[None, :] if skip_self else None
+            rows, cols, dist = _closest(xm[start : start + strip], ym, unit, k, own)
+            parts.append(pd.DataFrame({"id": ids[rows], "neighbor": yid[cols], "dist": dist}))
         out = pd.concat(parts)
         if by:
             out["g"] = x["g"].iloc[0]

@@ -24,7 +24,16 @@ from evenkeel.operators.models import (
     vote,
     with_folds,
 )
-from evenkeel.operators.similarity import _smallest, max_cosine, nearest, select_similar
+from evenkeel.operators.similarity import (
+    BLOCK_BYTES,
+    _closest,
+    _distances,
+    _smallest,
+    block_count,
+    max_cosine,
+    nearest,
+    select_similar,
+)
 from evenkeel.operators.smote import smote
 from evenkeel.plans.training import batch_inference, compare, fit_text_model, tfidf_folds
 
@@ -91,6 +100,38 @@ def test_smallest_entries_with_ties():
     assert list(zip(rows, cols)) == [(0, 0), (0, 1), (1, 2), (1, 3), (3, 3), (3, 2)]
 
 
+@pytest.mark.parametrize("unit", [False, True])
+@pytest.mark.parametrize("size", [1, 3, 63, 200, 1000])
+def test_closest_equals_smallest_of_all(size, unit):
+    rng = np.random.default_rng(size)
+    x, y = rng.integers(-2, 3, (50, 3)).astype(float), rng.integers(-2, 3, (size, 3)).astype(float)
+    if unit:
+        x, y = (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9) for m in (x, y))
+    own = rng.random((50, size)) < 0.1
+    for bad in (False, True):
+        if bad:
+            y[0] = np.nan
+        for k in (1, 5):
+            d = _distances(x, y, unit)
+            d[own] = np.inf
+            want = _smallest(d, k)
+            rows, cols, dist = _closest(x, y, unit, k, own)
+            assert (rows.tolist(), cols.tolist()) == (want[0].tolist(), want[1].tolist())
+            assert dist.tolist() == d[want].tolist()
+
+
+def test_small_blocks_do_not_multiply_rows(spark):
+    """Rows go to as many blocks as keep the cores busy, not to one per ``block_rows`` of their class."""
+    df = spark.range(4000).selectExpr("id", "0 AS label", "array(cast(id AS double)) AS vec")
+    found = nearest(df, df, "id", "id", "vec", 2, by="label", skip_self=True, block_rows=10)
+    each = {r.id: [n.id for n in r.neighbors] for r in found.collect()}
+    assert each == {i: sorted((i - 1, i + 1)) if 0 < i < 3999 else [1, 2] if i == 0 else [3998, 3997] for i in range(4000)}
+    sent = spark.range(400_000).groupBy().agg(block_count(F.count("*"), 64, 10, 16).alias("n"))
+    assert sent.head().n == math.ceil(400_000 / (BLOCK_BYTES // 512))
+    assert spark.range(4000).agg(block_count(F.count("*"), 64, 10, 16).alias("n")).head().n == 6
+    assert spark.range(40).agg(block_count(F.count("*"), 64, 10, 16).alias("n")).head().n == 4
+
+
 def test_select_similar(points):
     ref = points.where("label = 2")
     got = select_similar(points.where("label < 2"), ref, {0: 4, 1: 2}, "id")
