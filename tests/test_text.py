@@ -1,6 +1,7 @@
 """Cleaning and rules on awkward strings, against texts written by hand and Unicode categories."""
 
 import itertools
+import re
 import unicodedata
 
 import pyarrow as pa
@@ -120,6 +121,21 @@ def test_keyword_priority_and_folding(spark):
     assert collect(kelvin, keyword_class(F.col("t"), ((4, "kill"),))) == [4]
 
 
+def test_keyword_class_computes_its_text_once(spark):
+    rules = ((5, "kiss|skis"), (4, "Ki ss|x.z"), (3, "sI"))
+    rows = ["ſkiß KISS", "Kiſs", "SKıS", "İ kİss", "xyz", "ﬁ straße sı", "Ki ss", "é si", "", None, "Σίσυφος"]
+    df = spark.createDataFrame(list(enumerate(rows)), "id int, t string")
+    slow = [next((n for n, p in rules if contains(t, p)), None) for t in rows]
+    assert collect(df, keyword_class(F.col("t"), rules)) == slow
+    plan = df.select(keyword_class(clean_text(F.col("t")), rules).alias("c"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 2
+
+
+def contains(text, pattern):
+    fold = str.maketrans("İıſK", "iisk")
+    return text is not None and re.search(pattern, text.translate(fold), re.I | re.A) is not None
+
+
 def test_flag_class(spark):
     rows = [(i, threat, hate, text) for i, (threat, hate, text) in enumerate(
         [(1, 0, "key"), (1, 1, "key"), (0, 1, "has KEY"), (0, 1, "plain"), (0, 0, "key")]
