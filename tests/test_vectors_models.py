@@ -261,3 +261,17 @@ def test_text_jobs(spark, tmp_path):
     fit_text_model(train, path)
     out = batch_inference(test, path, str(tmp_path / "scored"))
     assert {(r["index"], r.label) for r in out.collect()} == {("9", 0), ("10", 2)}
+
+
+def test_forest_rows_are_dealt_by_what_is_kept_of_them(spark, monkeypatch):
+    from evenkeel.operators import models
+
+    rows = [(i % 2, [float(i % 2), float(i)]) for i in range(64)]
+    df = spark.createDataFrame(rows, "label int, x array<double>").coalesce(1)
+    df = df.select("label", array_to_vector("x").alias("features"))
+    assert models._dealt(df, "features").rdd.getNumPartitions() == 1
+    monkeypatch.setattr(models, "FOREST_BYTES", 64 * 2 * 4 // 5)
+    dealt = models._dealt(df, "features")
+    assert dealt.rdd.getNumPartitions() == 6 and dealt.count() == 64
+    found = forest(trees=3, depth=2)(df)(df).select("label", "prediction").collect()
+    assert all(r.label == r.prediction for r in found)
