@@ -275,3 +275,37 @@ def test_forest_rows_are_dealt_by_what_is_kept_of_them(spark, monkeypatch):
     assert dealt.rdd.getNumPartitions() == 6 and dealt.count() == 64
     found = forest(trees=3, depth=2)(df)(df).select("label", "prediction").collect()
     assert all(r.label == r.prediction for r in found)
+
+
+def _vocabulary_by_hand(texts, max_features, hi, min_df=2, max_df=0.9):
+    cf, df = {}, {}
+    for text in texts:
+        found = text.split() if text else []
+        grams = [" ".join(found[i : i + n]) for n in range(1, hi + 1) for i in range(len(found) - n + 1)]
+        for g in grams:
+            cf[g] = cf.get(g, 0) + 1
+        for g in set(grams):
+            df[g] = df.get(g, 0) + 1
+    fit = [g for g in cf if min_df <= df[g] <= max_df * len(texts)]
+    return [(g, df[g], cf[g]) for g in sorted(fit, key=lambda g: (-cf[g], g))[:max_features]]
+
+
+@pytest.mark.parametrize("max_features, hi", [(5, 2), (20, 2), (20, 3), (60, 2), (100_000, 2)])
+def test_vocabulary_counts_no_ngrams_of_rare_words(spark, monkeypatch, max_features, hi):
+    """Words in every text, frequent words with ties, and 3000 words that occur once; the terms are as counted by hand."""
+    from evenkeel.operators import features
+
+    draw = np.random.default_rng(3)
+    texts = [None, "", "aa aa aa"]
+    for i in range(300):
+        common = [f"c{int(c)}" for c in draw.zipf(1.3, 20) % 40]
+        texts.append(" ".join(["aa", "aa", *common[:10], *[f"rare{i}x{j}" for j in range(10)], *common[10:]]))
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    frames = []
+    plain = features._gram_stats
+    monkeypatch.setattr(features, "_gram_stats", lambda *args: frames.append(plain(*args)) or frames[-1])
+    found = [(r.term, r.df, r.cf) for r in tfidf_vocabulary(docs, "text", max_features=max_features, hi=hi).collect()]
+    assert found == _vocabulary_by_hand(texts, max_features, hi)
+    if max_features <= 20:
+        # by hand some 3000 n-grams of each length have a rare word; a few share their hash with a frequent one
+        assert frames[1].where(F.col("term").contains("rare")).count() < 30
