@@ -309,3 +309,19 @@ def test_vocabulary_counts_no_ngrams_of_rare_words(spark, monkeypatch, max_featu
     if max_features <= 20:
         # by hand some 3000 n-grams of each length have a rare word; a few share their hash with a frequent one
         assert frames[1].where(F.col("term").contains("rare")).count() < 30
+
+
+def test_folds_clean_texts_once(spark, monkeypatch):
+    """The vocabulary and the features read stored texts; cleaning them again for each reading is most of the work."""
+    from evenkeel.plans import training
+
+    rows = [(str(i), f"  word{i % 3}   more{i % 2} #ERROR! text", i % 2) for i in range(40)]
+    train = spark.createDataFrame(rows, "index string, message string, label int")
+    test = train.select("index", "message").limit(4)
+    read = []
+    plain = training.tfidf_fit
+    monkeypatch.setattr(training, "tfidf_fit", lambda df, *args, **named: read.append(df) or plain(df, *args, **named))
+    done = training.tfidf_folds(train, test, k=2, estimator=linear(iterations=3), tune=True)
+    assert done.predictions.count() == 4 and len(done.multipliers) == 2
+    assert "regexp_replace" not in read[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.message for r in read[0].collect()} == {f"word{i} more{j} text" for i in range(3) for j in range(2)}
