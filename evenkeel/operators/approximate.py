@@ -3,7 +3,8 @@
 Both deal rows into groups and search group by group with :func:`evenkeel.operators.similarity.nearest`, which cuts large
 groups into blocks, so a bucket of copies is no single task and no list of pairs. How many buckets or lists are searched
 follows from the recall on a sample of rows that are also searched exactly; if all steps fall short, and for rows that
-have found too few, the exact search is taken.
+have found too few, the exact search is taken. Large groups with many lists have further steps: recall falls as lists grow
+in number, and some more of them cost less than all rows.
 """
 
 from __future__ import annotations
@@ -12,20 +13,25 @@ import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evenkeel.functions.binding import let
+from evenkeel.operators import similarity
 from evenkeel.operators.sampling import SEED
 from evenkeel.operators.similarity import STRIP_CELLS, nearest
-from evenkeel.session import cut_lineage
+from evenkeel.session import cut_lineage, small_side
 
 #: Rows whose neighbours are also searched exactly, to measure the recall.
 SAMPLE = 200
 #: Rows per bucket or list that are aimed at, and steps of tables or lists that are tried.
 BUCKET_ROWS = 512
 TABLES, PROBES = (4, 8, 16, 32), (2, 4, 8, 16)
+#: After the last of ``PROBES``, twice as many lists are tried as long as they are no more than this share of a group's lists.
+MOST_SHARE = 1 / 4
+#: Bytes of vectors that a task of the search in lists gets.
+TASK_BYTES = 128 * 1024 * 1024
 #: Rows per list of the sample that centroids are fitted on, rounds of fitting, and the most lists of a group.
 FIT_ROWS, FIT_ROUNDS, MOST_LISTS = 64, 10, 4096
 #: Distances that differ by less count as equal when recall is measured.
@@ -47,7 +53,12 @@ def _nearest_lists(x: np.ndarray, centres: np.ndarray, n: int) -> Iterator[tuple
     strip = max(1, STRIP_CELLS // len(centres))
     for at in range(0, len(x), strip):
         far = size - 2 * x[at : at + strip] @ centres.T
-        yield at, far.argmin(1)[:, None] if n == 1 else np.argsort(far, axis=1, kind="stable")[:, :n]
+        if n == 1:
+            yield at, far.argmin(1)[:, None]
+        elif n < len(centres) and np.isfinite(far).all():
+            yield at, similarity._smallest(far, n)[1].reshape(-1, n)
+        else:
+            yield at, np.argsort(far, axis=1, kind="stable")[:, :n]
 
 
 def sample_by_key(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
@@ -85,8 +96,12 @@ def _bucket_of(planes: np.ndarray, tables: int, bits: int) -> Callable[[Column],
 def _settled(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, vec: str, k: int, by: str | None, metric: str, skip_self: bool,
     recall: float, steps, search: Callable[[DataFrame, int], DataFrame], seed: int,
+    trial: Callable[[DataFrame], Callable[[int], DataFrame]] | None = None,
 ) -> tuple[DataFrame, float, int | None]:
-    """Search with the first step whose recall on a sample is enough, exactly where none is."""
+    """Search with the first step whose recall on a sample is enough, exactly where none is.
+
+    ``trial`` searches the sample once and gives back what each step finds; without it, each step searches.
+    """
 
     def exactly(rows: DataFrame) -> DataFrame:
         out = nearest(rows, right, left_key, right_key, vec, k, by=by, metric=metric, skip_self=skip_self)
@@ -94,8 +109,9 @@ def _settled(
 
     some = cut_lineage(sample_by_key(left, left_key, SAMPLE, seed))
     wanted = cut_lineage(exactly(some))
+    tried = trial(some) if trial else lambda step: search(some, step)
     for step in steps:
-        reached = measured_recall(wanted, search(some, step), left_key)
+        reached = measured_recall(wanted, tried(step), left_key)
         if reached >= recall:
             found = cut_lineage(search(left, step))
             # every row that has k others in reach gets k neighbours
@@ -164,6 +180,130 @@ def _centroids(rows: DataFrame, key: str, by: str, vec: str, unit: bool, seed: i
     return slim.groupBy(by).applyInArrow(fit, f"`{by}` {kind}, list int, centroid array<double>")
 
 
+def _same(ids: pa.Array, others: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of equal ids, none of them null; ``others`` is ascending, nulls last."""
+    at = np.flatnonzero(np.asarray(ids.is_valid()))
+    a, b = (x.drop_null().to_numpy(zero_copy_only=False) for x in (ids, others))
+    first, end = np.searchsorted(b, a, "left"), np.searchsorted(b, a, "right")
+    n = end - first
+    row = np.repeat(np.arange(len(a)), n)
+    return at[row], np.arange(len(row)) - (np.cumsum(n) - n)[row] + first[row]
+
+
+def _closest_unit(xm: np.ndarray, ym: np.ndarray, y4: np.ndarray, k: int, own: tuple | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What :func:`evenkeel.operators.similarity._closest` gives for unit vectors; ``y4`` is ``ym`` in single precision.
+
+    Products in single precision leave out what cannot be among the closest, within the bound of their error; the
+    distances are those of double precision.
+    """
+    k = min(k, len(ym))
+    s = xm.astype(np.float32) @ y4.T
+    if own is not None:
+        s[own] = -np.inf
+    best = np.maximum.reduceat(s, np.arange(0, len(ym), max(1, min(similarity.MINIMUM_OF, len(ym) // k))), axis=1)
+    if np.isnan(best).any():
+        return similarity._closest(xm, ym, True, k, own)
+    # a product of unit vectors is off by (width + 4) * 2**-24 at most, and so are the limit and the entry
+    slack = np.float32((ym.shape[1] + 4) * 2.0**-22)
+    at = best.shape[1] - k
+    limit = np.minimum(np.partition(best, at, axis=1)[:, at : at + 1], np.float32(1.0)) - slack
+    # several times faster than the places of a matrix
+    place = np.flatnonzero(s >= limit)
+    rows, cols = np.divmod(place[s.ravel()[place] > -np.inf], len(ym))
+    dist = np.empty(len(rows))
+    for i in range(0, len(rows), step := max(1, STRIP_CELLS // max(1, ym.shape[1]))):
+        dist[i : i + step] = 1.0 - np.einsum("ij,ij->i", xm[rows[i : i + step]], ym[cols[i : i + step]])
+    dist = np.round(np.maximum(dist, 0.0), similarity.COSINE_DIGITS)
+    order = np.lexsort((cols, dist, rows))
+    rows, cols, dist = rows[order], cols[order], dist[order]
+    first = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+    return rows[first], cols[first], dist[first]
+
+
+def _in_lists(left: DataFrame, right: DataFrame, k: int, unit: bool, skip_self: bool) -> DataFrame:
+    """``(id, _place, neighbors)``: the ``k`` closest rows of ``right`` in each list that a row of ``left`` is sent to.
+
+    Both sides have ``g, _list, id, vec``, and ``left`` the place of the list in the row's order. A list is one group of
+    rows; only where a side has more vectors than ``BLOCK_BYTES``, it is cut into blocks by the hash of the id.
+    """
+    first = right.select(F.size("vec")).head()
+    width = max(1, first[0] if first else 1)
+
+    def sizes(df: DataFrame, name: str) -> DataFrame:
+        blocks = F.ceil(F.count("*") / max(1, similarity.BLOCK_BYTES // (8 * width))).cast("int")
+        return df.groupBy("g", "_list").agg(blocks.alias(name), F.count("*").alias(f"{name}_n"))
+
+    blocks = small_side(sizes(left, "_lb").join(sizes(right, "_rb"), ["g", "_list"]))
+    sent = blocks.agg(F.sum(F.col("_lb_n") * F.col("_rb") + F.col("_rb_n") * F.col("_lb"))).head()[0] or 0
+    parts = math.ceil(sent * 8 * width / TASK_BYTES)
+    keys = ["g", "_list", "l", "r"]
+
+    def cut(df: DataFrame, own: str, other: str, own_id: str, other_id: str) -> DataFrame:
+        out = df.join(blocks.select("g", "_list", "_lb", "_rb"), ["g", "_list"]).select(
+            *df.columns,
+            # both sides need the same type here: an int and a bigint hash differently
+            F.pmod(F.xxhash64("id"), F.col(own)).cast("int").alias(own_id),
+            F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other_id),
+        )
+        # tasks of bounded size, however few partitions the session has
+        wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return out.repartition(parts, *keys) if parts > wanted else out
+
+    kinds = {name: df.schema["id"].dataType.simpleString() for name, df in (("left", left), ("right", right))}
+
+    def pair(x: pa.Table, y: pa.Table) -> pa.Table:
+        y = y.sort_by("id")
+        xid, yid = (t.column("id").combine_chunks() for t in (x, y))
+        neighbor = pa.struct([("dist", pa.float64()), ("id", yid.type)])
+        if not (x.num_rows and y.num_rows):
+            return pa.table({"id": xid[:0], "_place": pa.array([], pa.int32()), "neighbors": pa.array([], pa.list_(neighbor))})
+        xm, ym = (_matrix(t.column("vec").combine_chunks()) for t in (x, y))
+        if unit:
+            xm, ym = _unit(xm), _unit(ym)
+            y4 = ym.astype(np.float32)
+        found = []
+        strip = max(1, STRIP_CELLS // len(yid))
+        for at in range(0, len(xid), strip):
+            own = _same(xid[at : at + strip], yid) if skip_self else None
+            part = xm[at : at + strip]
+            rows, cols, dist = _closest_unit(part, ym, y4, k, own) if unit else similarity._closest(part, ym, False, k, own)
+            found.append((rows + at, cols, dist))
+        rows, cols, dist = (np.concatenate(part) for part in zip(*found))
+        # rows that share an id have k neighbours together
+        code = xid.dictionary_encode("encode").indices.to_numpy()
+        n = code.max() + 1
+        place = np.full(n, np.iinfo(np.int32).max, np.int32)
+        np.minimum.at(place, code, x.column("_place").to_numpy())
+        first_row = np.empty(n, np.int64)
+        first_row[code[::-1]] = np.arange(len(code))[::-1]
+        of = code[rows]
+        if n < len(code):
+            order = np.lexsort((cols, dist, of))
+            of, cols, dist = of[order], cols[order], dist[order]
+            few = np.arange(len(of)) - np.searchsorted(of, of) < k
+            of, cols, dist = of[few], cols[few], dist[few]
+        values = pa.StructArray.from_arrays([pa.array(dist), yid.take(pa.array(cols))], fields=list(neighbor))
+        ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=n))])
+        neighbors = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        return pa.table({"id": xid.take(pa.array(first_row)), "_place": pa.array(place), "neighbors": neighbors})
+
+    a, b = cut(left, "_lb", "_rb", "l", "r"), cut(right, "_rb", "_lb", "r", "l")
+    out = f"id {kinds['left']}, _place int, neighbors array<struct<dist: double, id: {kinds['right']}>>"
+    return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInArrow(pair, out).where(F.size("neighbors") > 0)
+
+
+def _merged_lists(found: DataFrame, key: str, k: int) -> DataFrame:
+    """As :func:`merged`, within the row: one shuffle, of lists of neighbours."""
+
+    def once(s: Column) -> Column:
+        return F.filter(s, lambda n, i: (i == 0) | ~n["id"].eqNullSafe(F.get(s, i - 1)["id"]))
+
+    by_id = F.sort_array(F.transform(F.flatten(F.collect_list("neighbors")), lambda n: F.struct(n["id"].alias("id"), n["dist"].alias("dist"))))
+    grouped = found.groupBy(key).agg(by_id.alias("_all"))
+    ranked = F.sort_array(F.transform(let(F.col("_all"), once), lambda n: F.struct(n["dist"].alias("dist"), n["id"].alias("id"))))
+    return grouped.select(key, F.slice(ranked, 1, k).alias("neighbors"))
+
+
 def listed_nearest(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, vec: str, k: int, by: str, metric: str = "l2",
     recall: float = 0.9, skip_self: bool = False, seed: int = SEED,
@@ -181,37 +321,50 @@ def listed_nearest(
         for df, key in ((left, left_key), (right, right_key))
     )
     unit = metric == "cosine"
-    rows = cut_lineage(_centroids(right, right_key, by, vec, unit, seed)).collect()
+    group = F.col(by).cast("string")
+    rows = cut_lineage(_centroids(right, right_key, by, vec, unit, seed)).select(group.alias("g"), "list", "centroid").collect()
     groups: dict = {}
     for r in rows:
-        groups.setdefault(r[by], []).append((r["list"], r["centroid"]))
+        groups.setdefault(r["g"], []).append((r["list"], r["centroid"]))
     held = left.sparkSession.sparkContext.broadcast({g: np.array([c for _, c in sorted(lists)]) for g, lists in groups.items()})
-
-    def lists_of(probes: int) -> Callable:
-        @F.pandas_udf("array<int>")
-        def of(vectors: pd.Series, group: pd.Series) -> pd.Series:
-            out = pd.Series([[]] * len(vectors), dtype=object)
-            for g in group.unique():
+    most = max(map(len, groups.values()), default=0)
+    steps = list(PROBES)
+    while steps[-1] * 2 <= most * MOST_SHARE:
+        steps.append(steps[-1] * 2)
+
+    def lists_of(probes: int) -> Column:
+        """The nearest ``probes`` lists of a row, nearest first."""
+
+        @F.arrow_udf("array<int>")
+        def of(vectors: pa.Array, group: pa.Array) -> pa.Array:
+            codes = group.dictionary_encode()
+            code, out = codes.indices.to_numpy(), np.full((len(vectors), probes), -1, np.int32)
+            for c, g in enumerate(codes.dictionary.to_pylist()):
                 centres = held.value.get(g)
                 if centres is None:
                     continue
-                own = np.flatnonzero((group == g).to_numpy())
-                x = np.array(vectors.iloc[own].tolist(), np.float64)
+                own = np.flatnonzero(code == c)
+                x = _matrix(vectors.take(pa.array(own)))
                 for at, near in _nearest_lists(_unit(x) if unit else x, centres, probes):
-                    for i, row in zip(own[at:], near):
-                        out.iat[i] = row.tolist()
-            return out
+                    out[own[at : at + len(near)], : near.shape[1]] = near
+            ends = np.cumsum((out >= 0).sum(1))
+            return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(out[out >= 0], pa.int32()))
+
+        return of(F.col(vec), group)
 
-        return of
+    # a row of the right side lies in one list, of the left side in several; the places say how near they are
+    filed = cut_lineage(right.select(group.alias("g"), F.explode(lists_of(1)).alias("_list"), F.col(right_key).alias("id"), F.col(vec).alias("vec")))
 
-    def dealt(df: DataFrame, probes: int) -> DataFrame:
-        each = df.select("*", F.explode(lists_of(probes)(F.col(vec), F.col(by))).alias("_list"))
-        return each.withColumn("_list", F.concat_ws("/", F.col(by).cast("string"), "_list"))
+    def in_lists(some: DataFrame, probes: int) -> DataFrame:
+        slim = cut_lineage(some.select(group.alias("g"), F.col(left_key).alias("id"), F.col(vec).alias("vec"), lists_of(probes).alias("_lists")))
+        asked = slim.select("g", F.posexplode("_lists").alias("_place", "_list"), "id", "vec")
+        return _in_lists(asked, filed, k, unit, skip_self).withColumnRenamed("id", left_key)
 
-    filed = cut_lineage(dealt(right, 1))
+    def trial(some: DataFrame) -> Callable[[int], DataFrame]:
+        each = cut_lineage(in_lists(some, steps[-1]))
+        return lambda probes: _merged_lists(each.where(F.col("_place") < probes), left_key, k)
 
     def search(some: DataFrame, probes: int) -> DataFrame:
-        found = nearest(dealt(some, probes), filed, left_key, right_key, vec, k, by="_list", metric=metric, skip_self=skip_self)
-        return merged(found, left_key, k)
+        return _merged_lists(in_lists(some, probes), left_key, k)
 
-    return _settled(left, right, left_key, right_key, vec, k, by, metric, skip_self, recall, PROBES, search, seed)
+    return _settled(left, right, left_key, right_key, vec, k, by, metric, skip_self, recall, steps, search, seed, trial)

@@ -16,6 +16,7 @@ from evenkeel.operators.sampling import stratified_split
 from evenkeel.operators.similarity import max_cosine, nearest, select_similar
 from evenkeel.queries.base import RULES, Tables, query, r6, sql_clean, sql_grams, sql_keyword, sql_words
 from evenkeel.queries.rebalancing import sql_split
+from evenkeel.session import cut_lineage
 
 _TF_SQL = f"""tf AS (SELECT doc_id, term, count(*) AS tf FROM
       (SELECT doc_id, unnest({sql_grams('w')}) AS term FROM (SELECT doc_id, {sql_words('text')} AS w FROM documents)) GROUP BY doc_id, term),
@@ -250,7 +251,8 @@ def _(spark, d):
 @query("nearest_listed")
 def _(spark, d):
     t = Tables(spark, d)
-    docs = embed(t.documents.select("doc_id", "lang", "text"), "text", dim=WORD_DIM).drop("text")
+    # both sides read the vectors: texts are encoded once
+    docs = cut_lineage(embed(t.documents.select("doc_id", "lang", "text"), "text", dim=WORD_DIM).drop("text"))
     asked = docs.join(t.labels.select("doc_id"), "doc_id", "left_semi")
     found, _recall, _lists = listed_nearest(asked, docs, "doc_id", "doc_id", "vec", 5, "lang", "cosine", skip_self=True)
     return found.select("doc_id", F.posexplode("neighbors").alias("place", "n")).select("doc_id", "place", "n.id", r6("n.dist").alias("dist"))

@@ -6,13 +6,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from evenkeel.operators import approximate
+from evenkeel.operators import approximate, similarity
 from evenkeel.operators.approximate import hashed_nearest, listed_nearest
 from evenkeel.operators.epochs import f1_scores
 from evenkeel.operators.served import served
 from evenkeel.operators.similarity import max_cosine
 from evenkeel.operators.simplex import candidate_confusions, simplex_multipliers, walk
 from evenkeel.operators.smote import smote
+from evenkeel.queries import REGISTRY, vectorising
 
 RNG = np.random.default_rng(23)
 CENTRES = RNG.normal(0, 1, (25, 12))
@@ -61,6 +62,75 @@ def test_listed_nearest(points):
     assert share(found, brute(4, group, "l2")) >= 0.85
 
 
+def test_listed_nearest_takes_more_lists(spark, monkeypatch):
+    """Where the steps fall short, more lists of a group that has many are searched, and not all rows."""
+    monkeypatch.setattr(approximate, "PROBES", (1,))
+    monkeypatch.setattr(approximate, "MOST_SHARE", 1, raising=False)
+    spread = np.random.default_rng(5).normal(0, 1, (300, 12))
+    df = spark.createDataFrame([(i, 0, [float(x) for x in v]) for i, v in enumerate(spread)], "id int, label int, vec array<double>")
+    found, recall, lists = listed_nearest(df, df, "id", "id", "vec", 4, "label", skip_self=True)
+    assert lists in (4, 8, 16) and recall >= 0.9
+    d = ((spread[:, None] - spread[None]) ** 2).sum(2) + np.diag(np.full(300, np.inf))
+    rows = {r.id: {n.id for n in r.neighbors} for r in found.collect()}
+    assert len(rows) == 300 and np.mean([len(near & set(d[i].argsort()[:4].tolist())) / 4 for i, near in rows.items()]) >= 0.85
+
+
+def test_listed_nearest_falls_back(points, monkeypatch):
+    monkeypatch.setattr(approximate, "PROBES", (1,))
+    monkeypatch.setattr(approximate, "MOST_SHARE", 0)
+    found, recall, lists = listed_nearest(points, points, "id", "id", "vec", 4, "label", "cosine", 1.0, skip_self=True)
+    assert lists is None and recall == 1.0 and share(found, brute(4, np.arange(900) % 3)) == 1.0
+
+
+@pytest.mark.parametrize("unit", [True, False])
+def test_in_lists_by_blocks(spark, monkeypatch, unit):
+    """Lists cut into blocks, in many tasks, give what whole lists do; a row without an id is not passed over as the same."""
+    rows = [("a", i % 3, None if i == 50 else f"n{i:03d}", [float(x) for x in POINTS[i % 120]]) for i in range(240)]
+    left, right = (spark.createDataFrame(rows, "g string, _list int, id string, vec array<double>").repartition(3) for _ in range(2))
+    left = left.withColumn("_place", F.lit(2))
+
+    def found():
+        out = approximate._merged_lists(approximate._in_lists(left, right, 4, unit, True), "id", 4)
+        return {r.id: [(n.id, round(n.dist, 8)) for n in r.neighbors] for r in out.collect()}
+
+    whole = found()
+    assert len(whole) == 240 and all(len({n for n, _ in near}) == 4 for near in whole.values())
+    assert whole[None][:2] == [(None, 0.0), ("n170", 0.0)] and all(i not in [n for n, _ in near] for i, near in whole.items() if i)
+    monkeypatch.setattr(approximate, "TASK_BYTES", 1000)
+    monkeypatch.setattr(approximate, "STRIP_CELLS", 500)
+    monkeypatch.setattr(similarity, "BLOCK_BYTES", 30 * 8 * 12)
+    assert found() == whole
+
+
+def test_keys_that_repeat(spark):
+    """Rows that come twice get their neighbours once."""
+    rows = [(i % 40, "x", [float(x) for x in POINTS[i % 40]]) for i in range(80)]
+    df = spark.createDataFrame(rows, "id int, g string, vec array<double>")
+    found, _, _ = listed_nearest(df, df, "id", "id", "vec", 3, "g", "cosine", skip_self=True)
+    assert {r.id for r in found.collect()} == set(range(40)) and found.count() == 40
+
+
+def test_closest_unit():
+    x, y = (approximate._unit(m) for m in (POINTS[:60], np.concatenate([POINTS, POINTS[:300], np.zeros((2, 12))])))
+    own = (np.arange(60), np.arange(60))
+    want, got = similarity._closest(x, y, True, 7, own), approximate._closest_unit(x, y, y.astype(np.float32), 7, own)
+    assert all(np.array_equal(a, b) for a, b in zip(want[:2], got[:2])) and np.allclose(want[2], got[2], atol=2e-12)
+    few = approximate._closest_unit(x[:2], y[:2], y[:2].astype(np.float32), 7, (np.arange(2), np.arange(2)))
+    assert few[0].tolist() == [0, 1] and few[1].tolist() == [1, 0]
+
+
+def test_texts_are_encoded_once(spark, tmp_path, monkeypatch):
+    """Both sides of the search read stored vectors, and not the texts again."""
+    texts = [(i, ("en", "de")[i % 2], " ".join(f"word{(i * j) % 17}" for j in range(9))) for i in range(60)]
+    spark.createDataFrame(texts, "doc_id bigint, lang string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i,) for i in range(0, 60, 3)], "doc_id bigint").write.parquet(str(tmp_path / "labels.parquet"))
+    seen = []
+    monkeypatch.setattr(vectorising, "listed_nearest", lambda left, right, *a, **k: seen.extend([left, right]) or listed_nearest(left, right, *a, **k))
+    out = REGISTRY["nearest_listed"].run(spark, str(tmp_path)).collect()
+    assert len({r.doc_id for r in out}) == 20 and len(out) == 100
+    assert len(seen) == 2 and not any("documents.parquet" in f for df in seen for f in df.inputFiles())
+
+
 def test_copies_fill_one_bucket(spark):
     """A third of the rows are one vector: they share every bucket and list, and are searched all the same."""
     rows = [(i, 0, [1.0, 2.0, 3.0] if i % 3 == 0 else [float(x) for x in RNG.normal(0, 1, 3)]) for i in range(600)]
